@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,8 +58,8 @@ def enrich_orders(
 
     ``auto`` measures the clients, and if need be the orders, with a one-row
     aggregation to pick the strategy. A broadcast asked for by name is measured too,
-    and gives way to ``sliced`` if it does not fit. ``sliced`` writes the per-client totals to the
-    shared scratch folder, because it reads them more than once.
+    and gives way to ``sliced`` if it does not fit. ``sliced`` writes the per-client
+    totals to the shared scratch folder, because it reads them more than once.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
@@ -102,54 +102,64 @@ def _fits(df: DataFrame, limit: int) -> bool:
     return size is not None and size <= limit
 
 
-def _order_totals(orders: DataFrame, key: str, amount: str) -> DataFrame:
-    return (
-        orders.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.sum(amount).alias("_sum"), F.count(F.lit(1)).alias("_orders"))
-    )
+def _order_totals(orders: DataFrame, key: str, amount: str, *more: Column) -> DataFrame:
+    keyed = orders.where(F.col(key).isNotNull())
+    return keyed.groupBy(key).agg(F.sum(amount).alias("_sum"), *more)
 
 
 def _client_copies(clients: DataFrame, key: str) -> DataFrame:
-    return (
-        clients.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    keyed = clients.where(F.col(key).isNotNull())
+    return keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def _window_total(orders: DataFrame, amount: str) -> Column:
+def _total(orders: DataFrame, amount: str) -> Column:
     """What the window sums: each order once per copy of its client."""
-    sum_type = orders.agg(F.sum(amount).alias("s")).schema["s"].dataType
+    sum_type = orders.select(F.sum(amount).alias("s")).schema["s"].dataType
     return (F.col("_sum") * F.col("_copies")).cast(sum_type)
 
 
-def _null_columns(df: DataFrame, names: list[str]) -> list[Column]:
-    return [F.lit(None).cast(df.schema[name].dataType).alias(name) for name in names]
+def _without_orders(clients: DataFrame, enriched: DataFrame) -> DataFrame:
+    """Clients in the shape of ``enriched``, NULL where they have no such column."""
+    return clients.select(
+        *[
+            F.col(f.name) if f.name in clients.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in enriched.schema
+        ]
+    )
 
 
 def _broadcast_clients(clients, orders, key, amount, total):
-    """Stream the orders past a broadcast of the clients, totals attached."""
-    per_client = _client_copies(clients, key).join(_order_totals(orders, key, amount), key, "left")
-    with_total = clients.join(
-        per_client.select(key, _window_total(orders, amount).alias(total), "_orders"), key, "left"
-    )
-    order_columns = [c for c in orders.columns if c != key]
-    columns = [*clients.columns, *order_columns, total]
-    matched = orders.join(F.broadcast(with_total), key).select(*columns)
-    without = with_total.where(F.col("_orders").isNull()).select(
-        *clients.columns, *_null_columns(orders, order_columns), total
+    """Stream the orders past a broadcast of the clients, totals attached.
+
+    Both branches of the union take the same columns from the totals, so that the
+    aggregation of the orders runs once.
+    """
+    totals = _order_totals(orders, key, amount).withColumn("_ordering", F.col(key))
+    per_client = _client_copies(clients, key).join(totals, key, "left")
+    per_client = per_client.select(key, _total(orders, amount).alias(total), "_ordering")
+    keyed = clients.where(F.col(key).isNotNull()).join(per_client, key, "left")
+
+    matched = orders.join(F.broadcast(keyed.drop("_ordering")), key)
+    no_orders = keyed.where(F.col("_ordering").isNull())
+    no_key = clients.where(F.col(key).isNull())
+    return matched.unionByName(_without_orders(no_orders, matched)).unionByName(
+        _without_orders(no_key, matched)
     )
-    return matched.unionByName(without)
 
 
 def _broadcast_orders(clients, orders, key, amount, total):
-    """Stream the clients past a broadcast of the orders, totals attached."""
-    totals = _order_totals(orders, key, amount)
-    ordering = clients.join(F.broadcast(totals.select(key)), key, "left_semi")
-    per_client = totals.join(_client_copies(ordering, key), key)
-    with_total = orders.join(
-        per_client.select(key, _window_total(orders, amount).alias(total)), key
+    """Stream the clients past a broadcast of the orders, totals attached.
+
+    All orders together are small here, and so is any group of them: a window is safe.
+    """
+    ordering = clients.join(F.broadcast(orders.select(key)), key, "left_semi")
+    copies = _client_copies(ordering, key)
+    order_sum = F.sum(amount).over(Window.partitionBy(key))
+    with_total = (
+        orders.withColumn("_sum", order_sum)
+        .join(copies, key)
+        .withColumn(total, _total(orders, amount))
+        .drop("_sum", "_copies")
     )
     return clients.join(F.broadcast(with_total), key, "left")
 
@@ -162,7 +172,9 @@ def _sliced(clients, orders, key, amount, total, min_slice_rows):
     so each pair meets in exactly one slot.
     """
     per_id = written(
-        _client_copies(clients, key).join(_order_totals(orders, key, amount), key, "full"),
+        _client_copies(clients, key).join(
+            _order_totals(orders, key, amount, F.count(F.lit(1)).alias("_orders")), key, "full"
+        ),
         "client-totals",
     )
     seen = per_id.agg(
@@ -176,69 +188,70 @@ def _sliced(clients, orders, key, amount, total, min_slice_rows):
     hot_orders = seen["most_orders"] > order_slice
     hot_clients = seen["most_copies"] > client_slice
 
-    totals = per_id.where("_copies IS NOT NULL").withColumn(total, _window_total(orders, amount))
+    totals = per_id.where("_copies IS NOT NULL").withColumn(total, _total(orders, amount))
     named = clients.where(F.col(key).isNotNull())
     placed = orders.where(F.col(key).isNotNull())
     keys = [key]
     if hot_orders or hot_clients:
         keys = [key, "_slot"]
-        sliced = per_id.select(
-            key,
-            F.col("_copies").isNotNull().alias("_known"),
-            _slices("_orders", order_slice).alias("_s"),
-            _slices("_copies", client_slice).alias("_c"),
-        )
-        hot = F.broadcast(sliced.where("_s > 1 OR _c > 1"))  # fewer than 2 * MAX_SLICES ids
-        order_slices, client_slices = F.coalesce("_s", F.lit(1)), F.coalesce("_c", F.lit(1))
-
-        # orders of a hot id that no client has match nothing: drop them unshuffled
-        placed = (
-            placed.join(hot, key, "left")
-            .where(F.coalesce("_known", F.lit(True)))
-            .withColumn("_a", _pick(orders.columns, order_slices))
-        )
-        placed = _repeat(placed, "_b", client_slices) if hot_clients else _first(placed, "_b")
-        placed = placed.withColumn("_slot", F.col("_a") * client_slices + F.col("_b"))
-        placed = placed.select(*orders.columns, "_slot")
-
-        named = named.join(hot, key, "left").withColumn(
-            "_b", _pick(clients.columns, client_slices)
-        )
-        named = _repeat(named, "_a", order_slices) if hot_orders else _first(named, "_a")
-        named = named.withColumn("_slot", F.col("_a") * client_slices + F.col("_b"))
-        named = named.select(*clients.columns, "_slot")
-
-        totals = totals.join(hot, key, "left")
-        totals = _repeat(totals, "_slot", order_slices * client_slices)
+        hot = F.broadcast(_hot_ids(per_id, key, order_slice, client_slice))
+        placed = _in_slots(placed, hot, key, own=_ORDER_SLICES, repeat=hot_clients)
+        named = _in_slots(named, hot, key, own=_CLIENT_SLICES, repeat=hot_orders)
+        slots = _or_one(_ORDER_SLICES) * _or_one(_CLIENT_SLICES)
+        totals = totals.join(hot, key, "left").withColumn("_slot", _each_of(slots))
 
     joined = (
         named.join(totals.select(*keys, total, "_orders"), keys, "left")
         .join(placed.withColumn("_matched", F.lit(True)), keys, "left")
         # a client with orders may find none in one of its slots
         .where("_matched OR _orders IS NULL")
+        .drop("_slot", "_orders", "_matched")
     )
-    order_columns = [c for c in orders.columns if c != key]
-    unkeyed = clients.where(F.col(key).isNull()).select(
-        *clients.columns,
-        *_null_columns(orders, order_columns),
-        F.lit(None).cast(joined.schema[total].dataType).alias(total),
-    )
-    return joined.select(*clients.columns, *order_columns, total).unionByName(unkeyed)
+    no_key = clients.where(F.col(key).isNull())
+    return joined.unionByName(_without_orders(no_key, joined))
+
+
+_ORDER_SLICES, _CLIENT_SLICES = "_order_slices", "_client_slices"
+
 
+def _hot_ids(per_id: DataFrame, key: str, order_slice: int, client_slice: int) -> DataFrame:
+    """Ids above a slice's size on either side: fewer than 2 * MAX_SLICES of them."""
 
-def _slices(rows: str, size: int) -> Column:
-    return F.ceil(F.greatest(F.coalesce(rows, F.lit(1)), F.lit(1)) / F.lit(size))
+    def slices(rows: str, size: int) -> Column:
+        return F.ceil(F.coalesce(rows, F.lit(1)) / F.lit(size))
 
+    return per_id.select(
+        key,
+        slices("_orders", order_slice).alias(_ORDER_SLICES),
+        slices("_copies", client_slice).alias(_CLIENT_SLICES),
+        F.col("_copies").isNotNull().alias("_known"),
+    ).where(f"{_ORDER_SLICES} > 1 OR {_CLIENT_SLICES} > 1")
 
-def _pick(columns: list[str], slices: Column) -> Column:
-    """A slice for a row: the same again when its task is rerun, and copies of a row
-    in different input partitions land in different slices."""
-    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), slices)
+
+def _in_slots(df: DataFrame, hot: DataFrame, key: str, own: str, repeat: bool) -> DataFrame:
+    """Give each row its slot: one slice of its own side, all slices of the other.
+
+    Rows of a hot id that no client has are dropped here, before the shuffle: they
+    match nothing. A row's own slice is the same again when its task is rerun, and
+    copies of a row in different input partitions land in different slices.
+    """
+    other = _CLIENT_SLICES if own == _ORDER_SLICES else _ORDER_SLICES
+    zero = F.lit(0).cast("long")
+    spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col(own))
+    slotted = (
+        df.join(hot, key, "left")
+        .where(F.coalesce("_known", F.lit(True)))
+        .withColumn("_own", F.when(F.col(own) > 1, spread).otherwise(zero))
+        .withColumn("_other", _each_of(_or_one(other)) if repeat else zero)
+    )
+    order_slice, client_slice = ("_own", "_other") if own == _ORDER_SLICES else ("_other", "_own")
+    slot = F.col(order_slice) * _or_one(_CLIENT_SLICES) + F.col(client_slice)
+    return slotted.select(*df.columns, slot.alias("_slot"))
 
 
-def _repeat(df: DataFrame, name: str, times: Column) -> DataFrame:
-    return df.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
+def _or_one(slices: str) -> Column:
+    return F.coalesce(slices, F.lit(1))
 
 
-def _first(df: DataFrame, name: str) -> DataFrame:
-    return df.withColumn(name, F.lit(0).cast("long"))
+def _each_of(count: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
