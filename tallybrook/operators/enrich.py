@@ -5,20 +5,19 @@ The result is that of::
     SELECT c.*, o.<all but the key>, SUM(o.amount) OVER (PARTITION BY c.clientId)
     FROM clients c LEFT JOIN orders o ON c.clientId = o.clientId
 
-but no plan here gathers all rows of one client in one task. The total comes from
-an aggregation that collapses orders before the shuffle, and the join itself takes
-one of three roads:
-
-``clients``  the clients are measured to fit in a broadcast: orders are not
-             shuffled at all, however hot a client is;
-``orders``   the orders (say, one day of them) are measured to fit: clients are
-             not shuffled;
-``sliced``   neither fits: both are shuffled on the client id, and ids with more
-             than a fair share of the rows on either side are cut into slices.
+but no plan here gathers an unbounded group of rows, such as all orders of one
+client, in one task. There are three roads, picked by measured size:
+
+``clients``  the clients fit in a broadcast: orders are pre-aggregated for the totals
+             and never shuffled row by row, however hot a client is;
+``orders``   the orders (say, one day of them) fit: clients are not shuffled;
+``sliced``   neither fits: both are shuffled on the client id, once, and ids with
+             more than a fair share of the rows on either side are cut into slices.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +33,8 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 MAX_SLICES = 4096
 # ... and slicing fewer rows than this gains nothing.
 MIN_SLICE_ROWS = 1_000_000
+# Counts per hash bucket show which buckets can hold a hot id at all.
+_HASH_BUCKETS = 4 * MAX_SLICES
 
 STRATEGIES = ("auto", "clients", "orders", "sliced")
 
@@ -58,8 +59,9 @@ def enrich_orders(
 
     ``auto`` measures the clients, and if need be the orders, with a one-row
     aggregation to pick the strategy. A broadcast asked for by name is measured too,
-    and gives way to ``sliced`` if it does not fit. ``sliced`` writes the per-client
-    totals to the shared scratch folder, because it reads them more than once.
+    and gives way to ``sliced`` if it does not fit. ``sliced`` counts rows per id
+    bucket first, and if there are hot ids writes their few statistics to the shared
+    scratch folder.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
@@ -81,30 +83,32 @@ def enrich_orders(
     return joined.select(*clients.columns, *order_columns, total)
 
 
-def measured_bytes(df: DataFrame) -> int | None:
+def measured_bytes(df: DataFrame, limit: int | None = None) -> int | None:
     """Upper estimate of the rows' size in memory; None if a column type is unbounded.
 
-    One aggregation whose result is one row. Text is measured, all else is fixed width.
+    Rows are counted, which Parquet answers from its footers, and text is measured; all
+    else is of fixed width. If the fixed width alone exceeds ``limit``, text is not read.
     """
-    text_bytes = F.lit(0).cast("long")
+    texts = []
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
             return None
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            text_bytes = text_bytes + F.coalesce(F.octet_length(field.name), F.lit(0))
-    measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(text_bytes).alias("text")).first()
-    per_row = 16 * len(df.columns) + 32
-    return measured["rows"] * per_row + (measured["text"] or 0)
+            texts.append(F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0)))
+    fixed = df.count() * (16 * len(df.columns) + 32)
+    if not texts or (limit is not None and fixed > limit):
+        return fixed
+    return fixed + df.agg(functools.reduce(Column.__add__, texts).alias("text")).first()["text"]
 
 
 def _fits(df: DataFrame, limit: int) -> bool:
-    size = measured_bytes(df)
+    size = measured_bytes(df, limit)
     return size is not None and size <= limit
 
 
-def _order_totals(orders: DataFrame, key: str, amount: str, *more: Column) -> DataFrame:
+def _order_totals(orders: DataFrame, key: str, amount: str) -> DataFrame:
     keyed = orders.where(F.col(key).isNotNull())
-    return keyed.groupBy(key).agg(F.sum(amount).alias("_sum"), *more)
+    return keyed.groupBy(key).agg(F.sum(amount).alias("_sum"))
 
 
 def _client_copies(clients: DataFrame, key: str) -> DataFrame:
@@ -112,10 +116,13 @@ def _client_copies(clients: DataFrame, key: str) -> DataFrame:
     return keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
 
 
+def _sum_type(orders: DataFrame, amount: str) -> T.DataType:
+    return orders.select(F.sum(amount).alias("s")).schema["s"].dataType
+
+
 def _total(orders: DataFrame, amount: str) -> Column:
-    """What the window sums: each order once per copy of its client."""
-    sum_type = orders.select(F.sum(amount).alias("s")).schema["s"].dataType
-    return (F.col("_sum") * F.col("_copies")).cast(sum_type)
+    """What the plain window sums: each order once per copy of its client."""
+    return (F.col("_sum") * F.col("_copies")).cast(_sum_type(orders, amount))
 
 
 def _without_orders(clients: DataFrame, enriched: DataFrame) -> DataFrame:
@@ -165,47 +172,54 @@ def _broadcast_orders(clients, orders, key, amount, total):
 
 
 def _sliced(clients, orders, key, amount, total, min_slice_rows):
-    """Shuffle both sides on the client id, hot ids cut into slices.
+    """Shuffle both sides on the client id once, hot ids cut into slices.
 
     With s order slices and c client slices an id has s * c slots. An order picks one
     order slice and is repeated for each client slice, a client the other way round,
-    so each pair meets in exactly one slot.
+    so each pair meets in exactly one slot. Sums and counts of hot ids are aggregated
+    beforehand; those of all other ids are windows over groups of at most a slice's
+    rows, in the partitioning and order that the join needs anyway.
     """
-    per_id = written(
-        _client_copies(clients, key).join(
-            _order_totals(orders, key, amount, F.count(F.lit(1)).alias("_orders")), key, "full"
-        ),
-        "client-totals",
-    )
-    seen = per_id.agg(
-        F.coalesce(F.sum("_orders"), F.lit(0)).alias("orders"),
-        F.coalesce(F.max("_orders"), F.lit(0)).alias("most_orders"),
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("clients"),
-        F.coalesce(F.max("_copies"), F.lit(0)).alias("most_copies"),
-    ).first()
-    order_slice = max(min_slice_rows, math.ceil(seen["orders"] / MAX_SLICES))
-    client_slice = max(min_slice_rows, math.ceil(seen["clients"] / MAX_SLICES))
-    hot_orders = seen["most_orders"] > order_slice
-    hot_clients = seen["most_copies"] > client_slice
-
-    totals = per_id.where("_copies IS NOT NULL").withColumn(total, _total(orders, amount))
+    order_slice, hot_order_ids = _heavy_ids(orders, key, min_slice_rows)
+    client_slice, hot_client_ids = _heavy_ids(clients, key, min_slice_rows)
+    heavy = [ids for ids in (hot_order_ids, hot_client_ids) if ids is not None]
+
     named = clients.where(F.col(key).isNotNull())
     placed = orders.where(F.col(key).isNotNull())
-    keys = [key]
-    if hot_orders or hot_clients:
+    if heavy:
+        ids = written(functools.reduce(DataFrame.union, heavy).distinct(), "hot-ids")
+        hot = written(
+            _hot_stats(ids, clients, orders, key, amount, order_slice, client_slice), "hot-stats"
+        )
+        placed = _in_slots(placed, hot, key, _ORDER_SLICES, bool(hot_client_ids))
+        named = _in_slots(named, hot, key, _CLIENT_SLICES, bool(hot_order_ids))
         keys = [key, "_slot"]
-        hot = F.broadcast(_hot_ids(per_id, key, order_slice, client_slice))
-        placed = _in_slots(placed, hot, key, own=_ORDER_SLICES, repeat=hot_clients)
-        named = _in_slots(named, hot, key, own=_CLIENT_SLICES, repeat=hot_orders)
-        slots = _or_one(_ORDER_SLICES) * _or_one(_CLIENT_SLICES)
-        totals = totals.join(hot, key, "left").withColumn("_slot", _each_of(slots))
-
+    else:
+        no_sum = F.lit(None).cast(_sum_type(orders, amount))
+        no_count = F.lit(None).cast("long")
+        placed = placed.withColumn("_hot_sum", no_sum)
+        named = named.withColumn("_hot_orders", no_count).withColumn("_hot_copies", no_count)
+        keys = [key]
+
+    group = Window.partitionBy(*keys)
+    placed = placed.select(
+        *orders.columns,
+        *keys[1:],
+        F.coalesce("_hot_sum", F.sum(amount).over(group)).alias("_sum"),
+        F.lit(True).alias("_matched"),
+    )
+    named = named.select(
+        *clients.columns,
+        *keys[1:],
+        F.coalesce("_hot_copies", F.count(F.lit(1)).over(group)).alias("_copies"),
+        "_hot_orders",
+    )
     joined = (
-        named.join(totals.select(*keys, total, "_orders"), keys, "left")
-        .join(placed.withColumn("_matched", F.lit(True)), keys, "left")
-        # a client with orders may find none in one of its slots
-        .where("_matched OR _orders IS NULL")
-        .drop("_slot", "_orders", "_matched")
+        named.join(placed, keys, "left")
+        # a hot client with orders may find none in one of its slots
+        .where("_matched OR _hot_orders IS NULL")
+        .withColumn(total, _total(orders, amount))
+        .drop("_slot", "_sum", "_matched", "_copies", "_hot_orders")
     )
     no_key = clients.where(F.col(key).isNull())
     return joined.unionByName(_without_orders(no_key, joined))
@@ -214,24 +228,50 @@ def _sliced(clients, orders, key, amount, total, min_slice_rows):
 _ORDER_SLICES, _CLIENT_SLICES = "_order_slices", "_client_slices"
 
 
-def _hot_ids(per_id: DataFrame, key: str, order_slice: int, client_slice: int) -> DataFrame:
-    """Ids above a slice's size on either side: fewer than 2 * MAX_SLICES of them."""
+def _heavy_ids(df: DataFrame, key: str, min_slice_rows: int) -> tuple[int, DataFrame | None]:
+    """Rows in a slice, and the ids with more rows than that (None if there are none).
+
+    Exact, without a shuffle of all ids: rows are counted per hash bucket, a fixed
+    number of counts; only a bucket with more rows than a slice can hold such an id,
+    so ids are counted in those buckets alone. Fewer than MAX_SLICES ids are found.
+    """
+    keyed = df.where(F.col(key).isNotNull())
+    bucket = F.pmod(F.xxhash64(key), F.lit(_HASH_BUCKETS))
+    buckets = keyed.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    slice_rows = max(min_slice_rows, math.ceil(sum(b["rows"] for b in buckets) / MAX_SLICES))
+    full = [b["bucket"] for b in buckets if b["rows"] > slice_rows]
+    if not full:
+        return slice_rows, None
+    counted = keyed.where(bucket.isin(full)).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return slice_rows, counted.where(F.col("_rows") > slice_rows).select(key)
+
+
+def _hot_stats(ids, clients, orders, key, amount, order_slice, client_slice) -> DataFrame:
+    """Sum, counts and slices of the hot ids: fewer than 2 * MAX_SLICES rows."""
+
+    def of_hot_ids(df):
+        return df.join(F.broadcast(ids), key, "left_semi").groupBy(key)
 
     def slices(rows: str, size: int) -> Column:
         return F.ceil(F.coalesce(rows, F.lit(1)) / F.lit(size))
 
-    return per_id.select(
-        key,
-        slices("_orders", order_slice).alias(_ORDER_SLICES),
-        slices("_copies", client_slice).alias(_CLIENT_SLICES),
-        F.col("_copies").isNotNull().alias("_known"),
-    ).where(f"{_ORDER_SLICES} > 1 OR {_CLIENT_SLICES} > 1")
+    counted = F.count(F.lit(1))
+    order_stats = of_hot_ids(orders).agg(
+        F.sum(amount).alias("_hot_sum"), counted.alias("_hot_orders")
+    )
+    client_stats = of_hot_ids(clients).agg(counted.alias("_hot_copies"))
+    return (
+        ids.join(order_stats, key, "left")
+        .join(client_stats, key, "left")
+        .withColumn(_ORDER_SLICES, slices("_hot_orders", order_slice))
+        .withColumn(_CLIENT_SLICES, slices("_hot_copies", client_slice))
+    )
 
 
 def _in_slots(df: DataFrame, hot: DataFrame, key: str, own: str, repeat: bool) -> DataFrame:
     """Give each row its slot: one slice of its own side, all slices of the other.
 
-    Rows of a hot id that no client has are dropped here, before the shuffle: they
+    Orders of a hot id that no client has are dropped here, before the shuffle: they
     match nothing. A row's own slice is the same again when its task is rerun, and
     copies of a row in different input partitions land in different slices.
     """
@@ -239,18 +279,14 @@ def _in_slots(df: DataFrame, hot: DataFrame, key: str, own: str, repeat: bool) -
     zero = F.lit(0).cast("long")
     spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col(own))
     slotted = (
-        df.join(hot, key, "left")
-        .where(F.coalesce("_known", F.lit(True)))
+        df.join(F.broadcast(hot), key, "left")
+        .where(F.col(own).isNull() | F.col("_hot_copies").isNotNull())
         .withColumn("_own", F.when(F.col(own) > 1, spread).otherwise(zero))
-        .withColumn("_other", _each_of(_or_one(other)) if repeat else zero)
+        .withColumn("_other", _each_of(F.coalesce(other, F.lit(1))) if repeat else zero)
     )
     order_slice, client_slice = ("_own", "_other") if own == _ORDER_SLICES else ("_other", "_own")
-    slot = F.col(order_slice) * _or_one(_CLIENT_SLICES) + F.col(client_slice)
-    return slotted.select(*df.columns, slot.alias("_slot"))
-
-
-def _or_one(slices: str) -> Column:
-    return F.coalesce(slices, F.lit(1))
+    slot = F.col(order_slice) * F.coalesce(_CLIENT_SLICES, F.lit(1)) + F.col(client_slice)
+    return slotted.withColumn("_slot", slot).drop("_own", "_other", _ORDER_SLICES, _CLIENT_SLICES)
 
 
 def _each_of(count: Column) -> Column:

@@ -122,21 +122,44 @@ def test_slots_of_a_hot_id_are_even(spark):
     """A third of all orders, half of those exact copies, end in slots of about slice size."""
     orders = [(i, 7, 1.0, DAY) for i in range(500)] + [(9, 7, 2.0, DAY)] * 500
     orders += [(i, i % 100, 1.0, DAY) for i in range(2000)]
-    _, o = frames(spark, [], orders, partitions=20)
-    per_id = o.groupBy("clientId").agg(F.count("*").alias("_orders")).withColumn("_copies", F.lit(1))
-    hot = enrich._hot_ids(per_id, "clientId", order_slice=100, client_slice=100)
-    assert [(r.clientId, r._order_slices) for r in hot.collect()] == [(7, 11)]
-    slotted = enrich._in_slots(o, hot, "clientId", own=enrich._ORDER_SLICES, repeat=False)
+    c, o = frames(spark, [(7, "c7", "l"), (8, "c8", "l")], orders, partitions=20)
+    slice_rows, ids = enrich._heavy_ids(o, "clientId", 100)
+    assert slice_rows == 100
+    assert [r.clientId for r in ids.collect()] == [7]
+    hot = enrich._hot_stats(ids, c, o, "clientId", "amount", 100, 100)
+    (stats,) = hot.collect()
+    assert (stats._hot_sum, stats._hot_orders, stats._hot_copies) == (1520.0, 1020, 1)
+    assert (stats._order_slices, stats._client_slices) == (11, 1)
+    slotted = enrich._in_slots(o, hot, "clientId", enrich._ORDER_SLICES, repeat=False)
     assert slotted.count() == 3000
     sizes = [r["count"] for r in slotted.groupBy("clientId", "_slot").count().collect()]
     assert max(sizes) < 300
 
 
+def test_heavy_ids_are_exact(spark):
+    ids = [i for i in range(200) for _ in range(1 + i % 40)]
+    _, o = frames(spark, [], [(0, i, 1.0, DAY) for i in ids] + [(0, None, 1.0, DAY)] * 500)
+    _, heavy = enrich._heavy_ids(o, "clientId", 30)
+    assert sorted(r.clientId for r in heavy.collect()) == [i for i in range(200) if i % 40 >= 30]
+    assert enrich._heavy_ids(o, "clientId", 40) == (40, None)
+
+
+def test_a_slice_grows_with_the_data(spark, monkeypatch):
+    monkeypatch.setattr(enrich, "MAX_SLICES", 4)
+    _, o = frames(spark, [], [(i, i % 3 and i, 1.0, DAY) for i in range(99)])
+    slice_rows, heavy = enrich._heavy_ids(o, "clientId", 1)
+    assert slice_rows == 25
+    assert [r.clientId for r in heavy.collect()] == [0]
+
+
 def test_orders_of_a_hot_unknown_id_are_not_shuffled(spark):
-    _, o = frames(spark, [], [(i, 5 if i % 2 else i, 1.0, DAY) for i in range(100)])
-    hot = spark.sql("SELECT 5 AS clientId, 3 AS _order_slices, 1 AS _client_slices, false AS _known")
-    slotted = enrich._in_slots(o, hot, "clientId", own=enrich._ORDER_SLICES, repeat=False)
-    assert slotted.count() == 50
+    c, o = frames(
+        spark, [(1, "a", "l")], [(i, 5 if i % 2 else 1 + i, 1.0, DAY) for i in range(100)]
+    )
+    _, ids = enrich._heavy_ids(o, "clientId", 20)
+    hot = enrich._hot_stats(ids, c, o, "clientId", "amount", 20, 20)
+    slotted = enrich._in_slots(o, hot, "clientId", enrich._ORDER_SLICES, repeat=False)
+    assert slotted.count() == 49
 
 
 def spy_strategy(monkeypatch):
