@@ -1,0 +1,124 @@
+"""Shape of the physical plans: what is shuffled, pruned, pushed down and reused."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import __spark_entry__ as driver
+from tallybrook import queries as q
+from tallybrook.operators import compare
+from tallybrook.operators.compare import diff
+from tallybrook.operators.enrich import enrich_orders
+from tallybrook.operators.logs import errors_only, level_distribution, parse_logs, well_formed
+
+
+def final_plan(df) -> str:
+    """The plan that ran, after adaptive changes."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"#\d+L?", "", text.split("== Initial Plan ==")[0])
+
+
+def initial_plan(df) -> str:
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"#\d+L?", "", text)
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """Shows the plan for tables beyond Spark's own broadcast threshold."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def tables(spark, sf_dir):
+    return q.clients(spark, sf_dir), q.orders(spark, sf_dir)
+
+
+def test_broadcast_clients_never_shuffles_order_rows(tables, no_auto_broadcast):
+    plan = final_plan(enrich_orders(*tables, strategy="clients"))
+    assert "BroadcastHashJoin [clientId], [clientId], Inner, BuildRight" in plan
+    # clients, their copies, pre-aggregated orders; the second branch reuses all three
+    assert len(re.findall(r"\bExchange hashpartitioning\(clientId, \d+\), ENSURE.*\n", plan)) == 6
+    assert plan.count("ReusedExchange") == 3
+    assert "partial_sum(amount)" in plan
+    above_order_ids = [ln for ln in plan.splitlines() if "o_orderkey" in ln]
+    assert len(above_order_ids) == 2  # one scan and its projection, under the broadcast join
+
+
+def test_broadcast_orders_never_shuffles_client_rows(tables, no_auto_broadcast):
+    plan = final_plan(enrich_orders(*tables, strategy="orders"))
+    assert "BroadcastHashJoin [clientId], [clientId], LeftOuter, BuildRight" in plan
+    named = [ln for ln in plan.splitlines() if "c_name" in ln]
+    assert len(named) == 2
+
+
+def test_sliced_join_shuffles_each_side_once(tables, no_auto_broadcast):
+    plan = final_plan(enrich_orders(*tables, strategy="sliced"))
+    assert len(re.findall(r"Exchange hashpartitioning\(clientId, \d+\)", plan)) == 2
+    assert "SortMergeJoin [clientId], [clientId], LeftOuter" in plan
+    assert plan.count("Sort [clientId ASC") == 2  # windows and join share the order
+
+
+def test_hot_ids_join_on_their_slots(tables, no_auto_broadcast):
+    plan = final_plan(enrich_orders(*tables, strategy="sliced", min_slice_rows=8))
+    assert len(re.findall(r"Exchange hashpartitioning\(clientId, _slot, \d+\)", plan)) == 2
+    assert "SortMergeJoin [clientId, _slot], [clientId, _slot], LeftOuter" in plan
+    assert not re.search(r"Exchange hashpartitioning\(clientId, \d+\)", plan)
+
+
+def test_orders_are_pruned_and_filtered_in_the_scan(tables):
+    plan = initial_plan(enrich_orders(*tables, strategy="clients"))
+    scans = re.findall(r"FileScan parquet \[(o_[^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan)
+    assert {columns for columns, _ in scans} == {
+        "o_custkey,o_totalprice",
+        "o_orderkey,o_custkey,o_totalprice,o_orderdate",
+    }
+    assert {pushed for _, pushed in scans} == {"IsNotNull(o_custkey)"}
+
+
+def test_latest_date_reaches_the_scan(spark, sf_dir):
+    plan = initial_plan(q.latest_partition_subquery(spark, sf_dir))
+    assert re.search(r"DataFilters: \[isnotnull\(o_orderdate\), \(o_orderdate = Subquery", plan)
+
+
+def test_log_operators_are_one_narrow_stage(spark, sf_dir):
+    parsed = parse_logs(q.log_lines(spark, sf_dir))
+    for operator in (well_formed, errors_only):
+        plan = initial_plan(operator(parsed))
+        assert "Exchange" not in plan
+        # one match to filter, one to get the level, one for all other fields
+        assert plan.count("regexp_extract") - plan.count("CASE WHEN Contains") * 4 <= 2
+        assert plan.count("regexp_replace") == 1
+
+
+def test_level_counts_collapse_before_the_shuffle(spark, sf_dir):
+    plan = initial_plan(level_distribution(parse_logs(q.log_lines(spark, sf_dir))))
+    assert plan.count("Exchange") == 1
+    assert "partial_count(1)" in plan
+    assert "regexp_replace" not in plan  # fields that nobody reads are not cut out
+
+
+def test_earliest_is_a_top_k(spark, sf_dir):
+    plan = initial_plan(q.earliest_log_line(spark, sf_dir))
+    assert "TakeOrderedAndProject(limit=1" in plan
+    assert "Exchange" not in plan
+
+
+def test_both_directions_of_a_difference_share_one_aggregation(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(compare, "_COPIES_PER_CHUNK", 3)
+    plan = final_plan(diff(*q._ordering_and_visiting(spark, sf_dir)))
+    assert len(re.findall(r"FileScan parquet \[o_custkey\]", plan)) == 1
+    assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("name", list(driver.queries()))
+def test_no_python_and_no_cross_join(spark, small_dir, name):
+    plan = initial_plan(driver.queries()[name](spark, small_dir))
+    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
