@@ -73,14 +73,36 @@ def enrich_orders(
     candidates = {"auto": ["clients", "orders"], "sliced": []}.get(strategy, [strategy])
     strategy = next((c for c in candidates if _fits(sides[c], broadcast_limit)), "sliced")
 
+    shape = _Shape(clients, orders, key, amount, total)
     if strategy == "clients":
-        joined = _broadcast_clients(clients, orders, key, amount, total)
-    elif strategy == "orders":
-        joined = _broadcast_orders(clients, orders, key, amount, total)
-    else:
-        joined = _sliced(clients, orders, key, amount, total, min_slice_rows)
-    order_columns = [c for c in orders.columns if c != key]
-    return joined.select(*clients.columns, *order_columns, total)
+        return _broadcast_clients(clients, orders, shape)
+    if strategy == "orders":
+        return _broadcast_orders(clients, orders, shape)
+    return _sliced(clients, orders, shape, min_slice_rows)
+
+
+class _Shape:
+    """Column names and types of the result, looked up once."""
+
+    def __init__(self, clients, orders, key, amount, total):
+        self.key, self.amount, self.total = key, amount, total
+        self.client_columns = clients.columns
+        order_fields = [f for f in orders.schema.fields if f.name != key]
+        self.columns = [*self.client_columns, *[f.name for f in order_fields], total]
+        self.sum_type = orders.select(F.sum(amount).alias("s")).schema["s"].dataType
+        self._no_order = [F.lit(None).cast(f.dataType).alias(f.name) for f in order_fields]
+
+    def has_key(self) -> Column:
+        return F.col(self.key).isNotNull()
+
+    def client_total(self, order_sum: str, copies: Column) -> Column:
+        """What the plain window sums: each order once per copy of its client."""
+        return (F.col(order_sum) * copies).cast(self.sum_type).alias(self.total)
+
+    def without_orders(self, clients: DataFrame, total: Column | None = None) -> DataFrame:
+        """The given clients in output shape, order columns (and total) NULL."""
+        total = F.lit(None).cast(self.sum_type) if total is None else total
+        return clients.select(*self.client_columns, *self._no_order, total.alias(self.total))
 
 
 def measured_bytes(df: DataFrame, limit: int | None = None) -> int | None:
@@ -106,72 +128,48 @@ def _fits(df: DataFrame, limit: int) -> bool:
     return size is not None and size <= limit
 
 
-def _order_totals(orders: DataFrame, key: str, amount: str) -> DataFrame:
-    keyed = orders.where(F.col(key).isNotNull())
-    return keyed.groupBy(key).agg(F.sum(amount).alias("_sum"))
-
-
-def _client_copies(clients: DataFrame, key: str) -> DataFrame:
-    keyed = clients.where(F.col(key).isNotNull())
-    return keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
-
-
-def _sum_type(orders: DataFrame, amount: str) -> T.DataType:
-    return orders.select(F.sum(amount).alias("s")).schema["s"].dataType
-
-
-def _total(orders: DataFrame, amount: str) -> Column:
-    """What the plain window sums: each order once per copy of its client."""
-    return (F.col("_sum") * F.col("_copies")).cast(_sum_type(orders, amount))
-
-
-def _without_orders(clients: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Clients in the shape of ``enriched``, NULL where they have no such column."""
-    return clients.select(
-        *[
-            F.col(f.name) if f.name in clients.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in enriched.schema
-        ]
-    )
-
-
-def _broadcast_clients(clients, orders, key, amount, total):
+def _broadcast_clients(clients: DataFrame, orders: DataFrame, shape: _Shape) -> DataFrame:
     """Stream the orders past a broadcast of the clients, totals attached.
 
-    Both branches of the union take the same columns from the totals, so that the
-    aggregation of the orders runs once.
+    Clients are few here, so counting the copies of one in a window is safe. Both
+    branches that need the totals take the same columns, so that they share one
+    aggregation of the orders.
     """
-    totals = _order_totals(orders, key, amount).withColumn("_ordering", F.col(key))
-    per_client = _client_copies(clients, key).join(totals, key, "left")
-    per_client = per_client.select(key, _total(orders, amount).alias(total), "_ordering")
-    keyed = clients.where(F.col(key).isNotNull()).join(per_client, key, "left")
-
-    matched = orders.join(F.broadcast(keyed.drop("_ordering")), key)
-    no_orders = keyed.where(F.col("_ordering").isNull())
-    no_key = clients.where(F.col(key).isNull())
-    return matched.unionByName(_without_orders(no_orders, matched)).unionByName(
-        _without_orders(no_key, matched)
+    key = shape.key
+    totals = orders.where(shape.has_key()).groupBy(key).agg(F.sum(shape.amount).alias("_sum"))
+    totals = totals.select(key, "_sum", F.col(key).alias("_ordering"))
+    copies = F.count(F.lit(1)).over(Window.partitionBy(key))
+    named = clients.where(shape.has_key()).select(*shape.client_columns, copies.alias("_copies"))
+    keyed = named.join(totals, key, "left").select(
+        *shape.client_columns, shape.client_total("_sum", F.col("_copies")), "_ordering"
+    )
+    matched = orders.join(F.broadcast(keyed), key).select(*shape.columns)
+    # the total is NULL here too; reading it keeps the aggregation the same
+    no_orders = shape.without_orders(
+        keyed.where(F.col("_ordering").isNull()), F.col(shape.total)
     )
+    no_key = shape.without_orders(clients.where(~shape.has_key()))
+    return matched.union(no_orders).union(no_key)
 
 
-def _broadcast_orders(clients, orders, key, amount, total):
+def _broadcast_orders(clients: DataFrame, orders: DataFrame, shape: _Shape) -> DataFrame:
     """Stream the clients past a broadcast of the orders, totals attached.
 
-    All orders together are small here, and so is any group of them: a window is safe.
+    All orders together are few here, so summing those of a client in a window is safe.
     """
+    key = shape.key
     ordering = clients.join(F.broadcast(orders.select(key)), key, "left_semi")
-    copies = _client_copies(ordering, key)
-    order_sum = F.sum(amount).over(Window.partitionBy(key))
+    copies = ordering.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    order_sum = F.sum(shape.amount).over(Window.partitionBy(key))
     with_total = (
         orders.withColumn("_sum", order_sum)
         .join(copies, key)
-        .withColumn(total, _total(orders, amount))
-        .drop("_sum", "_copies")
+        .select(*orders.columns, shape.client_total("_sum", F.col("_copies")))
     )
-    return clients.join(F.broadcast(with_total), key, "left")
+    return clients.join(F.broadcast(with_total), key, "left").select(*shape.columns)
 
 
-def _sliced(clients, orders, key, amount, total, min_slice_rows):
+def _sliced(clients: DataFrame, orders: DataFrame, shape: _Shape, min_rows: int) -> DataFrame:
     """Shuffle both sides on the client id once, hot ids cut into slices.
 
     With s order slices and c client slices an id has s * c slots. An order picks one
@@ -180,49 +178,42 @@ def _sliced(clients, orders, key, amount, total, min_slice_rows):
     beforehand; those of all other ids are windows over groups of at most a slice's
     rows, in the partitioning and order that the join needs anyway.
     """
-    order_slice, hot_order_ids = _heavy_ids(orders, key, min_slice_rows)
-    client_slice, hot_client_ids = _heavy_ids(clients, key, min_slice_rows)
+    key = shape.key
+    order_slice, hot_order_ids = _heavy_ids(orders, key, min_rows)
+    client_slice, hot_client_ids = _heavy_ids(clients, key, min_rows)
     heavy = [ids for ids in (hot_order_ids, hot_client_ids) if ids is not None]
 
-    named = clients.where(F.col(key).isNotNull())
-    placed = orders.where(F.col(key).isNotNull())
+    named, placed = clients.where(shape.has_key()), orders.where(shape.has_key())
     if heavy:
         ids = written(functools.reduce(DataFrame.union, heavy).distinct(), "hot-ids")
         hot = written(
-            _hot_stats(ids, clients, orders, key, amount, order_slice, client_slice), "hot-stats"
+            _hot_stats(ids, clients, orders, shape, order_slice, client_slice), "hot-stats"
         )
-        placed = _in_slots(placed, hot, key, _ORDER_SLICES, bool(hot_client_ids))
-        named = _in_slots(named, hot, key, _CLIENT_SLICES, bool(hot_order_ids))
-        keys = [key, "_slot"]
+        placed = _in_slots(placed, hot, key, _ORDER_SLICES, repeat=hot_client_ids is not None)
+        named = _in_slots(named, hot, key, _CLIENT_SLICES, repeat=hot_order_ids is not None)
+        slot = ["_slot"]
+        hot_sum, hot_copies, hot_orders = "_hot_sum", "_hot_copies", F.col("_hot_orders")
     else:
-        no_sum = F.lit(None).cast(_sum_type(orders, amount))
-        no_count = F.lit(None).cast("long")
-        placed = placed.withColumn("_hot_sum", no_sum)
-        named = named.withColumn("_hot_orders", no_count).withColumn("_hot_copies", no_count)
-        keys = [key]
+        slot = []
+        hot_sum, hot_copies, hot_orders = F.lit(None), F.lit(None), F.lit(None)
 
-    group = Window.partitionBy(*keys)
+    group = Window.partitionBy(key, *slot)
+    order_sum = F.coalesce(hot_sum, F.sum(shape.amount).over(group))
+    copies = F.coalesce(hot_copies, F.count(F.lit(1)).over(group))
     placed = placed.select(
-        *orders.columns,
-        *keys[1:],
-        F.coalesce("_hot_sum", F.sum(amount).over(group)).alias("_sum"),
-        F.lit(True).alias("_matched"),
+        *orders.columns, *slot, order_sum.alias("_sum"), F.lit(True).alias("_matched")
     )
     named = named.select(
-        *clients.columns,
-        *keys[1:],
-        F.coalesce("_hot_copies", F.count(F.lit(1)).over(group)).alias("_copies"),
-        "_hot_orders",
+        *clients.columns, *slot, copies.alias("_copies"), hot_orders.alias("_hot_orders")
     )
     joined = (
-        named.join(placed, keys, "left")
+        named.join(placed, [key, *slot], "left")
         # a hot client with orders may find none in one of its slots
         .where("_matched OR _hot_orders IS NULL")
-        .withColumn(total, _total(orders, amount))
-        .drop("_slot", "_sum", "_matched", "_copies", "_hot_orders")
+        .withColumn(shape.total, shape.client_total("_sum", F.col("_copies")))
+        .select(*shape.columns)
     )
-    no_key = clients.where(F.col(key).isNull())
-    return joined.unionByName(_without_orders(no_key, joined))
+    return joined.union(shape.without_orders(clients.where(~shape.has_key())))
 
 
 _ORDER_SLICES, _CLIENT_SLICES = "_order_slices", "_client_slices"
@@ -246,8 +237,16 @@ def _heavy_ids(df: DataFrame, key: str, min_slice_rows: int) -> tuple[int, DataF
     return slice_rows, counted.where(F.col("_rows") > slice_rows).select(key)
 
 
-def _hot_stats(ids, clients, orders, key, amount, order_slice, client_slice) -> DataFrame:
+def _hot_stats(
+    ids: DataFrame,
+    clients: DataFrame,
+    orders: DataFrame,
+    shape: _Shape,
+    order_slice: int,
+    client_slice: int,
+) -> DataFrame:
     """Sum, counts and slices of the hot ids: fewer than 2 * MAX_SLICES rows."""
+    key = shape.key
 
     def of_hot_ids(df):
         return df.join(F.broadcast(ids), key, "left_semi").groupBy(key)
@@ -257,7 +256,7 @@ def _hot_stats(ids, clients, orders, key, amount, order_slice, client_slice) ->
 
     counted = F.count(F.lit(1))
     order_stats = of_hot_ids(orders).agg(
-        F.sum(amount).alias("_hot_sum"), counted.alias("_hot_orders")
+        F.sum(shape.amount).alias("_hot_sum"), counted.alias("_hot_orders")
     )
     client_stats = of_hot_ids(clients).agg(counted.alias("_hot_copies"))
     return (

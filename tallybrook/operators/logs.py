@@ -34,6 +34,19 @@ def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.where("level != ''").select(*PARSED_LOG.names)
 
 
+def parse_well_formed(lines: DataFrame, column: str = "value") -> DataFrame:
+    """``well_formed(parse_logs(lines))`` with one match per line less.
+
+    Lines outside the grammar are dropped first, so all fields, the level too, come
+    from the one pass that cuts a line up.
+    """
+    line = F.col(column)
+    groups = lines.where(line.rlike(LOG_PATTERN)).select(log_groups(line, 1, 2, 3, 4, 5).alias("_g"))
+    return groups.select(
+        *[F.get("_g", F.lit(i)).alias(name) for i, name in enumerate(PARSED_LOG.names)]
+    )
+
+
 def errors_only(parsed: DataFrame) -> DataFrame:
     """ERROR rows for alerting or dead-letter routing, without level and thread."""
     return parsed.where("level = 'ERROR'").select(*ERROR_LOG.names)
@@ -41,13 +54,18 @@ def errors_only(parsed: DataFrame) -> DataFrame:
 
 def malformed(lines: DataFrame, column: str = "value") -> DataFrame:
     """Raw lines that ``well_formed`` drops, NULL lines included."""
-    line = F.col(column)
-    return lines.where(line.isNull() | ~line.rlike(LOG_PATTERN)).select(column)
+    matches = F.coalesce(F.col(column).rlike(LOG_PATTERN), F.lit(False))
+    return lines.where(~matches).select(column)
 
 
 def level_distribution(parsed: DataFrame) -> DataFrame:
-    """Rows per level over the well-formed lines."""
-    return parsed.where("level != ''").groupBy("level").agg(F.count(F.lit(1)).alias("lines"))
+    """Rows per level over the well-formed lines.
+
+    Unmatched lines form a group of their own that is dropped at the end: a filter up
+    front would match every line a second time.
+    """
+    counted = parsed.groupBy("level").agg(F.count_if(F.col("level") != "").alias("lines"))
+    return counted.where("lines > 0")
 
 
 def earliest(parsed: DataFrame, n: int = 1) -> DataFrame:

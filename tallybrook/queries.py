@@ -25,10 +25,11 @@ from tallybrook.operators.logs import (
     level_distribution,
     malformed,
     parse_logs,
+    parse_well_formed,
     well_formed,
 )
 from tallybrook.plans.client_orders import enriched_latest_orders, run_client_orders
-from tallybrook.plans.log_stream import run_log_stream
+from tallybrook.plans.log_stream import error_lines, run_log_stream
 from tallybrook.scratch import shared_folder
 from tallybrook.sinks.parquet import write_partitioned
 from tallybrook.sources.tables import Tables, client_order_tables, filter_latest
@@ -337,6 +338,12 @@ def well_formed_logs(spark, sf_dir):
     return well_formed(parse_logs(log_lines(spark, sf_dir)))
 
 
+@_query(_WELL_FORMED_SQL)
+def well_formed_logs_one_pass(spark, sf_dir):
+    """The same from raw lines, as the streaming job does it."""
+    return parse_well_formed(log_lines(spark, sf_dir))
+
+
 @_query(_ERRORS_SQL)
 def error_logs(spark, sf_dir):
     return errors_only(parse_logs(log_lines(spark, sf_dir)))
@@ -384,7 +391,7 @@ def stream_well_formed_logs(spark, sf_dir):
 @_query(_ERRORS_SQL)
 def stream_error_logs(spark, sf_dir):
     folder = _staged_lines(spark, sf_dir)
-    _stream_to_end(spark, folder, keep=errors_only)
+    _stream_to_end(spark, folder, rows_of=error_lines)
     return spark.read.schema(schemas.ERROR_LOG).parquet(f"{folder}/out")
 
 

@@ -118,6 +118,10 @@ def test_a_third_of_the_rows_in_one_group(spark, strategy, case):
     assert rows(got) == rows(by_window(spark, c, o))
 
 
+def shape_of(clients, orders):
+    return enrich._Shape(clients, orders, "clientId", "amount", "totalAmountByClient")
+
+
 def test_slots_of_a_hot_id_are_even(spark):
     """A third of all orders, half of those exact copies, end in slots of about slice size."""
     orders = [(i, 7, 1.0, DAY) for i in range(500)] + [(9, 7, 2.0, DAY)] * 500
@@ -126,7 +130,7 @@ def test_slots_of_a_hot_id_are_even(spark):
     slice_rows, ids = enrich._heavy_ids(o, "clientId", 100)
     assert slice_rows == 100
     assert [r.clientId for r in ids.collect()] == [7]
-    hot = enrich._hot_stats(ids, c, o, "clientId", "amount", 100, 100)
+    hot = enrich._hot_stats(ids, c, o, shape_of(c, o), 100, 100)
     (stats,) = hot.collect()
     assert (stats._hot_sum, stats._hot_orders, stats._hot_copies) == (1520.0, 1020, 1)
     assert (stats._order_slices, stats._client_slices) == (11, 1)
@@ -157,7 +161,7 @@ def test_orders_of_a_hot_unknown_id_are_not_shuffled(spark):
         spark, [(1, "a", "l")], [(i, 5 if i % 2 else 1 + i, 1.0, DAY) for i in range(100)]
     )
     _, ids = enrich._heavy_ids(o, "clientId", 20)
-    hot = enrich._hot_stats(ids, c, o, "clientId", "amount", 20, 20)
+    hot = enrich._hot_stats(ids, c, o, shape_of(c, o), 20, 20)
     slotted = enrich._in_slots(o, hot, "clientId", enrich._ORDER_SLICES, repeat=False)
     assert slotted.count() == 49
 

@@ -15,6 +15,7 @@ from tallybrook.operators.logs import (
     level_distribution,
     malformed,
     parse_logs,
+    parse_well_formed,
     well_formed,
 )
 
@@ -154,6 +155,8 @@ def test_equals_one_extract_per_field(spark, values):
     df = lines(spark, *values)
     got = [tuple(r) for r in parse_logs(df).collect()]
     assert got == [tuple(r) for r in by_five_extracts(df).collect()]
+    matched = [row for row in got if row[1]]
+    assert [tuple(r) for r in parse_well_formed(df).collect()] == matched
     assert [r.value for r in malformed(df).collect()] == [
         v for v, row in zip(values, got) if not row[1]
     ]

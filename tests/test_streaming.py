@@ -6,8 +6,8 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from tallybrook import schemas
-from tallybrook.operators.logs import errors_only, parse_logs, well_formed
-from tallybrook.plans.log_stream import run_log_stream
+from tallybrook.operators.logs import parse_logs, well_formed
+from tallybrook.plans.log_stream import error_lines, run_log_stream
 from tallybrook.sources.text_lines import read_text_lines, stream_text_lines
 from tallybrook.streaming.sink import start_stream
 
@@ -74,7 +74,7 @@ def test_restart_reads_only_new_files(job):
 
 def test_error_stream(job):
     job.put("a.log", line(1) + line(2, "ERROR") + line(3, "ERROR"))
-    job.run(keep=errors_only)
+    job.run(rows_of=error_lines)
     assert sorted(r[2] for r in job.rows(schemas.ERROR_LOG)) == ["message 2", "message 3"]
 
 
