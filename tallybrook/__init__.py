@@ -1 +1,54 @@
 """Client-order enrichment and log analytics as plain PySpark DataFrame functions."""
+
+from tallybrook.operators.compare import diff, diff_counts, same_rows
+from tallybrook.operators.enrich import enrich_orders
+from tallybrook.operators.logs import (
+    earliest,
+    errors_only,
+    level_distribution,
+    malformed,
+    parse_logs,
+    parse_well_formed,
+    well_formed,
+)
+from tallybrook.plans.client_orders import enriched_latest_orders, run_client_orders
+from tallybrook.plans.log_stream import error_lines, run_log_stream
+from tallybrook.sinks.parquet import write_partitioned
+from tallybrook.sources.partitions import latest_partition_value
+from tallybrook.sources.tables import (
+    Tables,
+    client_order_tables,
+    filter_latest,
+    read_csv_table,
+    read_latest_partition,
+)
+from tallybrook.sources.text_lines import read_text_lines, stream_text_lines
+from tallybrook.streaming.sink import start_stream
+
+__all__ = [
+    "Tables",
+    "client_order_tables",
+    "diff",
+    "diff_counts",
+    "earliest",
+    "enrich_orders",
+    "enriched_latest_orders",
+    "error_lines",
+    "errors_only",
+    "filter_latest",
+    "latest_partition_value",
+    "level_distribution",
+    "malformed",
+    "parse_logs",
+    "parse_well_formed",
+    "read_csv_table",
+    "read_latest_partition",
+    "read_text_lines",
+    "run_client_orders",
+    "run_log_stream",
+    "same_rows",
+    "start_stream",
+    "stream_text_lines",
+    "well_formed",
+    "write_partitioned",
+]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tallybrook.functions.dates import iso_date_text
 from tallybrook.operators.enrich import enrich_orders
-from tallybrook.schemas import CLIENTS, ORDERS
+from tallybrook.schemas import CLIENTS, ORDERS, SCHEMAS
+from tallybrook.scratch import written
 from tallybrook.sinks.parquet import write_partitioned
 from tallybrook.sources.tables import Tables, client_order_tables
 
@@ -32,17 +35,24 @@ def run_client_orders(
     partition_column: str = "date",
     partition_by: str = "location",
     mode: str = "overwrite",
+    columnar_copy: bool = False,
     enrich_options: dict | None = None,
     write_options: dict | None = None,
 ) -> StructType:
     """Read, enrich and write; returns the schema to read the output back with.
 
     Read back with that schema: without it the type of the partition column is
-    guessed from folder names.
+    guessed from folder names. ``columnar_copy`` parses the CSV files once into Parquet
+    in the shared scratch folder; worth it for large inputs, which the enrichment reads
+    more than once, a few columns at a time.
     """
     tables = client_order_tables(
         spark, clients_path, orders_root, clients_schema, orders_schema, partition_column
     )
+    if columnar_copy:
+        tables = Tables(
+            {name: functools.partial(written, tables.get(name), name) for name in SCHEMAS}
+        )
     enriched = enriched_latest_orders(tables, partition_column, **(enrich_options or {}))
     write_partitioned(enriched, output_path, partition_by, mode, **(write_options or {}))
     return enriched.schema

@@ -80,14 +80,18 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _staged_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Clients as CSV, orders as CSV in one date folder per year."""
-    folder = shared_folder(spark, "csv-tables")
+def _stage_clients(spark: SparkSession, sf_dir: str, folder: str) -> None:
     clients(spark, sf_dir).write.option("header", True).csv(f"{folder}/clients")
+
+
+def _stage_orders(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """One date folder per year."""
     by_year = orders(spark, sf_dir).withColumn("date", F.trunc("date", "year"))
-    by_year.hint("rebalance", F.col("date")).write.option("header", True).partitionBy("date").csv(
-        f"{folder}/orders"
-    )
+    files = by_year.hint("rebalance", F.col("date")).write.option("header", True)
+    files.partitionBy("date").csv(f"{folder}/orders")
+
+
+def _csv_tables(spark: SparkSession, folder: str) -> Tables:
     return client_order_tables(spark, f"{folder}/clients", f"{folder}/orders", CLIENTS, ORDERS)
 
 
@@ -161,7 +165,9 @@ def enrichment_row_count(spark, sf_dir):
 @_query(_CLIENTS_SQL)
 def clients_csv_scan(spark, sf_dir):
     """CSV with declared schema, by (case-insensitive) name."""
-    return _staged_tables(spark, sf_dir).get("CLIENTS")
+    folder = shared_folder(spark, "clients-csv")
+    _stage_clients(spark, sf_dir, folder)
+    return _csv_tables(spark, folder).get("CLIENTS")
 
 
 @_query(
@@ -180,15 +186,15 @@ def clients_csv_bad_values(spark, sf_dir):
         F.col("c_name").alias("name"),
         F.when(~no_location, F.col("c_mktsegment")).alias("location"),
     ).write.option("header", True).csv(f"{folder}/clients")
-    return client_order_tables(
-        spark, f"{folder}/clients", f"{folder}/orders", CLIENTS, ORDERS
-    ).get("clients")
+    return _csv_tables(spark, folder).get("clients")
 
 
 @_query(_NEWEST_YEAR_SQL)
 def latest_partition_scan(spark, sf_dir):
     """Only the newest date folder is read."""
-    newest = _staged_tables(spark, sf_dir).get("orders")
+    folder = shared_folder(spark, "orders-csv")
+    _stage_orders(spark, sf_dir, folder)
+    newest = _csv_tables(spark, folder).get("orders")
     return newest.withColumn("date", iso_date_text(F.col("date")))
 
 
@@ -214,11 +220,8 @@ def latest_partition_subquery(spark, sf_dir):
 def batch_enrichment_latest(spark, sf_dir):
     """The whole batch job: CSV in, partitioned Parquet out, read back."""
     folder = shared_folder(spark, "batch-job")
-    clients(spark, sf_dir).write.option("header", True).csv(f"{folder}/clients")
-    by_year = orders(spark, sf_dir).withColumn("date", F.trunc("date", "year"))
-    by_year.hint("rebalance", F.col("date")).write.option("header", True).partitionBy("date").csv(
-        f"{folder}/orders"
-    )
+    _stage_clients(spark, sf_dir, folder)
+    _stage_orders(spark, sf_dir, folder)
     schema = run_client_orders(
         spark,
         f"{folder}/clients",
@@ -233,7 +236,10 @@ def batch_enrichment_latest(spark, sf_dir):
 @_query(_enrichment_sql(_NEWEST_YEAR_SQL, "WHERE orderId IS NULL"))
 def clients_without_recent_orders(spark, sf_dir):
     """The NULL side of the left join, by an ad-hoc predicate."""
-    enriched = enriched_latest_orders(_staged_tables(spark, sf_dir))
+    folder = shared_folder(spark, "recent-orders")
+    _stage_clients(spark, sf_dir, folder)
+    _stage_orders(spark, sf_dir, folder)
+    enriched = enriched_latest_orders(_csv_tables(spark, folder))
     return _rounded(enriched.where("orderId IS NULL"))
 
 

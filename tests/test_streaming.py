@@ -94,10 +94,11 @@ def test_stream_equals_batch(spark, job):
     assert sorted(job.rows()) == sorted(tuple(r) for r in batch.collect())
 
 
-def test_processing_time_trigger(job, spark):
+@pytest.mark.parametrize("interval_ms", [0, 200])
+def test_processing_time_trigger(job, spark, interval_ms):
     job.put("a.log", line(1))
     query = run_log_stream(
-        spark, str(job.logs), job.checkpoint, job.out, interval_ms=200, query_name="by_time"
+        spark, str(job.logs), job.checkpoint, job.out, interval_ms=interval_ms, query_name="by_time"
     )
     try:
         assert query.isActive and query.name == "by_time"
