@@ -28,13 +28,14 @@ from tallybrook.scratch import written
 
 # A side is broadcast only if it is measured to be at most this large.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# An id is hot if it holds more than this fraction of a side's rows. So there are
+# An id is hot if it holds more than this fraction of a side's rows, so that there are
 # fewer hot ids than this on either side, whatever the size of the data.
-MAX_SLICES = 4096
-# ... and slicing fewer rows than this gains nothing.
-MIN_SLICE_ROWS = 1_000_000
+MAX_HOT_IDS = 16_384
+# Rows of a hot id that go to one task together. Fewer rows than this are not worth
+# slicing, so an id with fewer is never hot.
+SLICE_ROWS = 1_000_000
 # Counts per hash bucket show which buckets can hold a hot id at all.
-_HASH_BUCKETS = 4 * MAX_SLICES
+_HASH_BUCKETS = 4 * MAX_HOT_IDS
 
 STRATEGIES = ("auto", "clients", "orders", "sliced")
 
@@ -48,7 +49,7 @@ def enrich_orders(
     total: str = "totalAmountByClient",
     strategy: str = "auto",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-    min_slice_rows: int = MIN_SLICE_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Left join orders to clients and add each client's total.
 
@@ -78,7 +79,7 @@ def enrich_orders(
         return _broadcast_clients(clients, orders, shape)
     if strategy == "orders":
         return _broadcast_orders(clients, orders, shape)
-    return _sliced(clients, orders, shape, min_slice_rows)
+    return _sliced(clients, orders, shape, slice_rows)
 
 
 class _Shape:
@@ -169,33 +170,27 @@ def _broadcast_orders(clients: DataFrame, orders: DataFrame, shape: _Shape) -> D
     return clients.join(F.broadcast(with_total), key, "left").select(*shape.columns)
 
 
-def _sliced(clients: DataFrame, orders: DataFrame, shape: _Shape, min_rows: int) -> DataFrame:
+def _sliced(clients: DataFrame, orders: DataFrame, shape: _Shape, slice_rows: int) -> DataFrame:
     """Shuffle both sides on the client id once, hot ids cut into slices.
 
     With s order slices and c client slices an id has s * c slots. An order picks one
     order slice and is repeated for each client slice, a client the other way round,
     so each pair meets in exactly one slot. Sums and counts of hot ids are aggregated
-    beforehand; those of all other ids are windows over groups of at most a slice's
-    rows, in the partitioning and order that the join needs anyway.
+    beforehand; those of all other ids are windows over groups of bounded size, in the
+    partitioning and order that the join needs anyway.
     """
     key = shape.key
-    order_slice, hot_order_ids = _heavy_ids(orders, key, min_rows)
-    client_slice, hot_client_ids = _heavy_ids(clients, key, min_rows)
-    heavy = [ids for ids in (hot_order_ids, hot_client_ids) if ids is not None]
-
     named, placed = clients.where(shape.has_key()), orders.where(shape.has_key())
-    if heavy:
-        ids = written(functools.reduce(DataFrame.union, heavy).distinct(), "hot-ids")
-        hot = written(
-            _hot_stats(ids, clients, orders, shape, order_slice, client_slice), "hot-stats"
-        )
-        placed = _in_slots(placed, hot, key, _ORDER_SLICES, repeat=hot_client_ids is not None)
-        named = _in_slots(named, hot, key, _CLIENT_SLICES, repeat=hot_order_ids is not None)
-        slot = ["_slot"]
-        hot_sum, hot_copies, hot_orders = "_hot_sum", "_hot_copies", F.col("_hot_orders")
-    else:
+    hot = _hot_stats(named, placed, shape, slice_rows)
+    if hot is None:
         slot = []
         hot_sum, hot_copies, hot_orders = F.lit(None), F.lit(None), F.lit(None)
+    else:
+        slot = ["_slot"]
+        hot_sum, hot_copies, hot_orders = "_hot_sum", "_hot_copies", F.col("_hot_orders")
+        most = hot.agg(F.max(_ORDER_SLICES).alias("o"), F.max(_CLIENT_SLICES).alias("c")).first()
+        placed = _in_slots(placed, hot, key, _ORDER_SLICES, repeat=most["c"] > 1)
+        named = _in_slots(named, hot, key, _CLIENT_SLICES, repeat=most["o"] > 1)
 
     group = Window.partitionBy(key, *slot)
     order_sum = F.coalesce(hot_sum, F.sum(shape.amount).over(group))
@@ -219,52 +214,59 @@ def _sliced(clients: DataFrame, orders: DataFrame, shape: _Shape, min_rows: int)
 _ORDER_SLICES, _CLIENT_SLICES = "_order_slices", "_client_slices"
 
 
-def _heavy_ids(df: DataFrame, key: str, min_slice_rows: int) -> tuple[int, DataFrame | None]:
-    """Rows in a slice, and the ids with more rows than that (None if there are none).
+def _hot_stats(
+    clients: DataFrame, orders: DataFrame, shape: _Shape, slice_rows: int
+) -> DataFrame | None:
+    """Sum, counts and slices of the ids that are hot on either side; None if there are none.
 
-    Exact, without a shuffle of all ids: rows are counted per hash bucket, a fixed
-    number of counts; only a bucket with more rows than a slice can hold such an id,
-    so ids are counted in those buckets alone. Fewer than MAX_SLICES ids are found.
+    Fewer than 2 * MAX_HOT_IDS rows, written to the shared scratch folder.
     """
-    keyed = df.where(F.col(key).isNotNull())
-    bucket = F.pmod(F.xxhash64(key), F.lit(_HASH_BUCKETS))
-    buckets = keyed.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    slice_rows = max(min_slice_rows, math.ceil(sum(b["rows"] for b in buckets) / MAX_SLICES))
-    full = [b["bucket"] for b in buckets if b["rows"] > slice_rows]
-    if not full:
-        return slice_rows, None
-    counted = keyed.where(bucket.isin(full)).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return slice_rows, counted.where(F.col("_rows") > slice_rows).select(key)
-
-
-def _hot_stats(
-    ids: DataFrame,
-    clients: DataFrame,
-    orders: DataFrame,
-    shape: _Shape,
-    order_slice: int,
-    client_slice: int,
-) -> DataFrame:
-    """Sum, counts and slices of the hot ids: fewer than 2 * MAX_SLICES rows."""
     key = shape.key
-
-    def of_hot_ids(df):
+    heavy = [_heavy_ids(df, key, slice_rows) for df in (orders, clients)]
+    heavy = [ids for ids in heavy if ids is not None]
+    if not heavy:
+        return None
+    ids = written(functools.reduce(DataFrame.union, heavy).distinct(), "hot-ids")
+    if ids.isEmpty():
+        return None
+
+    def of_hot_ids(df: DataFrame):
         return df.join(F.broadcast(ids), key, "left_semi").groupBy(key)
 
-    def slices(rows: str, size: int) -> Column:
-        return F.ceil(F.coalesce(rows, F.lit(1)) / F.lit(size))
+    def slices(rows: str) -> Column:
+        return F.ceil(F.coalesce(rows, F.lit(1)) / F.lit(slice_rows))
 
     counted = F.count(F.lit(1))
     order_stats = of_hot_ids(orders).agg(
         F.sum(shape.amount).alias("_hot_sum"), counted.alias("_hot_orders")
     )
     client_stats = of_hot_ids(clients).agg(counted.alias("_hot_copies"))
-    return (
+    stats = (
         ids.join(order_stats, key, "left")
         .join(client_stats, key, "left")
-        .withColumn(_ORDER_SLICES, slices("_hot_orders", order_slice))
-        .withColumn(_CLIENT_SLICES, slices("_hot_copies", client_slice))
+        .withColumn(_ORDER_SLICES, slices("_hot_orders"))
+        .withColumn(_CLIENT_SLICES, slices("_hot_copies"))
     )
+    return written(stats, "hot-stats")
+
+
+def _heavy_ids(df: DataFrame, key: str, slice_rows: int) -> DataFrame | None:
+    """Ids with more than 1/MAX_HOT_IDS of the rows, and more than a slice of them.
+
+    Exact, without a shuffle of all ids: rows are counted per hash bucket, a fixed
+    number of counts; only a bucket above the bound can hold such an id, so ids are
+    counted in those buckets alone. There are fewer than MAX_HOT_IDS of either. None
+    if the table is too small to hold such an id.
+    """
+    rows = df.count()
+    if rows <= slice_rows:
+        return None
+    above = F.col("_rows") > max(slice_rows, rows // MAX_HOT_IDS)
+    counted = F.count(F.lit(1)).alias("_rows")
+    ids = df.select(key, F.pmod(F.xxhash64(key), F.lit(_HASH_BUCKETS)).alias("_bucket"))
+    full = ids.groupBy("_bucket").agg(counted).where(above)
+    candidates = ids.join(F.broadcast(full), "_bucket", "left_semi")
+    return candidates.groupBy(key).agg(counted).where(above).select(key)
 
 
 def _in_slots(df: DataFrame, hot: DataFrame, key: str, own: str, repeat: bool) -> DataFrame:

@@ -144,7 +144,7 @@ def client_order_enrichment_sliced(spark, sf_dir):
     """Shuffle join with hot clients cut into slices."""
     return _rounded(
         enrich_orders(
-            clients(spark, sf_dir), orders(spark, sf_dir), strategy="sliced", min_slice_rows=8
+            clients(spark, sf_dir), orders(spark, sf_dir), strategy="sliced", slice_rows=8
         )
     )
 

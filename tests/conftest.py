@@ -25,8 +25,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.01"
-
-
-@pytest.fixture(scope="session")
-def small_dir():
-    return "/root/testdata/sf0.001"

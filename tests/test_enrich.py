@@ -86,7 +86,7 @@ class TestEachStrategy:
              (14, 2, None, DAY), (15, 77, 9.0, DAY), (16, 4, None, DAY), (17, 4, 3.0, None)],
         )
         expected = rows(by_window(spark, c, o))
-        assert rows(enrich_orders(c, o, strategy=strategy, min_slice_rows=1)) == expected
+        assert rows(enrich_orders(c, o, strategy=strategy, slice_rows=1)) == expected
         totals = {
             r.clientId: r.totalAmountByClient
             for r in enrich_orders(c, o, strategy=strategy).collect()
@@ -114,7 +114,7 @@ def test_a_third_of_the_rows_in_one_group(spark, strategy, case):
     if case == "unknown":
         orders += [(3000 + i, 12345, 1.0, DAY) for i in range(200)]
     c, o = frames(spark, clients, orders, partitions=5)
-    got = enrich_orders(c, o, strategy=strategy, min_slice_rows=10)
+    got = enrich_orders(c, o, strategy=strategy, slice_rows=10)
     assert rows(got) == rows(by_window(spark, c, o))
 
 
@@ -127,12 +127,11 @@ def test_slots_of_a_hot_id_are_even(spark):
     orders = [(i, 7, 1.0, DAY) for i in range(500)] + [(9, 7, 2.0, DAY)] * 500
     orders += [(i, i % 100, 1.0, DAY) for i in range(2000)]
     c, o = frames(spark, [(7, "c7", "l"), (8, "c8", "l")], orders, partitions=20)
-    slice_rows, ids = enrich._heavy_ids(o, "clientId", 100)
-    assert slice_rows == 100
-    assert [r.clientId for r in ids.collect()] == [7]
-    hot = enrich._hot_stats(ids, c, o, shape_of(c, o), 100, 100)
+    hot = enrich._hot_stats(c, o, shape_of(c, o), 100)
     (stats,) = hot.collect()
-    assert (stats._hot_sum, stats._hot_orders, stats._hot_copies) == (1520.0, 1020, 1)
+    assert (stats.clientId, stats._hot_sum, stats._hot_orders, stats._hot_copies) == (
+        7, 1520.0, 1020, 1,
+    )
     assert (stats._order_slices, stats._client_slices) == (11, 1)
     slotted = enrich._in_slots(o, hot, "clientId", enrich._ORDER_SLICES, repeat=False)
     assert slotted.count() == 3000
@@ -142,28 +141,34 @@ def test_slots_of_a_hot_id_are_even(spark):
 
 def test_heavy_ids_are_exact(spark):
     ids = [i for i in range(200) for _ in range(1 + i % 40)]
-    _, o = frames(spark, [], [(0, i, 1.0, DAY) for i in ids] + [(0, None, 1.0, DAY)] * 500)
-    _, heavy = enrich._heavy_ids(o, "clientId", 30)
+    _, o = frames(spark, [], [(0, i, 1.0, DAY) for i in ids])
+    heavy = enrich._heavy_ids(o, "clientId", 30)
     assert sorted(r.clientId for r in heavy.collect()) == [i for i in range(200) if i % 40 >= 30]
-    assert enrich._heavy_ids(o, "clientId", 40) == (40, None)
+    assert enrich._heavy_ids(o, "clientId", 40).count() == 0
+    assert enrich._heavy_ids(o, "clientId", len(ids)) is None
 
 
-def test_a_slice_grows_with_the_data(spark, monkeypatch):
-    monkeypatch.setattr(enrich, "MAX_SLICES", 4)
+def test_number_of_hot_ids_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(enrich, "MAX_HOT_IDS", 4)
     _, o = frames(spark, [], [(i, i % 3 and i, 1.0, DAY) for i in range(99)])
-    slice_rows, heavy = enrich._heavy_ids(o, "clientId", 1)
-    assert slice_rows == 25
-    assert [r.clientId for r in heavy.collect()] == [0]
+    assert [r.clientId for r in enrich._heavy_ids(o, "clientId", 1).collect()] == [0]
+    _, o = frames(spark, [], [(i, i % 4, 1.0, DAY) for i in range(100)])
+    assert enrich._heavy_ids(o, "clientId", 1).count() == 0
 
 
 def test_orders_of_a_hot_unknown_id_are_not_shuffled(spark):
     c, o = frames(
         spark, [(1, "a", "l")], [(i, 5 if i % 2 else 1 + i, 1.0, DAY) for i in range(100)]
     )
-    _, ids = enrich._heavy_ids(o, "clientId", 20)
-    hot = enrich._hot_stats(ids, c, o, shape_of(c, o), 20, 20)
+    hot = enrich._hot_stats(c, o, shape_of(c, o), 20)
     slotted = enrich._in_slots(o, hot, "clientId", enrich._ORDER_SLICES, repeat=False)
-    assert slotted.count() == 49
+    assert slotted.count() == 49  # 4 + 1 is such an order too
+
+
+def test_nothing_is_sliced_without_a_hot_id(spark):
+    c, o = frames(spark, [(i, "a", "l") for i in range(9)], [(i, i, 1.0, DAY) for i in range(9)])
+    assert enrich._hot_stats(c, o, shape_of(c, o), 2) is None
+    assert enrich._hot_stats(c, o, shape_of(c, o), 100) is None
 
 
 def spy_strategy(monkeypatch):

@@ -27,3 +27,6 @@ def test_query(spark, sf_dir, name):
     names, expected = sql_rows(driver.oracle_sql()[name], sf_dir)
     assert sorted(df.columns) == sorted(names)
     assert normal([tuple(r) for r in got], df.columns) == normal(expected, names)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
