@@ -144,7 +144,8 @@ def _broadcast_clients(clients: DataFrame, orders: DataFrame, shape: _Shape) ->
     keyed = named.join(totals, key, "left").select(
         *shape.client_columns, shape.client_total("_sum", F.col("_copies")), "_ordering"
     )
-    matched = orders.join(F.broadcast(keyed), key).select(*shape.columns)
+    # from the clients' side, so that the key has their type
+    matched = F.broadcast(keyed).join(orders, key).select(*shape.columns)
     # the total is NULL here too; reading it keeps the aggregation the same
     no_orders = shape.without_orders(
         keyed.where(F.col("_ordering").isNull()), F.col(shape.total)

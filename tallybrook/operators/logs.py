@@ -41,7 +41,8 @@ def parse_well_formed(lines: DataFrame, column: str = "value") -> DataFrame:
     from the one pass that cuts a line up.
     """
     line = F.col(column)
-    groups = lines.where(line.rlike(LOG_PATTERN)).select(log_groups(line, 1, 2, 3, 4, 5).alias("_g"))
+    matching = lines.where(line.rlike(LOG_PATTERN))
+    groups = matching.select(log_groups(line, 1, 2, 3, 4, 5).alias("_g"))
     return groups.select(
         *[F.get("_g", F.lit(i)).alias(name) for i, name in enumerate(PARSED_LOG.names)]
     )

@@ -95,7 +95,8 @@ def _csv_tables(spark: SparkSession, folder: str) -> Tables:
     return client_order_tables(spark, f"{folder}/clients", f"{folder}/orders", CLIENTS, ORDERS)
 
 
-_CLIENTS_SQL = "SELECT c_custkey AS clientId, c_name AS name, c_mktsegment AS location FROM customer"
+_CLIENTS_SQL = """SELECT c_custkey AS clientId, c_name AS name, c_mktsegment AS location
+  FROM customer"""
 _ORDERS_SQL = """SELECT o_orderkey AS orderId, o_custkey AS clientId, o_totalprice AS amount,
   strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders"""
 _NEWEST_YEAR_SQL = """SELECT o_orderkey AS orderId, o_custkey AS clientId, o_totalprice AS amount,
@@ -324,7 +325,8 @@ _PARSED_SQL = f"""WITH lines AS ({_LINES_SQL}), parsed AS (SELECT
            for i, name in enumerate(schemas.PARSED_LOG.names, 1))}
 FROM lines)"""
 _WELL_FORMED_SQL = f"{_PARSED_SQL} SELECT * FROM parsed WHERE level <> ''"
-_ERRORS_SQL = f"{_PARSED_SQL} SELECT log_timestamp, logger, message FROM parsed WHERE level = 'ERROR'"
+_ERRORS_SQL = f"""{_PARSED_SQL}
+SELECT log_timestamp, logger, message FROM parsed WHERE level = 'ERROR'"""
 
 
 def _staged_lines(spark: SparkSession, sf_dir: str) -> str:
@@ -366,7 +368,10 @@ def malformed_log_lines(spark, sf_dir):
     return malformed(log_lines(spark, sf_dir))
 
 
-@_query(f"{_PARSED_SQL} SELECT level, count(*) AS lines FROM parsed WHERE level <> '' GROUP BY level")
+@_query(
+    f"""{_PARSED_SQL}
+SELECT level, count(*) AS lines FROM parsed WHERE level <> '' GROUP BY level"""
+)
 def log_level_distribution(spark, sf_dir):
     return level_distribution(parse_logs(log_lines(spark, sf_dir)))
 

@@ -12,7 +12,9 @@ from tallybrook.functions.dates import parse_partition_date
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def partition_folders(spark: SparkSession, root: str, column: str = "date") -> dict[date, list[str]]:
+def partition_folders(
+    spark: SparkSession, root: str, column: str = "date"
+) -> dict[date, list[str]]:
     """Folders under ``root`` per partition date.
 
     Only the folder names of one level are listed, on the file system that the path
@@ -41,7 +43,9 @@ def partition_folders(spark: SparkSession, root: str, column: str = "date") -> d
     return folders
 
 
-def latest_partition(spark: SparkSession, root: str, column: str = "date") -> tuple[date, list[str]]:
+def latest_partition(
+    spark: SparkSession, root: str, column: str = "date"
+) -> tuple[date, list[str]]:
     """Newest partition date, by date and not by text, and its folder(s)."""
     folders = partition_folders(spark, root, column)
     if not folders:

@@ -227,6 +227,18 @@ def test_other_column_names_and_decimal_amounts(spark):
         ]
 
 
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_key_types_may_differ(spark, strategy):
+    c = spark.createDataFrame([(1, "Ada", "Lyon"), (2, "Ben", "Oslo")], schemas.CLIENTS)
+    o = spark.createDataFrame(
+        [(1, 1, 1.5, DAY)] * 4 + [(2, 1 << 40, 2.0, DAY)] * 4,
+        "orderId INT, clientId BIGINT, amount DOUBLE, date STRING",
+    )
+    out = enrich_orders(c, o, strategy=strategy, slice_rows=2)
+    assert out.schema["clientId"].dataType == schemas.CLIENTS["clientId"].dataType
+    assert rows(out) == rows(by_window(spark, c, o))
+
+
 def test_wrong_arguments(two_clients):
     c, o = two_clients
     with pytest.raises(ValueError, match="unknown strategy"):

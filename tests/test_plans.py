@@ -48,7 +48,7 @@ def tables(spark, sf_dir):
 
 def test_broadcast_clients_never_shuffles_order_rows(tables, no_auto_broadcast):
     plan = final_plan(enrich_orders(*tables, strategy="clients"))
-    assert "BroadcastHashJoin [clientId], [clientId], Inner, BuildRight" in plan
+    assert "BroadcastHashJoin [clientId], [clientId], Inner, BuildLeft" in plan
     # clients and pre-aggregated orders; the second branch reuses both
     assert len(re.findall(r"- Exchange hashpartitioning\(clientId, \d+\)", plan)) == 2
     assert plan.count("ReusedExchange") == 2
