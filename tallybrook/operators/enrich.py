@@ -62,7 +62,8 @@ def enrich_orders(
     aggregation to pick the strategy. A broadcast asked for by name is measured too,
     and gives way to ``sliced`` if it does not fit. ``sliced`` counts rows per id
     bucket first, and if there are hot ids writes their few statistics to the shared
-    scratch folder.
+    scratch folder. The inputs are read more than once, a few columns at a time; write
+    out one that is expensive to compute.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")

@@ -105,11 +105,11 @@ _NEWEST_YEAR_SQL = """SELECT o_orderkey AS orderId, o_custkey AS clientId, o_tot
 
 
 def _enrichment_sql(orders_sql: str, where: str = "") -> str:
-    return f"""WITH c AS ({_CLIENTS_SQL}), o AS ({orders_sql}),
-e AS (SELECT c.clientId, c.name, c.location, o.orderId, o.amount, o.date,
-  ROUND(SUM(o.amount) OVER (PARTITION BY c.clientId), 2) AS totalAmountByClient
-  FROM c LEFT JOIN o ON c.clientId = o.clientId)
-SELECT * FROM e {where}"""
+    return f"""WITH c AS ({_CLIENTS_SQL}), o AS ({orders_sql}), enriched AS (
+  SELECT clientId, name, location, orderId, amount, date,
+    ROUND(SUM(amount) OVER (PARTITION BY clientId), 2) AS totalAmountByClient
+  FROM c LEFT JOIN o USING (clientId))
+SELECT * FROM enriched {where}"""
 
 
 def _rounded(enriched: DataFrame) -> DataFrame:
@@ -152,8 +152,7 @@ def client_order_enrichment_sliced(spark, sf_dir):
 
 @_query(
     f"""WITH c AS ({_CLIENTS_SQL}), o AS ({_ORDERS_SQL})
-SELECT count(*) AS n_rows, count(o.orderId) AS n_orders
-FROM c LEFT JOIN o ON c.clientId = o.clientId"""
+SELECT count(*) AS n_rows, count(orderId) AS n_orders FROM c LEFT JOIN o USING (clientId)"""
 )
 def enrichment_row_count(spark, sf_dir):
     enriched = enrich_orders(clients(spark, sf_dir), orders(spark, sf_dir))

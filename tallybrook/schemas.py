@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Table names, field names and field types of all inputs and outputs.
+
 
 def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
