@@ -28,8 +28,8 @@ from tallybrook.scratch import written
 
 # A side is broadcast only if it is measured to be at most this large.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# An id is hot if it holds more than this fraction of a side's rows, so that there are
-# fewer hot ids than this on either side, whatever the size of the data.
+# An id is hot if it holds more than one in this many of a side's rows, so that there
+# are fewer hot ids than this on either side, whatever the size of the data.
 MAX_HOT_IDS = 16_384
 # Rows of a hot id that go to one task together. Fewer rows than this are not worth
 # slicing, so an id with fewer is never hot.
