@@ -7,8 +7,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe
+from tallybrook.llm import op1_bpe, op5_warc
 from tallybrook.llm.common import table
+from tallybrook.scratch import shared_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -31,3 +32,15 @@ def tokenizer() -> tuple[bytes, str]:
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; counts and digests."""
     return op1_bpe.digests(table(spark, sf_dir, "documents"), *tokenizer())
+
+
+@_query
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as WARC records and read the archives back."""
+    folder = shared_folder(spark, "warc")
+    op5_warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    records = op5_warc.read_archives(spark, folder, payloads=False)
+    return records.select(
+        op5_warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", op5_warc.page_of("refers_to").alias("refers_to"),
+    )
