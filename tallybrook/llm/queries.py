@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op5_warc
+from tallybrook.llm import op1_bpe, op5_warc, op10_licenses
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -44,3 +44,9 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         op5_warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest",
         "record_type", op5_warc.page_of("refers_to").alias("refers_to"),
     )
+
+
+@_query
+def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return op10_licenses.detect(table(spark, sf_dir, "documents")).drop("detections")
