@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op5_warc, op10_licenses
+from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op10_licenses
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -50,3 +50,17 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and labels of every document."""
     return op10_licenses.detect(table(spark, sf_dir, "documents")).drop("detections")
+
+
+@_query
+def op2_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by fixed patterns and by the character models."""
+    docs = table(spark, sf_dir, "documents")
+    model = op2_secrets.train(op2_secrets.labelled_samples(docs))
+    found = op2_secrets.find(docs, model)
+    return found.select(
+        "doc_id",
+        *[op2_secrets.count("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(op2_secrets.joined("base"), 256).alias("base_sha256"),
+        op2_secrets.joined("spans").alias("spans"),
+    )
