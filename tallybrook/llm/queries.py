@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op10_licenses
+from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op9_toxicity, op10_licenses
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -64,3 +64,14 @@ def op2_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(op2_secrets.joined("base"), 256).alias("base_sha256"),
         op2_secrets.joined("spans").alias("spans"),
     )
+
+
+@_query
+def op9_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = op9_toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(op9_toxicity.remainder(F.col("doc_id")) == 0, F.lit(False))
+    return op9_toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
