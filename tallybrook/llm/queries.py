@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op9_toxicity, op10_licenses
+from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op7_decontaminate, op9_toxicity, op10_licenses
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -75,3 +75,11 @@ def op9_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", "predicted"
     )
+
+
+@_query
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document and the benchmark items that it contains."""
+    return op7_decontaminate.contained(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
