@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op7_decontaminate, op9_toxicity, op10_licenses
+from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op6_lm_scores, op7_decontaminate, op9_toxicity, op10_licenses
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -83,3 +83,11 @@ def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_decontaminate.contained(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@_query
+def op6_lm_scores_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much likelier each document is under a model of good documents than of all."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return op6_lm_scores.score(docs, op6_lm_scores.train(docs, good))
