@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op2_secrets, op5_warc, op6_lm_scores, op7_decontaminate, op9_toxicity, op10_licenses
+from tallybrook.llm import op1_bpe, op2_secrets, op4_ngram_join, op5_warc, op6_lm_scores, op7_decontaminate, op9_toxicity, op10_licenses
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -91,3 +91,9 @@ def op6_lm_scores_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return op6_lm_scores.score(docs, op6_lm_scores.train(docs, good))
+
+
+@_query
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents alike in at least 85 % of their four-word shingles."""
+    return op4_ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
