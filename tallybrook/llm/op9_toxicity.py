@@ -153,6 +153,7 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON_SIZE) -> Lexicon:
     counted = counted.groupBy("term").agg(in_class(1).alias("bad"), in_class(0).alias("good"))
     odds = ((F.col("bad") + 0.5) / (of.get(1, 0) + 1)) / ((F.col("good") + 0.5) / (of.get(0, 0) + 1))
     strong = counted.select("term", "bad", odds.alias("odds")).where(f"bad >= {LEAST_ROWS} and odds >= {LEAST_ODDS}")
+    strong = stored(strong, "lexicon")
     found: dict[str, dict[str, float]] = {}
     for kind in "wb":
         best = strong.where(F.col("term").startswith(kind)).orderBy(

@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op2_secrets, op4_ngram_join, op5_warc, op6_lm_scores, op7_decontaminate, op9_toxicity, op10_licenses
+from tallybrook.llm import op1_bpe, op2_secrets, op3_embeddings, op4_ngram_join, op5_warc, op6_lm_scores, op7_decontaminate, op9_toxicity, op10_licenses
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -97,3 +97,9 @@ def op6_lm_scores_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents alike in at least 85 % of their four-word shingles."""
     return op4_ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
+@_query
+def op3_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors of one label with a cosine of at least 0.98."""
+    return op3_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
