@@ -294,7 +294,7 @@ def _map_texts(docs: DataFrame, text: str, keep: list, schema: str, ranks: bytes
             results = [row(as_text(x), encoder) for x in batch.column(0).to_pylist()]
             columns = list(zip(*results)) if results else [[] for _ in types]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *[pa.array(c, t) for c, t in zip(columns, types)]],
+                [*batch.columns[1:], *[_column(c, t) for c, t in zip(columns, types)]],
                 [*batch.schema.names[1:], *[f"_r{i}" for i in range(len(types))]],
             )
 
@@ -313,7 +313,15 @@ def _map_texts(docs: DataFrame, text: str, keep: list, schema: str, ranks: bytes
 def encode(docs: DataFrame, ranks: bytes, pattern: str, *, keep=("doc_id",), text: str = "text") -> DataFrame:
     """The ``keep`` columns and ``ids``, the token ids of each whole text; null is empty."""
     return _map_texts(docs, text, list(keep), "ids array<int>", ranks, pattern,
-                      lambda t, e: (e.encode(t),), [pa.list_(pa.int32())])
+                      lambda t, e: (e.packed(t),), [pa.list_(pa.int32())])
+
+
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    """Ids come packed and go into one buffer; all else is converted value by value."""
+    if not pa.types.is_list(kind):
+        return pa.array(values, kind)
+    ends = np.cumsum([0, *(len(v) // 4 for v in values)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(values), "<i4")))
 
 
 def decode(encoded: DataFrame, ranks: bytes, pattern: str, *, ids: str = "ids") -> DataFrame:

@@ -340,20 +340,17 @@ def near_duplicates(
     Vectors link if their labels and lengths are equal, the label is not null, and their
     cosine is ``least`` or more. Those that are null, zero, or hold null or non-finite
     components link with nothing, nor do rows without an id. ``component_id`` is the
-    smallest id reachable by links. Ids are unique integers: rows that repeat an id with
-    an equal vector count as copies of each other, with another vector they are
-    separate nodes of one component. Other columns are not looked at.
+    smallest id reachable by links. Ids are integers: rows that repeat an id with an equal
+    vector count as copies of each other; with other vectors they are one component, whose
+    links add up. Other columns are not looked at.
     """
     rows = usable(vec_id, embedding, label, vectors)
     nodes = rows.groupBy("label", "vec").agg(F.min("id").alias("first"), F.count("*").alias("times"))
-    # one id may stand for several vectors: nodes have ids of their own if it does
-    nodes = nodes.withColumn("id", F.col("first"))
-    clash = nodes.groupBy("id").count().where("count > 1")
-    if not clash.isEmpty():
-        raise ValueError("an id is repeated with different vectors or labels")
-    nodes = stored(nodes.select("id", "label", "vec", "times"), "vectors")
-    copies = rows.join(nodes.select("label", "vec", F.col("id").alias("rep"), "times"), ["label", "vec"])
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    copies = rows.distinct().join(nodes.select("label", "vec", F.col("node").alias("rep"), "times"), ["label", "vec"])
     copies = stored(copies.select("id", "rep", "times"), "vector-copies")
+    firsts = nodes.select(F.col("node").alias("rep"), "first")
+    nodes = nodes.select(F.col("node").alias("id"), "label", "vec", "times")
 
     placed, whole = shards(nodes, shard)
     times = nodes.select("id", "times")
@@ -377,12 +374,17 @@ def near_duplicates(
     cross = cross.select("a", "b").union(cross.select("b", "a")).distinct()
     counted = cross.join(times.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("times").alias("n"))
     counted = counted.union(found.where("kind = 'count'").select("a", "n")).groupBy("a").agg(F.sum("n").alias("n"))
-    group = components(found.where("kind <> 'count'").select("a", "b")).withColumnRenamed("id", "rep")
+    # an id with several vectors makes one component of them
+    several = copies.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
+    same = copies.join(several, "id").select("a", F.col("rep").alias("b"))
+    group = components(found.where("kind <> 'count'").select("a", "b").union(same)).withColumnRenamed("id", "rep")
+    least_id = firsts.join(group, "rep").groupBy("component").agg(F.min("first").alias("low"))
+    group = group.join(least_id, "component").select("rep", "low")
     linked = copies.join(counted.withColumnRenamed("a", "rep"), "rep", "left").join(group, "rep", "left")
-    linked = linked.select(
-        F.col("id").alias("_id"), (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("_n"),
-        F.coalesce("component", "rep").alias("_c"),
-    ).distinct()
+    linked = linked.join(firsts, "rep").groupBy(F.col("id").alias("_id")).agg(
+        F.sum(F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("_n"),
+        F.min(F.coalesce("low", "first")).alias("_c"),
+    )
     every = vectors.select(vectors[f"`{vec_id}`"].cast("long").alias("vec_id"))
     out = every.join(linked, every["vec_id"] == linked["_id"], "left")
     component = F.coalesce("_c", "vec_id")

@@ -1,3 +1,65 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline, each (spark, docs, sf_dir) -> DataFrame.
 
-STAGES = []
+``docs`` has the columns of ``documents``; all stages but the last return these again.
+Rows with null columns, repeated rows and empty tables pass through every stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallybrook.llm import op1_bpe, op2_secrets, op4_ngram_join, op7_decontaminate, op9_toxicity
+from tallybrook.llm.common import table
+from tallybrook.llm.queries import tokenizer
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the toxicity score rejects."""
+    model = op9_toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = op9_toxicity.score(docs, model, keep=docs.columns)
+    return scored.where("predicted = 0").select(docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the smallest id of each group of near copies.
+
+    Five words and a similarity of 0.8. Rows that repeat an id are one document, of which
+    one row stays; rows without an id belong to no group and stay.
+    """
+    groups = op4_ngram_join.near_duplicates(docs, words=5, num=80, den=100)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.union(docs.where("doc_id is null")).select(docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that contain a benchmark item."""
+    marked = op7_decontaminate.mark(docs, table(spark, sf_dir, "benchmark"), leaks="_leaks")
+    return marked.where(F.size("_leaks") == 0).select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Put a placeholder in the place of each secret; all documents stay."""
+    model = op2_secrets.train(op2_secrets.labelled_samples(docs))
+    found = op2_secrets.find(docs, model, keep=docs.columns)
+    hit = F.size("spans") > 0
+    text = op2_secrets.redacted(F.col("text"), F.col("spans"))
+    found = found.withColumn("_text", text)
+    changed = {"text": F.col("_text"), "n_chars": F.when(hit, F.length("_text").cast("long")).otherwise(F.col("n_chars"))}
+    return found.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each document: doc_id, lang, source, n_tokens, ids."""
+    ids = op1_bpe.encode(docs, *tokenizer(), keep=("doc_id", "lang", "source"))
+    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("ngram_jaccard_join", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
+    ("bpe", encoded),
+]

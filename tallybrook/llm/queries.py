@@ -7,7 +7,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import op1_bpe, op2_secrets, op3_embeddings, op4_ngram_join, op5_warc, op6_lm_scores, op7_decontaminate, op9_toxicity, op10_licenses
+from tallybrook.llm import (
+    op1_bpe,
+    op2_secrets,
+    op3_embeddings,
+    op4_ngram_join,
+    op5_warc,
+    op6_lm_scores,
+    op7_decontaminate,
+    op8_html,
+    op9_toxicity,
+    op10_licenses,
+)
 from tallybrook.llm.common import table
 from tallybrook.scratch import shared_folder
 
@@ -103,3 +114,9 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of vectors of one label with a cosine of at least 0.98."""
     return op3_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page, without its host's template."""
+    return op8_html.extract(table(spark, sf_dir, "pages"))
