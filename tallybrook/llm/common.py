@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -70,16 +68,11 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     n = len(words)
     if n == 0:
         return words
-    size_used = min(size, n)
-    h = np.zeros(n - size_used + 1, U64)
-    for i in range(size_used):
-        h = mixed(h + words[i : n - size_used + 1 + i] + U64(0x9E3779B97F4A7C15))
-    return h + U64(size_used)
-
-
-def batches_of(batches: Iterable, column: int = 0) -> Iterator[list]:
-    for batch in batches:
-        yield batch.column(column).to_pylist()
+    used = min(size, n)
+    h = np.full(n - used + 1, used, U64)
+    for i in range(used):
+        h += words[i : n - used + 1 + i] * U64(0x9E3779B97F4A7C15 + 0xD6E8FEB86659FD92 * i & (1 << 64) - 1)
+    return mixed(h)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -4,13 +4,15 @@
 2. Two sets that link share one of their rarest shingles (prefix filter): a set of n has
    n - ceil(share * n) + 1 of them. Rarity is a fixed number of counts by hash; any order
    shared by all sets gives the same links.
-3. Sets that share such a shingle, directly or through others, form a cluster. A cluster
-   is compared in one tile if it is small, else in tiles of two blocks each of sets whose
-   sizes lie in the same or the next band (sizes that may link).
-4. In a tile, bitmaps of hashed shingles are compared first: differing bits bound the
-   overlap from above. What may still link is intersected exactly. Sets that are already
-   connected are not compared, and a tile returns a spanning forest of its links, so a
-   group of thousands of near copies is neither expanded into pairs nor gathered.
+3. Sets that share such a shingle are compared by their bitmaps, a bit per hashed shingle
+   that is set if an odd number of them falls on it: differing bits bound the overlap from
+   above. Sets that may still link, directly or through others, form a cluster.
+4. A cluster is compared in one tile if it is small, else in tiles of two blocks each of
+   sets whose sizes lie in the same or the next band (sizes that may link). There bitmaps
+   come first again, and what may still link is intersected exactly.
+
+Sets that are already connected are not compared, and a tile returns a spanning forest, so
+a group of thousands of near copies is neither expanded into pairs nor gathered.
 
 No bucket, cluster or tile is dropped or cut short.
 """
@@ -26,16 +28,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import components, mixed, shingles, stored, word_hashes
+from tallybrook.llm.common import components, shingles, stored, word_hashes
 
 CELL_BITS = 17
 # Shingles of the sets in a block; a tile holds two blocks.
 BLOCK_SHINGLES = 1_000_000
+# Sets in a block of those that share a rare shingle.
+KEY_BLOCK = 2048
 _CELL, _DOC = 1, 0
 
 
 def shingle_set(text, words: int) -> np.ndarray:
-    return np.unique(mixed(shingles(word_hashes(text), words)))
+    return np.unique(shingles(word_hashes(text), words))
+
+
+def bitmap(own: np.ndarray) -> np.ndarray:
+    """Parities of the shingles by hash, as bytes: as many bits as shingles, rounded up to 2^k."""
+    bits = max(64, 1 << max(0, len(own) - 1).bit_length())
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -79,105 +90,185 @@ def _levels(counts: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int, num: int, den: int, levels: np.ndarray) -> DataFrame:
-    """(id, keys): the rarest shingles of each set, as many as the share calls for."""
+    """(id, keys, n, bits): the rarest shingles of each set, as many as the share calls for."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
         level = shared.value
         for batch in batches:
-            out = []
+            keys, sizes, maps = [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text, words)
                 length = prefix_length(len(own), num, den) if len(own) else 0
                 rare = level[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 # sets are sorted by hash, so a stable sort by level orders by both
-                out.append(own[np.argsort(rare, kind="stable")[:length]].view(np.int64))
+                keys.append(own[np.argsort(rare, kind="stable")[:length]].view(np.int64))
+                sizes.append(len(own))
+                maps.append(bitmap(own).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["id", "keys"]
+                [batch.column(0), pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())],
+                ["id", "keys", "n", "bits"],
             )
 
-    return docs.mapInArrow(run, "id bigint, keys array<bigint>")
-
-
-def tile_links(
-    sets: list[np.ndarray], num: int, den: int, side: np.ndarray | None = None, label: np.ndarray | None = None
-) -> list[tuple[int, int]]:
-    """Links (i, j) that connect what the sets' links connect, each verified exactly.
-
-    With ``side``, only sets of different sides are compared; sets of equal ``label``
-    count as connected from the start.
+    return docs.mapInArrow(run, "id bigint, keys array<bigint>, n bigint, bits binary")
+
+
+class _Bitmaps:
+    """Bitmaps of a tile, grouped so that any two sets that may link are compared at one width."""
+
+    def __init__(self, maps: list[np.ndarray]):
+        self.width = np.array([len(m) for m in maps])
+        self.rows, self.place = {}, {}
+        for width in np.unique(self.width):
+            # sets of twice the width are folded: halves are parities of the same shingles
+            own = np.flatnonzero((self.width == width) | (self.width == 2 * width))
+            folded = [maps[i] if len(maps[i]) == width else maps[i][:width] ^ maps[i][width:] for i in own]
+            self.rows[width] = np.stack(folded).view(np.uint64)
+            place = np.full(len(maps), -1)
+            place[own] = np.arange(len(own))
+            self.place[width] = place
+
+    def differing(self, p: int, rest: np.ndarray) -> np.ndarray:
+        """Differing bits of set p and each of the rest: at most the size of their difference."""
+        out = np.empty(len(rest), np.int64)
+        width = np.minimum(self.width[rest], self.width[p])
+        for w in np.unique(width):
+            chosen = width == w
+            rows, place = self.rows[w], self.place[w]
+            apart = rows[place[rest[chosen]]] ^ rows[place[p]]
+            out[chosen] = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def spanning_forest(size, maps, num, den, order, side=None, label=None, linked=None) -> list[tuple[int, int]]:
+    """Pairs (i, j) that connect all sets that may link; with ``linked``, that do.
+
+    Compares each set, in order, with those after it that it is not connected with yet.
+    ``linked(p)`` gives the function that counts what a set shares with p. With ``side``
+    only sets of different sides are compared; sets of equal ``label`` are connected from
+    the start.
     """
-    m = len(sets)
+    m = len(size)
     group = np.arange(m) if label is None else np.unique(label, return_inverse=True)[1]
+    links: list[tuple[int, int]] = []
     if m < 2 or (group == group[0]).all():
-        return []
-    size = np.array([len(s) for s in sets])
-    shingle, dense, occurs = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    ends = np.cumsum(size)
-    own = np.split(dense, ends[:-1])
-    bits = int(min(8192, max(256, 1 << int(size.max() - 1).bit_length())))
-    maps = np.zeros((m, bits), np.uint8)
-    np.add.at(maps, (np.repeat(np.arange(m), size), (shingle[dense] & np.uint64(bits - 1)).astype(np.int64)), 1)
-    maps = np.packbits(maps & 1, axis=1).view(np.uint64)
-    # sets full of common shingles first: they are linked with most, and little is left then
-    common = np.add.reduceat(occurs[dense], np.concatenate(([0], ends[:-1]))) / size
+        return links
+    bitmaps = _Bitmaps(maps)
     waiting = np.ones(m, bool)
-    mark = np.zeros(len(shingle), bool)
-    links = []
-    for p in np.argsort(-common, kind="stable"):
+    for p in order:
         waiting[p] = False
         may = waiting & (group != group[p])
-        may &= (den * np.minimum(size, size[p]) >= num * np.maximum(size, size[p]))
+        may &= den * np.minimum(size, size[p]) >= num * np.maximum(size, size[p])
         if side is not None:
             may &= side != side[p]
         rest = np.flatnonzero(may)
         if not len(rest):
             continue
         both = size[rest] + size[p]
-        differ = np.bitwise_count(maps[rest] ^ maps[p]).sum(axis=1, dtype=np.int64)
-        fits = (both - differ) * (num + den) >= 2 * num * both
+        fits = (both - bitmaps.differing(p, rest)) * (num + den) >= 2 * num * both
         rest, both = rest[fits], both[fits]
         if not len(rest):
             continue
-        mark[own[p]] = True
+        test = linked(p) if linked else None
         for q, total in zip(rest, both):
-            if group[q] != group[p] and np.count_nonzero(mark[own[q]]) * (num + den) >= num * total:
+            if group[q] != group[p] and (test is None or test(q) * (num + den) >= num * total):
                 links.append((int(p), int(q)))
                 group[group == group[q]] = group[p]
-        mark[own[p]] = False
         if (group == group[0]).all():
             break
     return links
 
 
-def _grouped(batches) -> Iterator[tuple[str, list[dict]]]:
+def tile_links(
+    sets: list[np.ndarray], num: int, den: int, side: np.ndarray | None = None, label: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """Links (i, j) that connect what the sets' links connect, each verified exactly."""
+    if len(sets) < 2:
+        return []
+    size = np.array([len(s) for s in sets])
+    shingle, dense, occurs = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    ends = np.cumsum(size)
+    own = np.split(dense, ends[:-1])
+    # sets full of common shingles first: they are linked with most, and little is left then
+    common = np.add.reduceat(occurs[dense], np.concatenate(([0], ends[:-1]))) / size
+    mark = np.zeros(len(shingle), bool)
+
+    def intersection_with(p):
+        mark[:] = False
+        mark[own[p]] = True
+        return lambda q: np.count_nonzero(mark[own[q]])
+
+    order = np.argsort(-common, kind="stable")
+    return spanning_forest(size, [bitmap(s) for s in sets], num, den, order, side, label, intersection_with)
+
+
+def _grouped(batches, *keys: str) -> Iterator[list[dict]]:
     """Rows of sorted batches, tile by tile."""
 
     def rows():
         for batch in batches:
             yield from batch.to_pylist()
 
-    for tile, own in groupby(rows(), key=lambda r: r["tile"]):
-        yield tile, list(own)
+    for _, own in groupby(rows(), key=lambda r: tuple(r[k] for k in keys)):
+        yield list(own)
+
+
+_PAIR = "a bigint, b bigint"
+
+
+def _pairs(rows: list[dict], links: list[tuple[int, int]]) -> pa.RecordBatch:
+    ids = np.array([r["id"] for r in rows])
+    a, b = np.array(links).reshape(-1, 2).T
+    return pa.RecordBatch.from_arrays([pa.array(ids[a], pa.int64()), pa.array(ids[b], pa.int64())], ["a", "b"])
+
+
+def _may_link(hits: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) connecting the sets of each key that may link by their bitmaps.
+
+    ``hits`` are (key, id, m), with m ids to the key; a key with many is cut into blocks,
+    and each two blocks are compared in a tile.
+    """
+    blocks = F.ceil(F.col("m") / KEY_BLOCK).cast("int")
+    hits = hits.withColumn("blocks", blocks).withColumn("x", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: F.struct(
+        F.least("x", y).alias("i"), F.greatest("x", y).alias("j"), (F.col("x") > y).cast("int").alias("side")
+    ))
+    rows = hits.select("key", "id", F.explode(tiles).alias("t")).select("key", "t.i", "t.j", "t.side", "id")
+
+    def run(batches):
+        links, size = [], 0
+        for own in _grouped(batches, "key", "i", "j"):
+            side = np.array([r["side"] for r in own])
+            sizes = np.array([r["n"] for r in own])
+            maps = [np.frombuffer(r["bits"], np.uint8) for r in own]
+            found = spanning_forest(sizes, maps, num, den, np.argsort(sizes), side if side.any() else None)
+            if found:
+                links.append(_pairs(own, found))
+                size += len(found)
+            if size >= 10_000:
+                yield from links
+                links, size = [], 0
+        yield from links
+
+    dealt = rows.join(maps, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+    return dealt.mapInArrow(run, _PAIR).distinct()
 
 
 def _compared(tiles: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links (a, b) within the tiles; rows are (tile, side, label, id, text)."""
 
     def run(batches):
-        for _, rows in _grouped(batches):
+        for rows in _grouped(batches, "tile"):
             sets = [shingle_set(r["text"], words) for r in rows]
             side = np.array([r["side"] for r in rows])
             label = np.array([r["label"] for r in rows])
             two_sided = side.any()
             links = tile_links(sets, num, den, side if two_sided else None, label)
             if links:
-                a, b = zip(*links)
-                ids = np.array([r["id"] for r in rows])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[list(a)]), pa.array(ids[list(b)])], ["a", "b"])
+                yield _pairs(rows, links)
 
     dealt = tiles.repartition("tile").sortWithinPartitions("tile", "id")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(run, _PAIR)
 
 
 def _blocks(nodes: DataFrame, num: int, den: int, block: int) -> DataFrame:
@@ -251,14 +342,19 @@ def near_duplicates(
     named = source.where("id is not null")
     reps = known.where("id = rep").groupBy("id").agg(F.max("n").alias("n"))
 
-    # clusters of sets that share a rare shingle
-    keyed = stored(
-        prefixes(named, words, num, den, levels).join(reps, "id", "left_semi")
-        .select("id", F.explode("keys").alias("key")), "join-keys",
-    )
+    # clusters of sets that share a rare shingle and may link by their bitmaps
+    rare = stored(prefixes(named, words, num, den, levels).join(reps, "id", "left_semi"), "join-keys")
+    keyed = rare.select("id", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    stars = keyed.join(shared, "key").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
-    clusters = components(stars.distinct())
+    hits = stored(keyed.join(shared.select("key"), "key"), "join-hits")
+    # of keys with the same sets one will do
+    of_key = hits.groupBy("key").agg(
+        F.count("*").alias("m"), F.min("id").alias("low"),
+        F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("sum"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("xor"),
+    )
+    one = of_key.groupBy("m", "low", "sum", "xor").agg(F.min("key").alias("key")).select("key", "m")
+    close = stored(_may_link(hits.join(one, "key"), rare.select("id", "n", "bits"), num, den), "join-close")
+    clusters = components(close)
     nodes = clusters.select("id", F.col("component").alias("cluster")).join(reps, "id")
     placed = stored(_blocks(nodes, num, den, block_shingles), "join-nodes")
 
