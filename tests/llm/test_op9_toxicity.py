@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import zlib
+
+import pytest
+
+from tallybrook.llm import op9_toxicity as tox
+from tallybrook.llm.queries import op9_toxicity_scores
+from tests.llm.helpers import docs, no_docs, odd_docs, table
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    rows = op9_toxicity_scores(spark, sf_dir).collect()
+    assert len(rows) == table(spark, sf_dir, "documents").count()
+    labels = {r["doc_id"]: r["toxic"] for r in table(spark, sf_dir, "labels").collect()}
+    right = total = 0
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1
+        assert r["predicted"] == (r["score"] >= 0.5)
+        if r["held_out"] and r["doc_id"] in labels:
+            total += 1
+            right += r["predicted"] == labels[r["doc_id"]]
+    assert right / total > 0.95
+
+
+@pytest.fixture(scope="module")
+def model(spark, sf_dir):
+    return tox.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def test_odd_documents(spark, model):
+    rows = tox.score(odd_docs(spark), model).collect()
+    assert len(rows) == odd_docs(spark).count()
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    assert tox.score(no_docs(spark), model).collect() == []
+
+
+def test_all_columns_may_be_kept(spark, model):
+    df = odd_docs(spark).drop("score")
+    assert tox.score(df, model, keep=df.columns).columns == [*df.columns, "score", "predicted"]
+
+
+def test_without_labels_or_with_one_class(spark):
+    df = docs(spark, ["a b", "c", None, "d"])
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in tox.score(df, tox.train(df, none)).collect()} == {0.0}
+    odd = spark.createDataFrame([(i, None, 1) for i in range(4)] + [(None, 1, 1), (1, 1, None)], none.schema)
+    assert {r["score"] for r in tox.score(df, tox.train(df, odd)).collect()} == {1.0}
+
+
+def test_labels_are_bounded_and_never_from_the_held_out_fold(spark, sf_dir):
+    chosen = tox.training_labels(table(spark, sf_dir, "labels"), most=100).collect()
+    assert len(chosen) == 100
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == r["fold"] != 0 for r in chosen)
+
+
+def test_features():
+    weights = tox._Weights(tox.Lexicon({"fool": 2.0}, {"vile": 1.5}))
+    named = dict(zip(tox.FEATURES, tox.features("You FOOL!! a vilest f00l, you", weights)))
+    assert named["hits_per_word"] == pytest.approx(2 / 6)
+    assert named["largest_weight"] == 2.0
+    assert named["near_second_person"] == 1.0
+    assert named["second_person_per_word"] == pytest.approx(2 / 6)
+    assert named["obfuscated_hits"] == pytest.approx(1 / 6)
+    assert len(tox.features(None, weights)) == len(tox.FEATURES) == len(tox.features("!", weights))
