@@ -15,10 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybrook.llm.common import stored
+
 VOCABULARY = 32_768
 CELL_BITS = 20
 PAIR_WEIGHT, SMOOTHING = 0.7, 0.5
 _FLUSH = 300_000
+# Steps per factor e of a word's count; counts below this are told apart.
+_LEVELS = 1000
 
 
 def _words(text) -> list[bytes]:
@@ -63,7 +67,10 @@ def cell_of(before: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 def vocabulary(docs: DataFrame, *, text: str = "text", size: int = VOCABULARY) -> list[bytes]:
-    """The ``size`` most frequent words of all documents, A-Z in lower case; ties by bytes."""
+    """The most frequent words of all documents, A-Z in lower case, ``size`` at most.
+
+    Words that are equally frequent are in it together or not at all.
+    """
 
     def count(batches):
         counts = Counter()
@@ -76,8 +83,17 @@ def vocabulary(docs: DataFrame, *, text: str = "text", size: int = VOCABULARY) -
         yield _counted(counts)
 
     words = docs.select(docs[f"`{text}`"].cast("binary").alias("t")).mapInArrow(count, "word binary, n bigint")
-    words = words.groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in words.orderBy(F.desc("n"), "word").limit(size).collect()]
+    words = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    # no sort: a histogram of the counts, of bounded size, tells how frequent a word must be
+    level = F.floor(F.log(F.col("n").cast("double")) * _LEVELS)
+    histogram = words.groupBy(level.alias("level")).count().collect()
+    room, least = size, float("inf")
+    for row in sorted(histogram, reverse=True):
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["level"]
+    return sorted(bytes(r["word"]) for r in words.where(level >= least).collect())
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
@@ -95,8 +111,9 @@ def train(docs: DataFrame, target: DataFrame, *, doc_id: str = "doc_id", text: s
     words = vocabulary(docs, text=text, size=size)
     shared = docs.sparkSession.sparkContext.broadcast(words)
     ids = target.select(target.columns[0]).toDF("_id").where("_id is not null").distinct()
+    # ids are as many as documents: never broadcast, and small enough not to sort the texts
     chosen = docs.select(docs[f"`{doc_id}`"].alias("_id"), docs[f"`{text}`"].cast("binary").alias("t")).join(
-        ids.withColumn("_target", F.lit(True)), "_id", "left"
+        ids.withColumn("_target", F.lit(True)).hint("shuffle_hash"), "_id", "left"
     )
 
     def count(batches):

@@ -16,7 +16,7 @@ def brute(texts, target, text, size):
     """The model with exact pairs, which so few words don't collide in."""
     split = lambda t: (t or "").lower().split()
     counts = Counter(w for t in texts for w in split(t))
-    words = sorted(counts, key=lambda w: (-counts[w], w))[:size]
+    words = [w for w in counts if sum(n >= counts[w] for n in counts.values()) <= size]
     norm = lambda t: [w if w in words else "?" for w in split(t)]
     out = []
     for chosen in ([t for i, t in enumerate(texts) if i in target], texts):
