@@ -31,10 +31,17 @@ def as_text(value) -> str:
     return value.decode("utf-8", "replace") if isinstance(value, (bytes, bytearray)) else value
 
 
+def sliced(batches: Iterable, rows: int = 256) -> Iterator:
+    """The rows of Arrow batches in smaller ones, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class _WordHashes(dict):
     """Hash of a word, computed once per worker; emptied when it grows past its bound."""
 
-    MOST = 400_000
+    MOST = 120_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:

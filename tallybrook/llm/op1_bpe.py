@@ -24,10 +24,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import as_text
+from tallybrook.llm.common import as_text, sliced
 
 # Entries per worker: encodings of pieces, and answers for pairs of tokens.
-CACHED_PIECES, CACHED_PAIRS = 400_000, 400_000
+CACHED_PIECES, CACHED_PAIRS = 300_000, 400_000
 # Longer pieces are encoded each time they occur.
 CACHED_BYTES = 64
 # Fixed value: the pattern under which a match holds a space only at its start or in a run
@@ -290,7 +290,7 @@ def _map_texts(docs: DataFrame, text: str, keep: list, schema: str, ranks: bytes
 
     def run(batches):
         encoder = _encoder(shared.value, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             results = [row(as_text(x), encoder) for x in batch.column(0).to_pylist()]
             columns = list(zip(*results)) if results else [[] for _ in types]
             yield pa.RecordBatch.from_arrays(

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import components, shingles, stored, word_hashes
+from tallybrook.llm.common import components, shingles, sliced, stored, word_hashes
 
 CELL_BITS = 17
 # Shingles of the sets in a block; a tile holds two blocks.
@@ -58,7 +58,7 @@ def sets_and_counts(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         cells = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, prints = [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text, words)
@@ -95,7 +95,7 @@ def prefixes(docs: DataFrame, words: int, num: int, den: int, levels: np.ndarray
 
     def run(batches):
         level = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             keys, sizes, maps = [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text, words)
@@ -206,7 +206,7 @@ def _grouped(batches, *keys: str) -> Iterator[list[dict]]:
     """Rows of sorted batches, tile by tile."""
 
     def rows():
-        for batch in batches:
+        for batch in sliced(batches):
             yield from batch.to_pylist()
 
     for _, own in groupby(rows(), key=lambda r: tuple(r[k] for k in keys)):

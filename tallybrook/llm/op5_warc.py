@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.llm.common import sliced
+
 
 # Fixed values of the formats.
 GZIP_MAGIC = b"\x1f\x8b\x08"
@@ -101,7 +103,7 @@ def write_archives(
     )
 
     def members(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for row in batch.to_pylist():
                 digest = base64.b32encode(bytes.fromhex(row["sha"])).decode()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import stored
+from tallybrook.llm.common import sliced, stored
 
 VOCABULARY = 32_768
 CELL_BITS = 20
@@ -74,7 +74,7 @@ def vocabulary(docs: DataFrame, *, text: str = "text", size: int = VOCABULARY) -
 
     def count(batches):
         counts = Counter()
-        for batch in batches:
+        for batch in sliced(batches):
             for t in batch.column(0).to_pylist():
                 counts.update(_words(t))
                 if len(counts) >= _FLUSH:
@@ -120,7 +120,7 @@ def train(docs: DataFrame, target: DataFrame, *, doc_id: str = "doc_id", text: s
         known = {w: i + 1 for i, w in enumerate(shared.value)}
         n = len(known) + 1
         single, pair = np.zeros((2, n + 1), np.int64), np.zeros((2, 1 << CELL_BITS), np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             for t, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 before, after = token_pairs(_words(t), known, n)
                 if not len(after):
@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: Model, *, keep=("doc_id",), text: str = "text"
 
     def run(batches):
         own = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for t in batch.column(0).to_pylist():
                 losses = own.losses(t)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallybrook.llm.common import as_text, mixed, shingles, word_hashes
+from tallybrook.llm.common import as_text, mixed, shingles, sliced, word_hashes
 
 SHINGLE_WORDS = 5
 LEAST_CONTAINMENT = 0.8
@@ -159,7 +159,7 @@ def _search(docs: DataFrame, items: list, id_type: T.DataType) -> DataFrame:
 
     def run(batches):
         ids, index = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             at = batch.schema.get_field_index("_leaks")
             known = batch.column(at).to_pylist()
             texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()

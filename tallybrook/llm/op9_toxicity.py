@@ -12,16 +12,17 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from typing import NamedTuple
+from typing import TYPE_CHECKING, NamedTuple
 
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import stored
+from tallybrook.llm.common import sliced, stored
+
+if TYPE_CHECKING:  # the functions import it: Python workers need none of it
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import IsotonicRegressionModel
 
 TRAINING_ROWS = 20_000
 LEXICON_SIZE = 600
@@ -71,7 +72,7 @@ class Model(NamedTuple):
 class _Weights(dict):
     """Weight of a word: the largest of its own and its beginnings'; 0 if none is known."""
 
-    MOST = 400_000
+    MOST = 120_000
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
@@ -133,7 +134,7 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON_SIZE) -> Lexicon:
     """Words and beginnings that mark toxic rows, from (_text, toxic); at most ``size`` of each."""
 
     def count(batches):
-        for batch in batches:
+        for batch in sliced(batches, 2048):
             counts = Counter()
             for text, toxic in zip(batch.column("_text").to_pylist(), batch.column("toxic").to_pylist()):
                 words = set(_WORD.findall((text or "").lower()))
@@ -168,7 +169,7 @@ def featured(docs: DataFrame, lexicon: Lexicon, text: str, keep: list[str]) -> D
 
     def run(batches):
         weights = _Weights(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [features(t, weights) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(rows, pa.list_(pa.float64()))],
@@ -183,6 +184,10 @@ def featured(docs: DataFrame, lexicon: Lexicon, text: str, keep: list[str]) -> D
 
 def train(docs: DataFrame, labels: DataFrame, *, most: int = TRAINING_ROWS, seed: int = 7) -> Model:
     """Fit lexicon, trees and calibration on the labelled documents (see the module)."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import IsotonicRegression
+
     chosen = stored(training_labels(labels, most), "toxicity-labels")
     known = docs.select(docs["doc_id"].alias("_id"), docs["text"].cast("string").alias("_text"))
     # bounded: at most ``most`` rows of three small numbers
@@ -212,6 +217,8 @@ def train(docs: DataFrame, labels: DataFrame, *, most: int = TRAINING_ROWS, seed
 
 
 def _margin(scored: DataFrame) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
     return scored.withColumn("_margin", vector_to_array("rawPrediction")[1])
 
 
@@ -221,6 +228,8 @@ def score(docs: DataFrame, model: Model, *, keep=("doc_id",), text: str = "text"
     Every row is scored, null and empty texts by their all-zero features; repeated rows
     stay, and no column but the text has a part in the score.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
     rows = featured(docs, model.lexicon, text, list(keep))
     if model.trees is None:
         scored = rows.withColumn("_score", F.lit(float(model.share)))
