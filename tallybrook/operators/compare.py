@@ -9,34 +9,44 @@ from pyspark.sql import functions as F
 _COPIES_PER_CHUNK = 1_000_000
 
 
-def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+def diff_counts(
+    left: DataFrame, right: DataFrame, *, side: str = "side", copies: str = "copies"
+) -> DataFrame:
     """One row per distinct row that occurs more often on one side.
 
-    Adds ``side`` ('left' or 'right') and ``copies``, the surplus there. Both
+    Adds ``side`` ('left' or 'right') and ``copies``, the surplus there, under other
+    names where the inputs have such columns. Both
     directions come from one aggregation; copies of a row collapse before the
     shuffle, so a row that fills a third of the input costs no more than any other.
     """
     columns = left.columns
     if columns != right.columns:
         raise ValueError(f"columns differ: {columns} and {right.columns}")
-    signed = left.withColumn("_sign", F.lit(1)).unionAll(right.withColumn("_sign", F.lit(-1)))
-    surplus = signed.groupBy(*columns).agg(F.sum("_sign").alias("_surplus")).where("_surplus != 0")
-    return surplus.select(
-        *columns,
-        F.when(F.col("_surplus") > 0, "left").otherwise("right").alias("side"),
-        F.abs("_surplus").alias("copies"),
-    )
+    taken = {c.casefold() for c in columns} & {side.casefold(), copies.casefold()}
+    if taken:
+        raise ValueError(f"the inputs have column(s) {sorted(taken)}; choose other names")
+    names = [f"c{i}" for i in range(len(columns))]
+    signed = left.toDF(*names).withColumn("sign", F.lit(1))
+    signed = signed.unionAll(right.toDF(*names).withColumn("sign", F.lit(-1)))
+    surplus = signed.groupBy(*names).agg(F.sum("sign").alias("surplus")).where("surplus != 0")
+    sides = F.when(F.col("surplus") > 0, "left").otherwise("right")
+    return surplus.select(*names, sides, F.abs("surplus")).toDF(*columns, side, copies)
 
 
-def diff(left: DataFrame, right: DataFrame) -> DataFrame:
+def diff(left: DataFrame, right: DataFrame, *, side: str = "side") -> DataFrame:
     """All differing rows with their ``side``, each as often as its surplus.
 
     A surplus above the chunk size is cut into chunks that are spread over tasks
     before they are written out, so that no task writes all copies of one row. Both
     branches read the same aggregation.
     """
-    columns = [*left.columns, "side"]
-    counted = diff_counts(left, right)
+    columns = [*left.columns, side]
+    names = [*[f"c{i}" for i in range(len(left.columns))], "side"]
+    if side.casefold() in {c.casefold() for c in left.columns}:
+        raise ValueError(f"the inputs have a column {side!r}; choose another name")
+    if left.columns != right.columns:
+        raise ValueError(f"columns differ: {left.columns} and {right.columns}")
+    counted = diff_counts(left.toDF(*names[:-1]), right.toDF(*names[:-1]))
     few = counted.where(F.col("copies") <= _COPIES_PER_CHUNK)
     many = counted.where(F.col("copies") > _COPIES_PER_CHUNK)
 
@@ -44,18 +54,21 @@ def diff(left: DataFrame, right: DataFrame) -> DataFrame:
     chunks = F.sequence(one, F.ceil(F.col("copies") / F.lit(_COPIES_PER_CHUNK)))
     in_chunk = F.least(
         F.lit(_COPIES_PER_CHUNK).cast("long"),
-        F.col("copies") - (F.col("_chunk") - 1) * _COPIES_PER_CHUNK,
+        F.col("copies") - (F.col("chunk") - 1) * _COPIES_PER_CHUNK,
     )
     spread = (
-        many.withColumn("_chunk", F.explode(chunks))
+        many.withColumn("chunk", F.explode(chunks))
         .withColumn("copies", in_chunk)
-        .repartition(*columns, "_chunk")
-        .drop("_chunk")
+        .repartition(*names, "chunk")
+        .drop("chunk")
     )
-    each_copy = F.explode(F.sequence(one, F.col("copies"))).alias("_copy")
-    return few.unionByName(spread).select(*columns, each_copy).drop("_copy")
+    each_copy = F.explode(F.sequence(one, F.col("copies"))).alias("copy")
+    return few.unionByName(spread).select(*names, each_copy).drop("copy").toDF(*columns)
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
     """True if both hold the same rows, each equally often."""
-    return diff_counts(left, right).isEmpty()
+    if left.columns != right.columns:
+        raise ValueError(f"columns differ: {left.columns} and {right.columns}")
+    names = [f"c{i}" for i in range(len(left.columns))]
+    return diff_counts(left.toDF(*names), right.toDF(*names)).isEmpty()

@@ -5,14 +5,17 @@ The result is that of::
     SELECT c.*, o.<all but the key>, SUM(o.amount) OVER (PARTITION BY c.clientId)
     FROM clients c LEFT JOIN orders o ON c.clientId = o.clientId
 
-but no plan here gathers an unbounded group of rows, such as all orders of one
-client, in one task. There are three roads, picked by measured size:
-
-``clients``  the clients fit in a broadcast: orders are pre-aggregated for the totals
-             and never shuffled row by row, however hot a client is;
-``orders``   the orders (say, one day of them) fit: clients are not shuffled;
-``sliced``   neither fits: both are shuffled on the client id, once, and ids with
-             more than a fair share of the rows on either side are cut into slices.
+Totals are aggregated before the join, one row per client id, so no plan windows over the
+orders of a client. Each input is read twice: for the totals, a few columns, and for the
+join. All strategies give the same rows, columns and errors:
+
+``auto``     one declarative plan, run when the caller acts; adaptive execution decides
+             what to broadcast. All pairs of one id are joined in one task.
+``clients``  orders are streamed past broadcast clients, if these are measured to fit;
+``orders``   clients are streamed past broadcast orders, likewise. Else as ``auto``.
+``sliced``   both sides are shuffled, and an id with more than ``slice_rows`` pairs is cut
+             into slices, however many such ids there are. The totals are written once to
+             the shared scratch folder to find these ids.
 """
 
 from __future__ import annotations
@@ -20,22 +23,16 @@ from __future__ import annotations
 import functools
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.scratch import written
 
-# A side is broadcast only if it is measured to be at most this large.
+# A side is broadcast by name only if it is measured to be at most this large.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# An id is hot if it holds more than one in this many of a side's rows, so that there
-# are fewer hot ids than this on either side, whatever the size of the data.
-MAX_HOT_IDS = 16_384
-# Rows of a hot id that go to one task together. Fewer rows than this are not worth
-# slicing, so an id with fewer is never hot.
+# Pairs of a client id that go to one task together.
 SLICE_ROWS = 1_000_000
-# Counts per hash bucket show which buckets can hold a hot id at all.
-_HASH_BUCKETS = 4 * MAX_HOT_IDS
 
 STRATEGIES = ("auto", "clients", "orders", "sliced")
 
@@ -54,71 +51,101 @@ def enrich_orders(
     """Left join orders to clients and add each client's total.
 
     Output columns: those of ``clients``, those of ``orders`` but the key, ``total``.
-    Every client is kept; without orders it has one row with NULLs, total included.
-    NULL amounts do not count; NULL keys match nothing; a client id that occurs k
-    times has its orders k times, in the total too.
-
-    ``auto`` measures the clients, and if need be the orders, with a one-row
-    aggregation to pick the strategy. A broadcast asked for by name is measured too,
-    and gives way to ``sliced`` if it does not fit. ``sliced`` counts rows per id
-    bucket first, and if there are hot ids writes their few statistics to the shared
-    scratch folder. The inputs are read more than once, a few columns at a time; write
-    out one that is expensive to compute.
+    Names are resolved as the session does, by default in any case; the key column has
+    the clients' spelling and type. Every client is kept; without orders it has one row
+    with NULLs, total included. NULL amounts do not count; NULL keys match nothing; a
+    client id that occurs k times has its orders k times, in the total too.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
-    clash = (set(clients.columns) & set(orders.columns)) - {key}
-    if clash:
-        raise ValueError(f"column(s) in both inputs: {', '.join(sorted(clash))}")
-
-    sides = {"clients": clients, "orders": orders}
-    candidates = {"auto": ["clients", "orders"], "sliced": []}.get(strategy, [strategy])
-    strategy = next((c for c in candidates if _fits(sides[c], broadcast_limit)), "sliced")
-
     shape = _Shape(clients, orders, key, amount, total)
-    if strategy == "clients":
-        return _broadcast_clients(clients, orders, shape)
-    if strategy == "orders":
-        return _broadcast_orders(clients, orders, shape)
-    return _sliced(clients, orders, shape, slice_rows)
+    if strategy == "clients" and _fits(clients, broadcast_limit):
+        return _past_clients(shape)
+    if strategy == "orders" and _fits(orders, broadcast_limit):
+        return shape.output(shape.with_totals(shape.totals()).join(F.broadcast(shape.orders), shape.key, "left"))
+    if strategy == "sliced":
+        return _sliced(shape, slice_rows)
+    return shape.output(shape.with_totals(shape.totals()).join(shape.orders, shape.key, "left"))
 
 
 class _Shape:
-    """Column names and types of the result, looked up once."""
+    """The inputs under unambiguous names, and the columns and types of the result."""
 
     def __init__(self, clients, orders, key, amount, total):
-        self.key, self.amount, self.total = key, amount, total
-        self.client_columns = clients.columns
-        order_fields = [f for f in orders.schema.fields if f.name != key]
-        self.columns = [*self.client_columns, *[f.name for f in order_fields], total]
-        self.sum_type = orders.select(F.sum(amount).alias("s")).schema["s"].dataType
-        self._no_order = [F.lit(None).cast(f.dataType).alias(f.name) for f in order_fields]
-
-    def has_key(self) -> Column:
-        return F.col(self.key).isNotNull()
-
-    def client_total(self, order_sum: str, copies: Column) -> Column:
-        """What the plain window sums: each order once per copy of its client."""
-        return (F.col(order_sum) * copies).cast(self.sum_type).alias(self.total)
-
-    def without_orders(self, clients: DataFrame, total: Column | None = None) -> DataFrame:
-        """The given clients in output shape, order columns (and total) NULL."""
-        total = F.lit(None).cast(self.sum_type) if total is None else total
-        return clients.select(*self.client_columns, *self._no_order, total.alias(self.total))
+        spark = clients.sparkSession
+        exact = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+        folded = (lambda name: name) if exact else str.casefold
+
+        def field_of(df, name):
+            found = [f.name for f in df.schema.fields if folded(f.name) == folded(name)]
+            if len(found) != 1:
+                raise ValueError(f"{len(found)} columns {name!r} in {df.columns}")
+            return found[0]
+
+        self.key, order_key = field_of(clients, key), field_of(orders, key)
+        self.amount = field_of(orders, amount)
+        names = [*clients.columns, *[c for c in orders.columns if c != order_key], total]
+        seen = [folded(n) for n in names]
+        clash = sorted({n for n in names if seen.count(folded(n)) > 1})
+        if clash:
+            raise ValueError(f"column(s) in both inputs: {', '.join(clash)}")
+        self.clients = clients
+        # the key of matched rows is taken from the clients, and so has their type
+        self.orders = orders.withColumnRenamed(order_key, self.key).where(F.col(_quoted(self.key)).isNotNull())
+        self.total, self.columns = total, names
+        self.sum_type = orders.select(F.sum(_quoted(self.amount)).alias("s")).schema["s"].dataType
+        self._order_fields = [f for f in orders.schema.fields if f.name != order_key]
+
+    def totals(self) -> DataFrame:
+        """Per client id: total, number of orders, copies of the client.
+
+        The total sums each order once per copy. Summing the sum of a client once per
+        copy, not multiplying it, keeps all digits of DECIMAL amounts.
+        """
+        key = _quoted(self.key)
+        order_sums = self.orders.groupBy(key).agg(
+            F.sum(_quoted(self.amount)).alias("_sum"), F.count(F.lit(1)).alias("_orders")
+        )
+        ids = self.clients.select(key).where(F.col(key).isNotNull())
+        return ids.join(order_sums, self.key).groupBy(key).agg(
+            F.sum("_sum").cast(self.sum_type).alias("_total"),
+            F.max("_orders").alias("_orders"),
+            F.count(F.lit(1)).alias("_copies"),
+        )
+
+    def with_totals(self, totals: DataFrame) -> DataFrame:
+        """All clients; those without orders have no ``_orders``."""
+        return self.clients.join(totals, self.key, "left")
+
+    def output(self, joined: DataFrame) -> DataFrame:
+        return joined.select(
+            *[_quoted(c) for c in self.columns[:-1]], F.col("_total").alias(self.total)
+        )
+
+    def without_orders(self, clients: DataFrame) -> DataFrame:
+        """The given clients in output shape, order columns NULL."""
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._order_fields]
+        return clients.select(
+            *[_quoted(c) for c in self.clients.columns], *nulls, F.col("_total").alias(self.total)
+        )
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def measured_bytes(df: DataFrame, limit: int | None = None) -> int | None:
     """Upper estimate of the rows' size in memory; None if a column type is unbounded.
 
-    Rows are counted, which Parquet answers from its footers, and text is measured; all
-    else is of fixed width. If the fixed width alone exceeds ``limit``, text is not read.
+    Rows are counted and text is measured; all else is of fixed width. If the fixed width
+    alone exceeds ``limit``, text is not read.
     """
     texts = []
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
             return None
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            texts.append(F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0)))
+            texts.append(F.coalesce(F.sum(F.octet_length(_quoted(field.name))), F.lit(0)))
     fixed = df.count() * (16 * len(df.columns) + 32)
     if not texts or (limit is not None and fixed > limit):
         return fixed
@@ -130,167 +157,66 @@ def _fits(df: DataFrame, limit: int) -> bool:
     return size is not None and size <= limit
 
 
-def _broadcast_clients(clients: DataFrame, orders: DataFrame, shape: _Shape) -> DataFrame:
-    """Stream the orders past a broadcast of the clients, totals attached.
-
-    Clients are few here, so counting the copies of one in a window is safe. Both
-    branches that need the totals take the same columns, so that they share one
-    aggregation of the orders.
-    """
-    key = shape.key
-    totals = orders.where(shape.has_key()).groupBy(key).agg(F.sum(shape.amount).alias("_sum"))
-    totals = totals.select(key, "_sum", F.col(key).alias("_ordering"))
-    copies = F.count(F.lit(1)).over(Window.partitionBy(key))
-    named = clients.where(shape.has_key()).select(*shape.client_columns, copies.alias("_copies"))
-    keyed = named.join(totals, key, "left").select(
-        *shape.client_columns, shape.client_total("_sum", F.col("_copies")), "_ordering"
-    )
-    # from the clients' side, so that the key has their type
-    matched = F.broadcast(keyed).join(orders, key).select(*shape.columns)
-    # the total is NULL here too; reading it keeps the aggregation the same
-    no_orders = shape.without_orders(
-        keyed.where(F.col("_ordering").isNull()), F.col(shape.total)
-    )
-    no_key = shape.without_orders(clients.where(~shape.has_key()))
-    return matched.union(no_orders).union(no_key)
-
-
-def _broadcast_orders(clients: DataFrame, orders: DataFrame, shape: _Shape) -> DataFrame:
-    """Stream the clients past a broadcast of the orders, totals attached.
-
-    All orders together are few here, so summing those of a client in a window is safe.
-    """
-    key = shape.key
-    ordering = clients.join(F.broadcast(orders.select(key)), key, "left_semi")
-    copies = ordering.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
-    order_sum = F.sum(shape.amount).over(Window.partitionBy(key))
-    with_total = (
-        orders.withColumn("_sum", order_sum)
-        .join(copies, key)
-        .select(*orders.columns, shape.client_total("_sum", F.col("_copies")))
-    )
-    return clients.join(F.broadcast(with_total), key, "left").select(*shape.columns)
+def _past_clients(shape: _Shape) -> DataFrame:
+    """Stream the orders past a broadcast of the clients, totals attached."""
+    known = shape.with_totals(shape.totals())
+    matched = F.broadcast(known.where(F.col("_orders").isNotNull())).join(shape.orders, shape.key)
+    return shape.output(matched).union(shape.without_orders(known.where(F.col("_orders").isNull())))
 
 
-def _sliced(clients: DataFrame, orders: DataFrame, shape: _Shape, slice_rows: int) -> DataFrame:
-    """Shuffle both sides on the client id once, hot ids cut into slices.
+def _sliced(shape: _Shape, slice_rows: int) -> DataFrame:
+    """Shuffle both sides on the client id, hot ids cut into slices.
 
     With s order slices and c client slices an id has s * c slots. An order picks one
     order slice and is repeated for each client slice, a client the other way round,
-    so each pair meets in exactly one slot. Sums and counts of hot ids are aggregated
-    beforehand; those of all other ids are windows over groups of bounded size, in the
-    partitioning and order that the join needs anyway.
+    so each pair meets in exactly one slot.
     """
-    key = shape.key
-    named, placed = clients.where(shape.has_key()), orders.where(shape.has_key())
-    hot = _hot_stats(named, placed, shape, slice_rows)
-    if hot is None:
-        slot = []
-        hot_sum, hot_copies, hot_orders = F.lit(None), F.lit(None), F.lit(None)
-    else:
-        slot = ["_slot"]
-        hot_sum, hot_copies, hot_orders = "_hot_sum", "_hot_copies", F.col("_hot_orders")
-        most = hot.agg(F.max(_ORDER_SLICES).alias("o"), F.max(_CLIENT_SLICES).alias("c")).first()
-        placed = _in_slots(placed, hot, key, _ORDER_SLICES, repeat=most["c"] > 1)
-        named = _in_slots(named, hot, key, _CLIENT_SLICES, repeat=most["o"] > 1)
-
-    group = Window.partitionBy(key, *slot)
-    order_sum = F.coalesce(hot_sum, F.sum(shape.amount).over(group))
-    copies = F.coalesce(hot_copies, F.count(F.lit(1)).over(group))
-    placed = placed.select(
-        *orders.columns, *slot, order_sum.alias("_sum"), F.lit(True).alias("_matched")
-    )
-    named = named.select(
-        *clients.columns, *slot, copies.alias("_copies"), hot_orders.alias("_hot_orders")
+    totals = written(shape.totals(), "client-totals")
+    side = math.isqrt(slice_rows)
+    copies = F.ceil(F.col("_copies") / F.lit(side))
+    hot = totals.where(F.col("_orders").cast("double") * F.col("_copies") > slice_rows).select(
+        _quoted(shape.key),
+        copies.alias(_CLIENT_SLICES),
+        F.ceil(F.col("_orders") * F.ceil(F.col("_copies") / copies) / F.lit(slice_rows)).alias(_ORDER_SLICES),
     )
-    joined = (
-        named.join(placed, [key, *slot], "left")
-        # a hot client with orders may find none in one of its slots
-        .where("_matched OR _hot_orders IS NULL")
-        .withColumn(shape.total, shape.client_total("_sum", F.col("_copies")))
-        .select(*shape.columns)
-    )
-    return joined.union(shape.without_orders(clients.where(~shape.has_key())))
+    if hot.isEmpty():
+        return shape.output(shape.with_totals(totals).join(shape.orders, shape.key, "left"))
+    known = shape.with_totals(totals)
+    lone = shape.without_orders(known.where(F.col("_orders").isNull()))
+    named = _in_slots(known.where(F.col("_orders").isNotNull()), hot, shape.key, _CLIENT_SLICES)
+    placed = _in_slots(shape.orders, hot, shape.key, _ORDER_SLICES)
+    # every order of a matched client finds it in its slot; orders of no client find none
+    return shape.output(named.join(placed, [shape.key, "_slot"])).union(lone)
 
 
 _ORDER_SLICES, _CLIENT_SLICES = "_order_slices", "_client_slices"
 
 
-def _hot_stats(
-    clients: DataFrame, orders: DataFrame, shape: _Shape, slice_rows: int
-) -> DataFrame | None:
-    """Sum, counts and slices of the ids that are hot on either side; None if there are none.
-
-    Fewer than 2 * MAX_HOT_IDS rows, written to the shared scratch folder.
-    """
-    key = shape.key
-    heavy = [_heavy_ids(df, key, slice_rows) for df in (orders, clients)]
-    heavy = [ids for ids in heavy if ids is not None]
-    if not heavy:
-        return None
-    ids = written(functools.reduce(DataFrame.union, heavy).distinct(), "hot-ids")
-    if ids.isEmpty():
-        return None
-
-    def of_hot_ids(df: DataFrame):
-        return df.join(F.broadcast(ids), key, "left_semi").groupBy(key)
-
-    def slices(rows: str) -> Column:
-        return F.ceil(F.coalesce(rows, F.lit(1)) / F.lit(slice_rows))
-
-    counted = F.count(F.lit(1))
-    order_stats = of_hot_ids(orders).agg(
-        F.sum(shape.amount).alias("_hot_sum"), counted.alias("_hot_orders")
-    )
-    client_stats = of_hot_ids(clients).agg(counted.alias("_hot_copies"))
-    stats = (
-        ids.join(order_stats, key, "left")
-        .join(client_stats, key, "left")
-        .withColumn(_ORDER_SLICES, slices("_hot_orders"))
-        .withColumn(_CLIENT_SLICES, slices("_hot_copies"))
-    )
-    return written(stats, "hot-stats")
-
-
-def _heavy_ids(df: DataFrame, key: str, slice_rows: int) -> DataFrame | None:
-    """Ids with more than 1/MAX_HOT_IDS of the rows, and more than a slice of them.
-
-    Exact, without a shuffle of all ids: rows are counted per hash bucket, a fixed
-    number of counts; only a bucket above the bound can hold such an id, so ids are
-    counted in those buckets alone. There are fewer than MAX_HOT_IDS of either. None
-    if the table is too small to hold such an id.
-    """
-    rows = df.count()
-    if rows <= slice_rows:
-        return None
-    above = F.col("_rows") > max(slice_rows, rows // MAX_HOT_IDS)
-    counted = F.count(F.lit(1)).alias("_rows")
-    ids = df.select(key, F.pmod(F.xxhash64(key), F.lit(_HASH_BUCKETS)).alias("_bucket"))
-    full = ids.groupBy("_bucket").agg(counted).where(above)
-    candidates = ids.join(F.broadcast(full), "_bucket", "left_semi")
-    return candidates.groupBy(key).agg(counted).where(above).select(key)
-
-
-def _in_slots(df: DataFrame, hot: DataFrame, key: str, own: str, repeat: bool) -> DataFrame:
+def _in_slots(df: DataFrame, hot: DataFrame, key: str, own: str) -> DataFrame:
     """Give each row its slot: one slice of its own side, all slices of the other.
 
-    Orders of a hot id that no client has are dropped here, before the shuffle: they
-    match nothing. A row's own slice is the same again when its task is rerun, and
-    copies of a row in different input partitions land in different slices.
+    Whether hot ids are broadcast is left to the optimizer, which knows their size. A
+    row's own slice is the same again when its task is rerun, and copies of a row in
+    different input partitions land in different slices.
     """
     other = _CLIENT_SLICES if own == _ORDER_SLICES else _ORDER_SLICES
-    zero = F.lit(0).cast("long")
-    spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col(own))
-    slotted = (
-        df.join(F.broadcast(hot), key, "left")
-        .where(F.col(own).isNull() | F.col("_hot_copies").isNotNull())
-        .withColumn("_own", F.when(F.col(own) > 1, spread).otherwise(zero))
-        .withColumn("_other", _each_of(F.coalesce(other, F.lit(1))) if repeat else zero)
+    hashed = [_quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
+    # taken before the join, which may move rows
+    rows = df.withColumn("_spread", F.xxhash64(*hashed, F.spark_partition_id()))
+    slotted = rows.join(hot, key, "left").withColumn(
+        "_own", F.pmod("_spread", F.coalesce(own, F.lit(1).cast("long")))
+    ).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(other, F.lit(1).cast("long")) - 1))
     )
     order_slice, client_slice = ("_own", "_other") if own == _ORDER_SLICES else ("_other", "_own")
-    slot = F.col(order_slice) * F.coalesce(_CLIENT_SLICES, F.lit(1)) + F.col(client_slice)
-    return slotted.withColumn("_slot", slot).drop("_own", "_other", _ORDER_SLICES, _CLIENT_SLICES)
+    slots = F.coalesce(_CLIENT_SLICES, F.lit(1).cast("long"))
+    slot = F.col(order_slice) * slots + F.col(client_slice)
+    return slotted.withColumn("_slot", slot).drop("_own", "_other", "_spread", _ORDER_SLICES, _CLIENT_SLICES)
 
 
-def _each_of(count: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+def _hashable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _hashable(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(_hashable(f.dataType) for f in data_type.fields)
+    return not isinstance(data_type, (T.MapType, T.VariantType))

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from tallybrook.functions.dates import iso_date_text
 from tallybrook.operators.enrich import enrich_orders
 from tallybrook.schemas import CLIENTS, ORDERS, SCHEMAS
-from tallybrook.scratch import written
+from tallybrook.scratch import cleared, written
 from tallybrook.sinks.parquet import write_partitioned
 from tallybrook.sources.tables import Tables, client_order_tables
 
@@ -44,8 +44,20 @@ def run_client_orders(
     Read back with that schema: without it the type of the partition column is
     guessed from folder names. ``columnar_copy`` parses the CSV files once into Parquet
     in the shared scratch folder; worth it for large inputs, which the enrichment reads
-    more than once, a few columns at a time.
+    twice, once a few columns only. What is written there is deleted when the job is done.
     """
+    with cleared(spark):
+        return _run(
+            spark, clients_path, orders_root, output_path, clients_schema, orders_schema,
+            partition_column, partition_by, mode, columnar_copy, enrich_options or {},
+            write_options or {},
+        )
+
+
+def _run(
+    spark, clients_path, orders_root, output_path, clients_schema, orders_schema,
+    partition_column, partition_by, mode, columnar_copy, enrich_options, write_options,
+) -> StructType:
     tables = client_order_tables(
         spark, clients_path, orders_root, clients_schema, orders_schema, partition_column
     )
@@ -53,6 +65,6 @@ def run_client_orders(
         tables = Tables(
             {name: functools.partial(written, tables.get(name), name) for name in SCHEMAS}
         )
-    enriched = enriched_latest_orders(tables, partition_column, **(enrich_options or {}))
-    write_partitioned(enriched, output_path, partition_by, mode, **(write_options or {}))
+    enriched = enriched_latest_orders(tables, partition_column, **enrich_options)
+    write_partitioned(enriched, output_path, partition_by, mode, **write_options)
     return enriched.schema

@@ -80,15 +80,29 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stage_clients(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    clients(spark, sf_dir).write.option("header", True).csv(f"{folder}/clients")
+_STAGED: dict[tuple[str, str, str], str] = {}
 
 
-def _stage_orders(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """One date folder per year."""
-    by_year = orders(spark, sf_dir).withColumn("date", F.trunc("date", "year"))
-    files = by_year.hint("rebalance", F.col("date")).write.option("header", True)
-    files.partitionBy("date").csv(f"{folder}/orders")
+def _staged(spark: SparkSession, sf_dir: str, purpose: str, write: Callable[[str], None]) -> str:
+    """A folder with files made from the test tables, written once per session."""
+    made = (spark.sparkContext.applicationId, sf_dir, purpose)
+    if made not in _STAGED:
+        folder = shared_folder(spark, purpose)
+        write(folder)
+        _STAGED[made] = folder
+    return _STAGED[made]
+
+
+def _staged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Clients, and orders with one date folder per year."""
+
+    def write(folder):
+        clients(spark, sf_dir).write.option("header", True).csv(f"{folder}/clients")
+        by_year = orders(spark, sf_dir).withColumn("date", F.trunc("date", "year"))
+        files = by_year.hint("rebalance", F.col("date")).write.option("header", True)
+        files.partitionBy("date").csv(f"{folder}/orders")
+
+    return _staged(spark, sf_dir, "csv", write)
 
 
 def _csv_tables(spark: SparkSession, folder: str) -> Tables:
@@ -122,7 +136,7 @@ def _rounded(enriched: DataFrame) -> DataFrame:
 
 @_query(_enrichment_sql(_ORDERS_SQL))
 def client_order_enrichment(spark, sf_dir):
-    """Left join and client total; strategy picked by measured sizes."""
+    """Left join and client total; adaptive execution picks the join."""
     return _rounded(enrich_orders(clients(spark, sf_dir), orders(spark, sf_dir)))
 
 
@@ -150,6 +164,34 @@ def client_order_enrichment_sliced(spark, sf_dir):
     )
 
 
+@_query(
+    f"""WITH c AS ({_CLIENTS_SQL}), o AS (
+  SELECT o_orderkey AS orderId, o_custkey AS clientId,
+    CAST(CAST(o_totalprice AS DECIMAL(12,2))
+      + CAST(o_orderkey AS DECIMAL(10,0)) * CAST('0.0000000001' AS DECIMAL(11,10)) AS DECIMAL(20,10)) AS amount
+  FROM orders)
+SELECT clientId, name, location, orderId, CAST(amount AS VARCHAR) AS amount,
+  CAST(CAST(SUM(amount) OVER (PARTITION BY clientId) AS DECIMAL(30,10)) AS VARCHAR) AS totalAmountByClient
+FROM c LEFT JOIN o USING (clientId)"""
+)
+def client_order_enrichment_decimal(spark, sf_dir):
+    """Totals of DECIMAL amounts, to the last digit."""
+    digits = F.col("orderId").cast("decimal(10,0)") * F.lit("0.0000000001").cast("decimal(11,10)")
+    amount = (F.col("amount").cast("decimal(12,2)") + digits).cast("decimal(20,10)")
+    exact = orders(spark, sf_dir).withColumn("amount", amount)
+    enriched = enrich_orders(clients(spark, sf_dir), exact.drop("date"), strategy="sliced", slice_rows=8)
+    return enriched.withColumns(
+        {c: F.col(c).cast("string") for c in ("amount", "totalAmountByClient")}
+    )
+
+
+@_query(_enrichment_sql(_ORDERS_SQL).replace("clientId", "clientid").replace("orderId", "orderid"))
+def client_order_enrichment_lower_case(spark, sf_dir):
+    """Frames with names in lower case, joined by the default key."""
+    sides = [df.toDF(*map(str.lower, df.columns)) for df in (clients(spark, sf_dir), orders(spark, sf_dir))]
+    return _rounded(enrich_orders(*sides))
+
+
 @_query(
     f"""WITH c AS ({_CLIENTS_SQL}), o AS ({_ORDERS_SQL})
 SELECT count(*) AS n_rows, count(orderId) AS n_orders FROM c LEFT JOIN o USING (clientId)"""
@@ -165,9 +207,7 @@ def enrichment_row_count(spark, sf_dir):
 @_query(_CLIENTS_SQL)
 def clients_csv_scan(spark, sf_dir):
     """CSV with declared schema, by (case-insensitive) name."""
-    folder = shared_folder(spark, "clients-csv")
-    _stage_clients(spark, sf_dir, folder)
-    return _csv_tables(spark, folder).get("CLIENTS")
+    return _csv_tables(spark, _staged_csv(spark, sf_dir)).get("CLIENTS")
 
 
 @_query(
@@ -192,9 +232,7 @@ def clients_csv_bad_values(spark, sf_dir):
 @_query(_NEWEST_YEAR_SQL)
 def latest_partition_scan(spark, sf_dir):
     """Only the newest date folder is read."""
-    folder = shared_folder(spark, "orders-csv")
-    _stage_orders(spark, sf_dir, folder)
-    newest = _csv_tables(spark, folder).get("orders")
+    newest = _csv_tables(spark, _staged_csv(spark, sf_dir)).get("orders")
     return newest.withColumn("date", iso_date_text(F.col("date")))
 
 
@@ -219,27 +257,22 @@ def latest_partition_subquery(spark, sf_dir):
 @_query(_enrichment_sql(_NEWEST_YEAR_SQL))
 def batch_enrichment_latest(spark, sf_dir):
     """The whole batch job: CSV in, partitioned Parquet out, read back."""
-    folder = shared_folder(spark, "batch-job")
-    _stage_clients(spark, sf_dir, folder)
-    _stage_orders(spark, sf_dir, folder)
+    folder, out = _staged_csv(spark, sf_dir), shared_folder(spark, "enriched")
     schema = run_client_orders(
         spark,
         f"{folder}/clients",
         f"{folder}/orders",
-        f"{folder}/enriched",
+        out,
         clients_schema=CLIENTS,
         orders_schema=ORDERS,
     )
-    return _rounded(spark.read.schema(schema).parquet(f"{folder}/enriched").select(*schema.names))
+    return _rounded(spark.read.schema(schema).parquet(out).select(*schema.names))
 
 
 @_query(_enrichment_sql(_NEWEST_YEAR_SQL, "WHERE orderId IS NULL"))
 def clients_without_recent_orders(spark, sf_dir):
     """The NULL side of the left join, by an ad-hoc predicate."""
-    folder = shared_folder(spark, "recent-orders")
-    _stage_clients(spark, sf_dir, folder)
-    _stage_orders(spark, sf_dir, folder)
-    enriched = enriched_latest_orders(_csv_tables(spark, folder))
+    enriched = enriched_latest_orders(_csv_tables(spark, _staged_csv(spark, sf_dir)))
     return _rounded(enriched.where("orderId IS NULL"))
 
 
@@ -329,9 +362,9 @@ SELECT log_timestamp, logger, message FROM parsed WHERE level = 'ERROR'"""
 
 
 def _staged_lines(spark: SparkSession, sf_dir: str) -> str:
-    folder = shared_folder(spark, "log-lines")
-    log_lines(spark, sf_dir).write.text(f"{folder}/logs")
-    return folder
+    return _staged(
+        spark, sf_dir, "log-lines", lambda folder: log_lines(spark, sf_dir).write.text(f"{folder}/logs")
+    )
 
 
 @_query(f"{_PARSED_SQL} SELECT * FROM parsed", name="parse_logs")
@@ -383,9 +416,9 @@ def earliest_log_line(spark, sf_dir):
 # --- streaming --------------------------------------------------------------
 
 
-def _stream_to_end(spark, folder, **options) -> None:
+def _stream_to_end(spark, logs, folder, **options) -> None:
     run_log_stream(
-        spark, f"{folder}/logs", f"{folder}/checkpoint", f"{folder}/out",
+        spark, f"{logs}/logs", f"{folder}/checkpoint", f"{folder}/out",
         available_now=True, **options,
     ).awaitTermination()
 
@@ -393,26 +426,48 @@ def _stream_to_end(spark, folder, **options) -> None:
 @_query(_WELL_FORMED_SQL)
 def stream_well_formed_logs(spark, sf_dir):
     """The streaming job over text files, run to its end and read back."""
-    folder = _staged_lines(spark, sf_dir)
-    _stream_to_end(spark, folder)
+    folder = shared_folder(spark, "stream")
+    _stream_to_end(spark, _staged_lines(spark, sf_dir), folder)
     return spark.read.schema(schemas.PARSED_LOG).parquet(f"{folder}/out")
 
 
 @_query(_ERRORS_SQL)
 def stream_error_logs(spark, sf_dir):
-    folder = _staged_lines(spark, sf_dir)
-    _stream_to_end(spark, folder, rows_of=error_lines)
+    folder = shared_folder(spark, "stream")
+    _stream_to_end(spark, _staged_lines(spark, sf_dir), folder, rows_of=error_lines)
     return spark.read.schema(schemas.ERROR_LOG).parquet(f"{folder}/out")
 
 
 @_query(f"{_WELL_FORMED_SQL} UNION ALL SELECT * FROM parsed WHERE level <> ''")
 def stream_restart_exactly_once(spark, sf_dir):
     """Restarts on one checkpoint: old files are not read again, new ones are."""
-    folder = _staged_lines(spark, sf_dir)
-    _stream_to_end(spark, folder)
-    _stream_to_end(spark, folder)  # nothing new
+    folder = shared_folder(spark, "stream")
+    log_lines(spark, sf_dir).write.text(f"{folder}/logs")
+    _stream_to_end(spark, folder, folder)
+    _stream_to_end(spark, folder, folder)  # nothing new
     log_lines(spark, sf_dir).write.mode("append").text(f"{folder}/logs")
-    _stream_to_end(spark, folder)
+    _stream_to_end(spark, folder, folder)
+    return spark.read.schema(schemas.PARSED_LOG).parquet(f"{folder}/out")
+
+
+@_query(_WELL_FORMED_SQL)
+def stream_one_file_per_batch(spark, sf_dir):
+    """Several files, a micro-batch for each."""
+    folder = shared_folder(spark, "stream")
+    log_lines(spark, sf_dir).repartition(3).write.text(f"{folder}/logs")
+    _stream_to_end(spark, folder, folder, max_files_per_trigger=1)
+    return spark.read.schema(schemas.PARSED_LOG).parquet(f"{folder}/out")
+
+
+@_query(_WELL_FORMED_SQL)
+def stream_processing_time(spark, sf_dir):
+    """The interval trigger: what is there is processed, then the query is stopped."""
+    folder = shared_folder(spark, "stream")
+    query = run_log_stream(
+        spark, f"{_staged_lines(spark, sf_dir)}/logs", f"{folder}/checkpoint", f"{folder}/out", interval_ms=200
+    )
+    query.processAllAvailable()
+    query.stop()
     return spark.read.schema(schemas.PARSED_LOG).parquet(f"{folder}/out")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -28,10 +29,10 @@ def partition_folders(
         raise FileNotFoundError(root)
     prefix = f"{column}="
     folders: dict[date, list[str]] = {}
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if not status.isDirectory() or not name.startswith(prefix):
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, f"{_plain(prefix)}*")) or []:
+        if not status.isDirectory():
             continue
+        name = status.getPath().getName()
         text = name[len(prefix) :]
         if text == _NULL_FOLDER:
             continue
@@ -43,6 +44,11 @@ def partition_folders(
     return folders
 
 
+def _plain(text: str) -> str:
+    """A name that a glob takes as it is."""
+    return re.sub(r"([][{}*?\\^,-])", r"\\\1", text)
+
+
 def latest_partition(
     spark: SparkSession, root: str, column: str = "date"
 ) -> tuple[date, list[str]]:

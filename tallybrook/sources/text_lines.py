@@ -16,15 +16,12 @@ def stream_text_lines(
 ) -> DataFrame:
     """Watch a folder for new text files; every file in it counts, whatever its name.
 
-    ``max_files_per_trigger`` bounds a micro-batch. By default it is the number of
-    cores, so that each of them has a file to read; 1 gives one batch per file.
+    ``max_files_per_trigger`` bounds a micro-batch; 1 gives one batch per file. Without
+    it a micro-batch takes all files that are there, whatever the size of the cluster.
     Further options (``pathGlobFilter``, ``maxBytesPerTrigger``, ``cleanSource``) go
     to the file source as they are.
     """
-    files = max_files_per_trigger or spark.sparkContext.defaultParallelism
-    return (
-        spark.readStream.schema(LOG_LINE)
-        .option("maxFilesPerTrigger", files)
-        .options(**options)
-        .text(path)
-    )
+    reader = spark.readStream.schema(LOG_LINE)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.options(**options).text(path)

@@ -62,3 +62,18 @@ def test_equals_except_all_both_ways(spark, left, right):
     assert got == want
     assert Counter(tuple(r) for r in a.exceptAll(b).collect()) == Counter(left) - Counter(right)
     assert same_rows(a, b) == (not want)
+
+
+def test_any_column_names(spark):
+    left = spark.createDataFrame([(1, "a", 1, 2), (1, "a", 1, 2)], "side int, copies string, _sign int, c0 int")
+    right = spark.createDataFrame([(1, "a", 1, 2), (2, "b", 1, 2)], left.schema)
+    counts = diff_counts(left, right, side="where", copies="n")
+    assert counts.columns == [*left.columns, "where", "n"]
+    assert sorted(map(tuple, counts.collect())) == [(1, "a", 1, 2, "left", 1), (2, "b", 1, 2, "right", 1)]
+    assert sorted(map(tuple, diff(left, right, side="where").collect())) == [
+        (1, "a", 1, 2, "left"), (2, "b", 1, 2, "right"),
+    ]
+    assert not same_rows(left, right)
+    for call in (diff, diff_counts):
+        with pytest.raises(ValueError, match="other name"):
+            call(left, right)

@@ -36,39 +36,42 @@ def rows(df):
 
 
 @pytest.fixture(scope="module")
-def two_clients(spark):
+def shops(spark):
+    """Four shops: two orders, three orders, one order of amount 0, none."""
     return frames(
         spark,
-        [(1, "Ada", "Lyon"), (2, "Ben", "Oslo")],
-        [(11, 1, 150.5, DAY), (12, 1, 200.0, DAY), (13, 2, 320.75, DAY)],
-    )
+        [(70, "Quill", "pier"), (35, "Rook", None), (51, "Sable", "gate"), (18, "Tarn", "pier")],
+        [(5001, 35, 0.25, "2022-11-30"), (5002, 70, 64.0, None), (5003, 35, 1024.5, "2022-11-30"),
+         (5004, 51, 0.0, "2022-12-01"), (5005, 70, -16.0, "2022-11-02"), (5006, 35, 7.75, None)],
+    )
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
 class TestEachStrategy:
-    def test_one_row_per_order(self, two_clients, strategy):
-        assert enrich_orders(*two_clients, strategy=strategy).count() == 3
+    def test_one_row_per_order_and_lone_client(self, shops, strategy):
+        ids = [r.orderId for r in enrich_orders(*shops, strategy=strategy).collect()]
+        assert sorted(ids, key=str) == [5001, 5002, 5003, 5004, 5005, 5006, None]
 
-    def test_output_columns_and_types(self, two_clients, strategy):
-        out = enrich_orders(*two_clients, strategy=strategy)
+    def test_output_columns_and_types(self, shops, strategy):
+        out = enrich_orders(*shops, strategy=strategy)
         assert [(f.name, f.dataType) for f in out.schema] == [
             (f.name, f.dataType) for f in schemas.ENRICHED_ORDERS
         ]
 
-    def test_total_on_every_row_of_a_client(self, two_clients, strategy):
-        out = enrich_orders(*two_clients, strategy=strategy)
-        one = out.filter("clientId = 1").collect()
-        assert [r.totalAmountByClient for r in one] == pytest.approx([350.5, 350.5], abs=0.001)
-        (two,) = out.filter("clientId = 2").collect()
-        assert two.totalAmountByClient == pytest.approx(320.75, abs=0.001)
+    def test_total_on_every_row_of_a_client(self, shops, strategy):
+        out = enrich_orders(*shops, strategy=strategy).collect()
+        totals = {(r.clientId, r.orderId): r.totalAmountByClient for r in out}
+        assert totals == {
+            (35, 5001): 1032.5, (35, 5003): 1032.5, (35, 5006): 1032.5,
+            (70, 5002): 48.0, (70, 5005): 48.0, (51, 5004): 0.0, (18, None): None,
+        }
 
-    def test_client_without_orders_is_kept(self, spark, strategy):
-        c, o = frames(spark, [(1, "Ada", "Lyon"), (99, "Nil", "Nowhere")], [(11, 1, 5.0, DAY)])
-        (lone,) = enrich_orders(c, o, strategy=strategy).filter("clientId = 99").collect()
-        assert tuple(lone) == (99, "Nil", "Nowhere", None, None, None, None)
+    def test_client_without_orders_is_kept(self, shops, strategy):
+        (lone,) = enrich_orders(*shops, strategy=strategy).filter("clientId = 18").collect()
+        assert tuple(lone) == (18, "Tarn", "pier", None, None, None, None)
 
     def test_no_orders_at_all(self, spark, strategy):
-        c, o = frames(spark, [(1, "Ada", "Lyon"), (None, "Nul", "Rome")], [])
+        c, o = frames(spark, [(61, "Umber", "mill"), (None, "Vale", "mill")], [])
         assert rows(enrich_orders(c, o, strategy=strategy)) == rows(by_window(c, o))
 
     def test_no_clients_at_all(self, spark, strategy):
@@ -120,88 +123,104 @@ def shape_of(clients, orders):
     return enrich._Shape(clients, orders, "clientId", "amount", "totalAmountByClient")
 
 
-def test_slots_of_a_hot_id_are_even(spark):
-    """A third of all orders, half of those exact copies, end in slots of about slice size."""
-    orders = [(i, 7, 1.0, DAY) for i in range(500)] + [(9, 7, 2.0, DAY)] * 500
-    orders += [(i, i % 100, 1.0, DAY) for i in range(2000)]
-    c, o = frames(spark, [(7, "c7", "l"), (8, "c8", "l")], orders, partitions=20)
-    hot = enrich._hot_stats(c, o, shape_of(c, o), 100)
-    (stats,) = hot.collect()
-    assert (stats.clientId, stats._hot_sum, stats._hot_orders, stats._hot_copies) == (
-        7, 1520.0, 1020, 1,
-    )
-    assert (stats._order_slices, stats._client_slices) == (11, 1)
-    slotted = enrich._in_slots(o, hot, "clientId", enrich._ORDER_SLICES, repeat=False)
-    assert slotted.count() == 3000
-    sizes = [r["count"] for r in slotted.groupBy("clientId", "_slot").count().collect()]
-    assert max(sizes) < 300
-
-
-def test_heavy_ids_are_exact(spark):
-    ids = [i for i in range(200) for _ in range(1 + i % 40)]
-    _, o = frames(spark, [], [(0, i, 1.0, DAY) for i in ids])
-    heavy = enrich._heavy_ids(o, "clientId", 30)
-    assert sorted(r.clientId for r in heavy.collect()) == [i for i in range(200) if i % 40 >= 30]
-    assert enrich._heavy_ids(o, "clientId", 40).count() == 0
-    assert enrich._heavy_ids(o, "clientId", len(ids)) is None
+def slots_of(spark, clients, orders, slice_rows):
+    """Pairs per slot, as the sliced join makes them."""
+    shape = shape_of(*frames(spark, clients, orders, partitions=20))
+    seen = []
+    real = enrich._in_slots
+    try:
+        enrich._in_slots = lambda *a: seen.append(real(*a)) or seen[-1]
+        enrich._sliced(shape, slice_rows)
+    finally:
+        enrich._in_slots = real
+    named, placed = (df.groupBy("clientId", "_slot").count() for df in seen)
+    pairs = named.withColumnRenamed("count", "n").join(placed, ["clientId", "_slot"])
+    return [r.n * r["count"] for r in pairs.collect()]
 
 
-def test_number_of_hot_ids_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(enrich, "MAX_HOT_IDS", 4)
-    _, o = frames(spark, [], [(i, i % 3 and i, 1.0, DAY) for i in range(99)])
-    assert [r.clientId for r in enrich._heavy_ids(o, "clientId", 1).collect()] == [0]
-    _, o = frames(spark, [], [(i, i % 4, 1.0, DAY) for i in range(100)])
-    assert enrich._heavy_ids(o, "clientId", 1).count() == 0
+def test_slots_hold_about_a_slice_of_pairs(spark):
+    """A third of all orders, half of those exact copies, for one client; copies of another."""
+    orders = [(i, 7, 1.0, DAY) for i in range(500)] + [(9, 7, 2.0, DAY)] * 500
+    orders += [(i, i % 100, 1.0, DAY) for i in range(2000)]
+    clients = [(7, "c7", "l"), (8, "c8", "l")] + [(9, "c9", "l")] * 60
+    pairs = slots_of(spark, clients, orders, 100)
+    assert sum(pairs) == 1020 + 20 + 60 * 20
+    assert max(pairs) < 300
 
 
-def test_orders_of_a_hot_unknown_id_are_not_shuffled(spark):
-    c, o = frames(
-        spark, [(1, "a", "l")], [(i, 5 if i % 2 else 1 + i, 1.0, DAY) for i in range(100)]
-    )
-    hot = enrich._hot_stats(c, o, shape_of(c, o), 20)
-    slotted = enrich._in_slots(o, hot, "clientId", enrich._ORDER_SLICES, repeat=False)
-    assert slotted.count() == 49  # 4 + 1 is such an order too
+def test_many_ids_just_above_the_bound_are_all_cut(spark):
+    orders = [(i, i % 150, 1.0, DAY) for i in range(3300)]
+    pairs = slots_of(spark, [(i, "c", "l") for i in range(150)], orders, 20)
+    assert sum(pairs) == 3300
+    assert max(pairs) < 22
 
 
-def test_nothing_is_sliced_without_a_hot_id(spark):
+def test_nothing_is_sliced_without_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(enrich, "_in_slots", None)
     c, o = frames(spark, [(i, "a", "l") for i in range(9)], [(i, i, 1.0, DAY) for i in range(9)])
-    assert enrich._hot_stats(c, o, shape_of(c, o), 2) is None
-    assert enrich._hot_stats(c, o, shape_of(c, o), 100) is None
+    assert enrich_orders(c, o, strategy="sliced", slice_rows=2).count() == 9
 
 
-def spy_strategy(monkeypatch):
-    used = []
-    for name in ("_broadcast_clients", "_broadcast_orders", "_sliced"):
-        real = getattr(enrich, name)
-
-        def spy(*args, _name=name, _real=real):
-            used.append(_name)
-            return _real(*args)
-
-        monkeypatch.setattr(enrich, name, spy)
-    return used
+@pytest.mark.parametrize("strategy", ["clients", "orders"])
+def test_wanted_broadcast_that_does_not_fit_gives_way(shops, strategy):
+    plan = lambda **k: enrich_orders(*shops, strategy=strategy, **k)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan().lower()
+    assert "broadcast" not in plan(broadcast_limit=10).lower()
+    assert rows(enrich_orders(*shops, strategy=strategy, broadcast_limit=10)) == rows(by_window(*shops))
+
+
+def test_no_job_runs_before_the_caller_acts(spark, shops):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    enrich_orders(*shops)
+    jobs = tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
+
+
+@pytest.mark.parametrize("strategy", ["auto", "sliced"])
+def test_csv_is_read_twice_at_most(spark, tmp_path, strategy):
+    c, o = frames(spark, [(i, "c" * 40, "l") for i in range(2000)], [(i, i % 50, 1.0, DAY) for i in range(9000)])
+    for name, df in (("c", c), ("o", o)):
+        df.write.csv(f"{tmp_path}/{name}")
+    c = spark.read.schema(c.schema).csv(f"{tmp_path}/c")
+    o = spark.read.schema(o.schema).csv(f"{tmp_path}/o")
+    size = sum(f.stat().st_size for f in tmp_path.rglob("part-*.csv"))
+    stats = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = stats()
+    rows_out = enrich_orders(c, o, strategy=strategy, slice_rows=100).count()
+    assert rows_out == 9000 + 1950
+    # the totals written between are small
+    assert stats() - before < 2.5 * size
 
 
-def test_auto_broadcasts_only_what_is_measured_to_fit(spark, monkeypatch):
-    used = spy_strategy(monkeypatch)
-    c, o = frames(
-        spark,
-        [(i, "x" * 50, "l") for i in range(50)],
-        [(i, i, 1.0, None) for i in range(10)],
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_maps_and_names_in_any_case(spark, strategy):
+    c = spark.createDataFrame([(3, "x"), (None, "y"), (4, "z"), (3, "x")], "CLIENTID int, Name string")
+    o = spark.createDataFrame(
+        [(i, 3 if i % 3 else None, 1.5, {"k": i}, [{"m": 1}]) for i in range(12)],
+        "orderid int, clientid int, Amount double, tags map<string,int>, more array<map<string,int>>",
     )
-    clients_size, orders_size = measured_bytes(c), measured_bytes(o)
-    assert orders_size < clients_size
-    for limit in (clients_size, clients_size - 1, orders_size - 1):
-        enrich_orders(c, o, broadcast_limit=limit)
-    assert used == ["_broadcast_clients", "_broadcast_orders", "_sliced"]
+    out = enrich_orders(c, o, strategy=strategy, slice_rows=2)
+    assert out.columns == ["CLIENTID", "Name", "orderid", "Amount", "tags", "more", "totalAmountByClient"]
+    got = sorted(((r.CLIENTID, r.Name, r.orderid, r.tags and r.tags["k"], r.totalAmountByClient) for r in out.collect()), key=str)
+    ids = [i for i in range(12) if i % 3]
+    want = [(3, "x", i, i, 24.0) for i in ids] * 2 + [(None, "y", None, None, None), (4, "z", None, None, None)]
+    assert got == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("strategy", ["clients", "orders"])
-def test_wanted_broadcast_that_does_not_fit_gives_way(spark, two_clients, monkeypatch, strategy):
-    used = spy_strategy(monkeypatch)
-    out = enrich_orders(*two_clients, strategy=strategy, broadcast_limit=10)
-    assert used == ["_sliced"]
-    assert rows(out) == rows(by_window(*two_clients))
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("decimal", ["DECIMAL(20,10)", "DECIMAL(38,18)"])
+def test_totals_keep_all_digits(spark, strategy, decimal):
+    c = spark.createDataFrame([(1, "once"), (2, "twice"), (2, "twice")], "clientId int, name string")
+    o = spark.sql(
+        f"SELECT id AS orderId, int(1 + id % 2) AS clientId, CAST('1.1234567891' AS {decimal}) + 0 AS amount FROM range(6)"
+    ).selectExpr("orderId", "clientId", f"CAST(amount AS {decimal}) AS amount")
+    out = enrich_orders(c, o, strategy=strategy, slice_rows=2)
+    plain = by_window(c, o)
+    assert out.schema["totalAmountByClient"].dataType == plain.schema["totalAmountByClient"].dataType
+    key = lambda df: sorted(map(str, df.select("clientId", "orderId", "totalAmountByClient").collect()))
+    assert key(out) == key(plain)
 
 
 def test_measured_bytes_counts_text_and_refuses_nested(spark):
@@ -227,7 +246,7 @@ def test_other_column_names_and_decimal_amounts(spark):
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
 def test_key_types_may_differ(spark, strategy):
-    c = spark.createDataFrame([(1, "Ada", "Lyon"), (2, "Ben", "Oslo")], schemas.CLIENTS)
+    c = spark.createDataFrame([(1, "Wren", "quay"), (2, "Xyst", "quay")], schemas.CLIENTS)
     o = spark.createDataFrame(
         [(1, 1, 1.5, DAY)] * 4 + [(2, 1 << 40, 2.0, DAY)] * 4,
         "orderId INT, clientId BIGINT, amount DOUBLE, date STRING",
@@ -237,9 +256,13 @@ def test_key_types_may_differ(spark, strategy):
     assert rows(out) == rows(by_window(c, o))
 
 
-def test_wrong_arguments(two_clients):
-    c, o = two_clients
+def test_wrong_arguments(shops):
+    c, o = shops
     with pytest.raises(ValueError, match="unknown strategy"):
         enrich_orders(c, o, strategy="magic")
-    with pytest.raises(ValueError, match="both inputs: name"):
-        enrich_orders(c, o.withColumn("name", F.lit("x")))
+    with pytest.raises(ValueError, match="both inputs: NAME, name"):
+        enrich_orders(c, o.withColumn("NAME", F.lit("x")))
+    with pytest.raises(ValueError, match="both inputs: AMOUNT, amount"):
+        enrich_orders(c, o, total="AMOUNT")
+    with pytest.raises(ValueError, match="0 columns 'nope'"):
+        enrich_orders(c, o, key="nope")

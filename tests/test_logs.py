@@ -19,17 +19,14 @@ from tallybrook.operators.logs import (
     well_formed,
 )
 
+HEAD = "2031-12-09 23:59:58.640"
 LINES = [
-    "2024-05-02 06:00:00.001 INFO  [main] shop.Start - Job is up",
-    "2024-05-02 06:00:01.234 INFO  [task-1] shop.Reader - Opening stream: in/logs",
-    "2024-05-02 06:00:02.000 WARN  [pool-2] shop.Conf - Key not set",
-    "2024-05-02 06:00:03.000 ERROR [worker-1] shop.Mapper - Bad line",
-    "2024-05-02 06:00:04.123 DEBUG [main] shop.Grammar - Pattern ready",
-    "2024-05-02 06:00:05.456 INFO  [task-3] shop.Writer - Batch written",
-    "2024-05-02 06:00:06.789 ERROR [worker-2] shop.Reader - File is gone",
-    "2024-05-02 06:00:07.012 WARN  [pool-4] shop.Runner - Trying again",
+    "2031-12-10 00:00:11.305 DEBUG [io-7] mill.Valve - Pressure 4.2 bar",
+    f"{HEAD} WARN [gate] mill.Sluice - Rust on hinge 3",
+    "2031-12-10 02:17:44.019 ERROR [io-7] mill.Wheel - Paddle 12 lost",
+    "2031-12-10 00:00:11.306 DEBUG [io-7] mill.Valve - Pressure 4.1 bar",
+    "2031-12-11 09:30:00.000 DEBUG [io-2] mill.Valve - Closed",
 ]
-HEAD = "2024-05-02 06:00:00.001"
 
 
 def lines(spark, *values):
@@ -57,12 +54,12 @@ def test_all_fields_are_text(parsed):
 
 
 def test_one_row_per_line(parsed):
-    assert parsed.count() == 8
+    assert parsed.count() == 5
 
 
 def test_first_line(parsed):
     (first,) = earliest(parsed).collect()
-    assert tuple(first) == (HEAD, "INFO", "main", "shop.Start", "Job is up")
+    assert tuple(first) == (HEAD, "WARN", "gate", "mill.Sluice", "Rust on hinge 3")
 
 
 def test_earliest_skips_unmatched_lines_and_breaks_ties(spark):
@@ -74,25 +71,25 @@ def test_earliest_skips_unmatched_lines_and_breaks_ties(spark):
 def test_level_distribution(parsed, spark):
     with_junk = parsed.unionAll(parse_logs(lines(spark, "junk", None)))
     counts = {r.level: r.lines for r in level_distribution(with_junk).collect()}
-    assert counts == {"INFO": 3, "WARN": 2, "ERROR": 2, "DEBUG": 1}
+    assert counts == {"DEBUG": 3, "WARN": 1, "ERROR": 1}
 
 
 def test_well_formed_drops_unmatched_and_null_lines(parsed, spark):
-    assert well_formed(parsed).count() == 8
-    mixed = parse_logs(lines(spark, LINES[0], "  at shop.Main(Main:3)", "", None))
+    assert well_formed(parsed).count() == 5
+    mixed = parse_logs(lines(spark, LINES[0], "  at mill.Dam(Dam:3)", "", None))
     kept = well_formed(mixed)
     assert kept.columns == schemas.PARSED_LOG.names
-    assert [r.message for r in kept.collect()] == ["Job is up"]
+    assert [r.message for r in kept.collect()] == ["Pressure 4.2 bar"]
 
 
 def test_errors_only(parsed):
     out = errors_only(parsed)
     assert out.columns == schemas.ERROR_LOG.names
-    assert sorted(r.message for r in out.collect()) == ["Bad line", "File is gone"]
+    assert [r.message for r in out.collect()] == ["Paddle 12 lost"]
 
 
 def test_ad_hoc_predicate(parsed):
-    assert parsed.filter("level = 'INFO'").count() == 3
+    assert parsed.filter("level = 'DEBUG'").count() == 3
 
 
 def test_malformed_is_the_complement(spark):
@@ -119,7 +116,7 @@ def test_malformed_is_the_complement(spark):
         (f"{HEAD} FATAL [m] l - m", ("",) * 5),
         (f"{HEAD} info [m] l - m", ("",) * 5),
         (f" {HEAD} INFO [m] l - m", ("",) * 5),
-        ("\tat shop.Main.run(Main.x:12)", ("",) * 5),
+        ("\tat mill.Dam.run(Dam.x:12)", ("",) * 5),
         (f"{HEAD} INFO [] l - m", ("",) * 5),
         (f"{HEAD} INFO [m] l - ", ("",) * 5),
         (f"{HEAD} INFO [m] l - a\nb", ("",) * 5),

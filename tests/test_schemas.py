@@ -34,13 +34,12 @@ def test_log_schemas_are_all_text():
 
 
 def test_rows_fit_the_schemas(spark):
-    clients = spark.createDataFrame([(1, "Ada", "Lyon")], schemas.CLIENTS)
-    orders = spark.createDataFrame(
-        [(11, 1, 150.5, datetime.date(2024, 3, 1)), (12, 2, 200.0, None)], schemas.ORDERS
-    )
-    assert clients.schema == schemas.CLIENTS and clients.count() == 1
+    clients = spark.createDataFrame([(None, None, "quay"), (2**31 - 1, "", None)], schemas.CLIENTS)
+    leap_day = datetime.date(2020, 2, 29)
+    orders = spark.createDataFrame([(-4, 908, -0.5, leap_day), (None,) * 4, (8, None, 1e12, None)], schemas.ORDERS)
+    assert clients.schema == schemas.CLIENTS and clients.count() == 2
     assert orders.schema == schemas.ORDERS
-    assert orders.first().date == datetime.date(2024, 3, 1)
+    assert [r.date for r in orders.where("orderId < 0").collect()] == [leap_day]
 
 
 @pytest.mark.parametrize("name", ["clients", "CLIENTS", "Clients"])

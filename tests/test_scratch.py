@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
 import pytest
 
-from tallybrook.scratch import shared_folder, written
+from tallybrook.scratch import cleared, shared_folder, written
 
 
-def session(**settings):
+def session(context=None, **settings):
     settings = {k.replace("_", "."): v for k, v in settings.items()}
-    return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
+    get = lambda key, default=None: settings.get(key, default)
+    return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=SimpleNamespace(getCheckpointDir=lambda: context))
 
 
 def test_the_cluster_names_the_folder():
@@ -38,3 +41,18 @@ def test_written_keeps_rows_and_schema_and_cuts_lineage(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     assert back.inputFiles()
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in back.inputFiles())
+
+
+def test_a_folder_set_on_the_context_counts():
+    spark = session(context="hdfs://shared/set", spark_master="yarn")
+    assert shared_folder(spark, "a").startswith("hdfs://shared/set/a-")
+
+
+def test_what_was_written_in_a_scope_is_deleted(spark):
+    df = spark.range(3)
+    outside = written(df, "kept")
+    with cleared(spark):
+        inside = written(df, "gone").inputFiles()[0]
+        assert written(df, "gone").count() == 3
+    assert outside.count() == 3
+    assert not os.path.exists(urlparse(inside).path)

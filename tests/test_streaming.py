@@ -55,11 +55,11 @@ def test_one_file_per_batch(job):
     assert len(job.rows()) == 4
 
 
-def test_default_batch_fills_the_cores(job):
-    for i in range(4):
+def test_default_batch_takes_all_files(job):
+    for i in range(9):
         job.put(f"{i}.log", line(i))
     query = job.run()
-    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [4]
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [9]
 
 
 def test_restart_reads_only_new_files(job):
@@ -113,7 +113,10 @@ def test_processing_time_trigger(job, spark, interval_ms):
 def test_console_needs_no_path(job, spark, capfd):
     job.put("a.log", line(1))
     job.out = None
-    job.run(format="console")
+    query = job.run(format="console")
+    sink = query.lastProgress["sink"]
+    assert "Console" in sink["description"]
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 1
 
 
 def test_parquet_needs_a_path(job, spark):
