@@ -33,7 +33,7 @@ class Partition(NamedTuple):
     """Items of at most ``most`` shingles: length of the signature, hits needed.
 
     Each value of the signature of a contained item is in the document with a chance of
-    0.8 or more, so that fewer hits than needed happen once in 10 million times or less.
+    0.8 or more, so that fewer hits than needed happen less than once in a million.
     """
 
     most: float

@@ -49,7 +49,7 @@ def made(seed, clusters, size, spread, dim=16, alone=60):
         vectors += [base + rng.normal(size=dim) * spread for _ in range(size)]
     vectors += list(rng.normal(size=(alone, dim)))
     order = rng.permutation(len(vectors))
-    return [(int(k), i % 2, [float(np.float32(x)) for x in vectors[i]]) for k, i in enumerate(order)]
+    return [(int(k), int(i % 2), [float(np.float32(x)) for x in vectors[i]]) for k, i in enumerate(order)]
 
 
 SCHEMA = "vec_id long, label int, embedding array<float>"
