@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tallybrook.llm.common import as_text, sliced
 
 # Entries per worker: encodings of pieces, and answers for pairs of tokens.
-CACHED_PIECES, CACHED_PAIRS = 300_000, 400_000
+CACHED_PIECES, CACHED_PAIRS = 200_000, 200_000
 # Longer pieces are encoded each time they occur.
 CACHED_BYTES = 64
 # Fixed value: the pattern under which a match holds a space only at its start or in a run
@@ -186,6 +186,11 @@ class Encoder:
         piece = self._pieces.__getitem__
         return b"".join(map(piece, self.vocabulary.pattern.findall(text)))
 
+    def forget(self) -> None:
+        """Empty the caches of pieces."""
+        self._pieces.clear()
+        self._words.clear()
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
 
@@ -297,6 +302,7 @@ def _map_texts(docs: DataFrame, text: str, keep: list, schema: str, ranks: bytes
                 [*batch.columns[1:], *[_column(c, t) for c, t in zip(columns, types)]],
                 [*batch.schema.names[1:], *[f"_r{i}" for i in range(len(types))]],
             )
+        encoder.forget()  # the worker lives on, and others need its memory
 
     kept = [docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)]
     source = docs.select(docs[f"`{text}`"].cast("binary").alias("_text"), *kept)

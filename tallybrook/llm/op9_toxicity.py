@@ -134,19 +134,19 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON_SIZE) -> Lexicon:
     """Words and beginnings that mark toxic rows, from (_text, toxic); at most ``size`` of each."""
 
     def count(batches):
-        for batch in sliced(batches, 2048):
-            counts = Counter()
+        for batch in sliced(batches, 512):
+            counts = (Counter(), Counter())
             for text, toxic in zip(batch.column("_text").to_pylist(), batch.column("toxic").to_pylist()):
                 words = set(_WORD.findall((text or "").lower()))
                 terms = {f"w{w}" for w in words}
                 terms.update(f"b{w[:n]}" for w in words for n in BEGINNINGS if len(w) >= n)
-                counts.update((t, toxic) for t in terms)
-            rows = [(term, toxic, n) for (term, toxic), n in counts.items()]
-            columns = list(zip(*rows)) if rows else [(), (), ()]
-            types = (pa.string(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], ["term", "toxic", "n"]
-            )
+                counts[toxic].update(terms)
+            for toxic, own in enumerate(counts):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()),
+                     pa.array(list(own.values()), pa.int64())],
+                    ["term", "toxic", "n"],
+                )
 
     of = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     counted = texts.select("_text", "toxic").mapInArrow(count, "term string, toxic int, n bigint")
