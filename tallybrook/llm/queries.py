@@ -116,6 +116,19 @@ def op3_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+# base 32 of a SHA-1 digest: each five hex digits are four characters
+SQL["op5_warc_round_trip"] = """WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((
+    CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1 AS INT), 1)
+    FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM p"""
+
+
 @_query
 def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page, without its host's template."""
