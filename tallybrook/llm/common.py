@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from pathlib import Path
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +17,8 @@ U64 = np.uint64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers find this package where the driver has it, if they have none installed
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
