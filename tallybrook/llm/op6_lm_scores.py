@@ -1,72 +1,58 @@
 """Language-model scores: cross-entropy difference between a target and a background model.
 
-Both are interpolated bigram models over one vocabulary, the most frequent words of all
-documents, and count all documents that they are of: the target's, and the whole corpus.
-Counts of pairs are kept in a fixed number of cells by hash, so that a model has a bounded
-size whatever the corpus; they are summed in each task before they are shuffled.
+Both are interpolated bigram models over all words, or over the most frequent ones if a size
+is given, and count all documents that they are of: the target's, and the whole corpus.
+Counts are exact for every word and every pair of words; words and pairs are told apart by
+64-bit hashes. Nothing that grows with the corpus is broadcast or collected.
+
+1. Texts are written in chunks of a bounded size. A chunk's distinct words and pairs are its
+   keys, sorted; a key goes to the bucket that its first bits name.
+2. A bucket adds up the counts of its keys over all chunks, and answers each chunk with the
+   counts of that chunk's keys, in their order, so that keys are not sent back. A word or
+   pair comes once from a chunk, however frequent it is: no bucket is hot.
+3. A chunk's texts meet its answers and are scored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import sliced, stored
+from tallybrook.llm.common import U64, mixed, sliced, stored, word_hashes
 
-VOCABULARY = 32_768
-CELL_BITS = 20
 PAIR_WEIGHT, SMOOTHING = 0.7, 0.5
+# Bytes of text in a chunk, and for which there is a bucket.
+CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 12 << 20
+# What stands before the first word of a document, and for words outside a bounded vocabulary.
+START, UNKNOWN = U64(0x51A7B3C94D2E6F01), U64(0xC3D2E1F0A5B49687)
 _FLUSH = 300_000
 # Steps per factor e of a word's count; counts below this are told apart.
 _LEVELS = 1000
 
 
-def _words(text) -> list[bytes]:
-    data = text.encode("utf-8", "replace") if isinstance(text, str) else (text or b"")
-    return data.lower().split()
-
-
+@dataclass(frozen=True)
 class Model:
-    """Vocabulary and, for target and background, the counts of words and of hashed pairs.
-
-    Word 0 is any outside the vocabulary; ``size`` itself is the start of a document.
-    """
-
-    def __init__(self, vocabulary: list[bytes], words: np.ndarray, pairs: np.ndarray):
-        self.ids = {w: i + 1 for i, w in enumerate(vocabulary)}
-        self.size = len(vocabulary) + 1
-        self.words, self.pairs = words.astype(np.float32), pairs.astype(np.float32)
-
-    def losses(self, text) -> np.ndarray:
-        """Loss of each token (nats): one row for the target, one for the background."""
-        before, ids = token_pairs(_words(text), self.ids, self.size)
-        cells = cell_of(before, ids)
-        out = np.empty((2, len(ids)))
-        for x in (0, 1):
-            seen = np.maximum(self.words[x][before], 1.0)
-            pair = np.minimum(self.pairs[x][cells] / seen, 1.0)
-            total = self.words[x][: self.size].sum() + SMOOTHING * self.size
-            alone = (self.words[x][ids] + SMOOTHING) / total
-            out[x] = -np.log(PAIR_WEIGHT * pair + (1 - PAIR_WEIGHT) * alone)
-        return out
+    """What the models count: documents, ids of the target, and the vocabulary if it is bounded."""
 
+    docs: DataFrame
+    target: DataFrame
+    doc_id: str
+    text: str
+    words: list[bytes] | None
 
-def token_pairs(words: list[bytes], ids: dict[bytes, int], size: int) -> tuple[np.ndarray, np.ndarray]:
-    known = np.fromiter((ids.get(w, 0) for w in words), np.int64, len(words))
-    return np.concatenate(([size], known[:-1])) if len(known) else known, known
 
-
-def cell_of(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    mixed = before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ after.astype(np.uint64)
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def _words(text) -> list[bytes]:
+    data = text.encode("utf-8", "replace") if isinstance(text, str) else (text or b"")
+    return data.lower().split()
 
 
-def vocabulary(docs: DataFrame, *, text: str = "text", size: int = VOCABULARY) -> list[bytes]:
+def vocabulary(docs: DataFrame, *, text: str = "text", size: int) -> list[bytes]:
     """The most frequent words of all documents, A-Z in lower case, ``size`` at most.
 
     Words that are equally frequent are in it together or not at all.
@@ -102,50 +88,177 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     )
 
 
-def train(docs: DataFrame, target: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = VOCABULARY) -> Model:
-    """Fit both models: background on all documents, target on those whose id is in ``target``.
+def train(docs: DataFrame, target: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int | None = None) -> Model:
+    """Both models: background of all documents, target of those whose id is in ``target``.
 
     ``target`` has a column of ids; null ids match nothing and repeated ones count once.
-    Null and empty texts have no tokens. Without target documents its model is flat.
+    Null and empty texts have no tokens. Without target documents its model is flat. With a
+    ``size`` all but that many most frequent words are one. Counting is left to ``score``.
     """
-    words = vocabulary(docs, text=text, size=size)
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-    ids = target.select(target.columns[0]).toDF("_id").where("_id is not null").distinct()
-    # ids are as many as documents: never broadcast, and small enough not to sort the texts
-    chosen = docs.select(docs[f"`{doc_id}`"].alias("_id"), docs[f"`{text}`"].cast("binary").alias("t")).join(
-        ids.withColumn("_target", F.lit(True)).hint("shuffle_hash"), "_id", "left"
-    )
+    words = None if size is None else vocabulary(docs, text=text, size=size)
+    return Model(docs, target, doc_id, text, words)
+
+
+# --- chunks -----------------------------------------------------------------
+
+
+def _chunks(docs: DataFrame, doc_id: str | None, text: str, keep, side: int) -> DataFrame:
+    """(chunk, bytes, ids, rows): rows are texts and kept columns as an Arrow stream."""
+    kept = [docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)]
+    own = docs[f"`{doc_id}`"] if doc_id else F.lit(None).cast("long")
+    source = docs.select(own.alias("_id"), docs[f"`{text}`"].cast("binary").alias("_t"), *kept)
+
+    def run(batches):
+        held, size, number = [], 0, TaskContext.get().partitionId() << 25
+
+        def chunk():
+            rows = pa.Table.from_batches(held)
+            sink = pa.BufferOutputStream()
+            options = pa.ipc.IpcWriteOptions(compression="zstd")
+            texts = rows.drop_columns("_id").combine_chunks()
+            with pa.ipc.new_stream(sink, texts.schema, options=options) as writer:
+                writer.write_table(texts)
+            ids = rows.column("_id").combine_chunks()
+            ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number * 2 + side]), pa.array([size]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                ["chunk", "bytes", "ids", "rows"],
+            )
 
-    def count(batches):
-        known = {w: i + 1 for i, w in enumerate(shared.value)}
-        n = len(known) + 1
-        single, pair = np.zeros((2, n + 1), np.int64), np.zeros((2, 1 << CELL_BITS), np.int64)
         for batch in sliced(batches):
-            for t, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                before, after = token_pairs(_words(t), known, n)
-                if not len(after):
-                    continue
-                cells = cell_of(before, after)
-                for x in (0, 1) if is_target else (1,):
-                    np.add.at(single[x], after, 1)
-                    single[x][n] += 1
-                    np.add.at(pair[x], cells, 1)
-        for offset, counts in ((0, pair), (1 << CELL_BITS, single)):
-            at = np.flatnonzero(counts[1])  # what the target has, the background has
-            for i in range(0, len(at), _FLUSH):
-                part = at[i : i + _FLUSH]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part + offset, pa.int64()), pa.array(counts[0][part]), pa.array(counts[1][part])],
-                    ["cell", "a", "b"],
-                )
+            for part in sliced([batch], 256 if batch.column(1).nbytes < CHUNK_BYTES else 1):
+                held.append(part)
+                size += part.column(1).nbytes
+                if size >= CHUNK_BYTES:
+                    yield chunk()
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield chunk()
 
-    counted = chosen.select("t", "_target").mapInArrow(count, "cell bigint, a bigint, b bigint")
-    sums = counted.groupBy("cell").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()
-    # bounded: a row per cell and word at most
-    cell = sums.column("cell").to_numpy()
-    everything = np.zeros((2, (1 << CELL_BITS) + len(words) + 2))
-    everything[0][cell], everything[1][cell] = sums.column("a").to_numpy(), sums.column("b").to_numpy()
-    return Model(words, everything[:, 1 << CELL_BITS :], everything[:, : 1 << CELL_BITS])
+    kind = source.schema["_id"].dataType.simpleString()
+    return stored(source.mapInArrow(run, f"chunk bigint, bytes bigint, ids array<{kind}>, rows binary"), "lm-chunks")
+
+
+def _flagged(chunks: DataFrame, target: DataFrame) -> DataFrame:
+    """The chunks with ``at``: the places of their documents of the target."""
+    ids = target.select(target.columns[0]).toDF("_id").where("_id is not null").distinct()
+    placed = chunks.select("chunk", F.posexplode("ids").alias("at", "_id")).join(ids.hint("shuffle_hash"), "_id")
+    places = placed.groupBy("chunk").agg(F.collect_list("at").alias("at"))
+    return chunks.join(places.hint("shuffle_hash"), "chunk", "left")
+
+
+def _read(rows: bytes) -> pa.Table:
+    return pa.ipc.open_stream(rows).read_all()
+
+
+def _tokens(texts: pa.ChunkedArray, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts in order, what stands before each, and the number of each text's."""
+    parts = [np.zeros(0, U64)]
+    for piece in texts.chunks:
+        for start in range(0, len(piece), 256):
+            parts.extend(map(word_hashes, piece.slice(start, 256).to_pylist()))
+    lengths = np.array([len(p) for p in parts[1:]], np.int64)
+    words = np.concatenate(parts)
+    if known is not None:
+        words = np.where(np.isin(words, known), words, UNKNOWN)
+    before = np.roll(words, 1)
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = START
+    return words, before, lengths
+
+
+def _pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mixed(before * U64(0x9E3779B97F4A7C15) + mixed(words * U64(0xD6E8FEB86659FD93)))
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """64-bit columns of equal length, byte by byte, so that leading zeros vanish."""
+    planes = [np.ascontiguousarray(c.astype(U64).view(np.uint8).reshape(-1, 8).T).ravel() for c in columns]
+    return len(columns[0]).to_bytes(8, "little") + pa.compress(np.concatenate(planes), codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, columns: int) -> list[np.ndarray]:
+    n = int.from_bytes(blob[:8], "little")
+    raw = pa.decompress(blob[8:], n * 8 * columns, codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 8, n)
+    return [np.ascontiguousarray(p.T).view(U64).ravel() for p in planes]
+
+
+def _keys(bits: int, known: np.ndarray | None):
+    """The keys of chunks with their counts: (bucket, chunk, scored, keys)."""
+
+    def run(batches):
+        for batch in sliced(batches, 1):
+            [row] = batch.to_pylist()
+            words, before, lengths = _tokens(_read(row["rows"]).column("_t"), known)
+            target = np.zeros(len(lengths), bool)
+            target[np.array(row["at"] or [], int)] = True
+            some = lengths > 0
+            of_word = np.repeat(target, lengths)
+            pairs = _pair_keys(before, words)
+            every = np.concatenate([words, np.full(some.sum(), START)])
+            for kind, keys, chosen in ((0, pairs, of_word), (1, every, np.concatenate([of_word, target[some]]))):
+                keys, place = np.unique(keys, return_inverse=True)
+                b = np.bincount(place, minlength=len(keys)) * row["counted"]
+                a = np.bincount(place[chosen], minlength=len(keys)) * row["counted"]
+                ends = np.searchsorted(keys >> U64(64 - bits), np.arange((1 << bits) + 1))
+                blobs = [(k, _pack(np.diff(keys[i:j], prepend=U64(0)), a[i:j], b[i:j]))
+                         for k, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind << bits | k for k, _ in blobs], pa.int64()), pa.array([row["chunk"]] * len(blobs), pa.int64()),
+                     pa.array([row["scored"]] * len(blobs), pa.bool_()), pa.array([x for _, x in blobs], pa.binary())],
+                    ["bucket", "chunk", "scored", "keys"],
+                )
+
+    return run
+
+
+def _add_up(bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        """A bucket's answers to its chunks; for words also how many there are, and tokens."""
+        bucket = table.column("bucket")[0].as_py()
+        keys, a, b = [], [], []
+        for blob in table.column("keys"):
+            steps, x, y = _unpack(blob.as_py(), 3)
+            keys.append(np.cumsum(steps, dtype=U64))
+            a.append(x)
+            b.append(y)
+        ends = np.cumsum([len(k) for k in keys])
+        own, place = np.unique(np.concatenate(keys), return_inverse=True)
+        # sums of whole numbers below 2^53: exact
+        a, b = (np.bincount(place, weights=np.concatenate(x)) for x in (a, b))
+        out = [
+            (chunk, _pack(a[place[end - len(k) : end]], b[place[end - len(k) : end]]), 0, 0, 0)
+            for chunk, scored, k, end in zip(table.column("chunk").to_pylist(), table.column("scored").to_pylist(), keys, ends)
+            if scored
+        ]
+        if bucket >> bits:
+            real = own != START
+            out.append((None, None, int((real & (b > 0)).sum()), int(a[real].sum()), int(b[real].sum())))
+        columns = list(zip(*out)) if out else [()] * 5
+        types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+        arrays = [pa.array([bucket] * len(out), pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))]
+        return pa.Table.from_arrays(arrays, ["bucket", "chunk", "counts", "words", "a", "b"])
+
+    return run
+
+
+def _losses(words, before, counts, bits: int, totals, size: int) -> np.ndarray:
+    """Loss of each token (nats): one row for the target, one for the background."""
+    answers = [[_unpack(c["counts"], 2) for c in counts if c["bucket"] >> bits == kind] for kind in (0, 1)]
+    pair, single = (np.concatenate([np.array(x) for x in kind], axis=1).astype(float) for kind in answers)
+    _, at = np.unique(_pair_keys(before, words), return_inverse=True)
+    known, now = np.unique(np.append(words, START), return_inverse=True)
+    start, now = now[-1], now[:-1]
+    last = np.where(before == START, start, np.roll(now, 1))
+    if (at.max() + 1, len(known)) != (pair.shape[1], single.shape[1]):
+        raise RuntimeError("answers do not fit the chunk")
+    out = np.empty((2, len(words)))
+    for x in (0, 1):
+        ratio = np.minimum(pair[x][at] / np.maximum(single[x][last], 1.0), 1.0)
+        alone = (single[x][now] + SMOOTHING) / (totals[x] + SMOOTHING * size)
+        out[x] = -np.log(PAIR_WEIGHT * ratio + (1 - PAIR_WEIGHT) * alone)
+    return out
 
 
 def score(docs: DataFrame, model: Model, *, keep=("doc_id",), text: str = "text") -> DataFrame:
@@ -153,28 +266,48 @@ def score(docs: DataFrame, model: Model, *, keep=("doc_id",), text: str = "text"
 
     Losses are means per token; ``score`` is their difference, lower for texts more like
     the target. Texts without tokens have 0 for all. A row per row; others are not read.
+    If ``docs`` are those of the model they are read once, otherwise both are.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    same = docs is model.docs and text == model.text
+    chunks = _chunks(docs, model.doc_id if same else None, text, keep, 0)
+    scored = chunks.select("chunk", "bytes", "rows")
+    every = _flagged(chunks, model.target).select("chunk", "rows", "at", F.lit(True).alias("scored"), F.lit(1).alias("counted"))
+    size = chunks.agg(F.sum("bytes")).first()[0] or 0
+    if not same:
+        learned = _chunks(model.docs, model.doc_id, model.text, (), 1)
+        size += learned.agg(F.sum("bytes")).first()[0] or 0
+        learned = _flagged(learned, model.target).select("chunk", "rows", "at", F.lit(False).alias("scored"), F.lit(1).alias("counted"))
+        every = every.withColumn("counted", F.lit(0)).union(learned)
+    bits = max(1, int(size // BUCKET_BYTES).bit_length())
+    known = None if model.words is None else np.array([word_hashes(w)[0] for w in model.words], U64)
+    keys = every.mapInArrow(_keys(bits, known), "bucket bigint, chunk bigint, scored boolean, keys binary")
+    counts = keys.groupBy("bucket").applyInArrow(
+        _add_up(bits), "bucket bigint, chunk bigint, counts binary, words bigint, a bigint, b bigint"
+    )
+    counts = stored(counts, "lm-counts")
+    n, *totals = counts.where("chunk is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "a", "b")]).first()
+    n = 1 + (n if known is None else len(known))
+    answers = counts.where("chunk is not null").groupBy("chunk").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "counts"))).alias("counts")
+    )
+    joined = scored.join(answers.hint("shuffle_hash"), "chunk", "left").select("rows", "counts")
 
     def run(batches):
-        own = shared.value
-        for batch in sliced(batches):
-            rows = []
-            for t in batch.column(0).to_pylist():
-                losses = own.losses(t)
-                n = losses.shape[1]
-                a, b = losses.mean(axis=1) if n else (0.0, 0.0)
-                rows.append((n, float(a), float(b), float((losses[0] - losses[1]).mean()) if n else 0.0))
-            columns = list(zip(*rows)) if rows else [()] * 4
-            types = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *[pa.array(c, t) for c, t in zip(columns, types)]],
-                [*batch.schema.names[1:], "_n", "_a", "_b", "_s"],
-            )
-
-    kept = [docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)]
-    source = docs.select(docs[f"`{text}`"].cast("binary").alias("_t"), *kept)
-    types = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[1:]]
-    out = source.mapInArrow(run, ", ".join([*types, "_n bigint, _a double, _b double, _s double"]))
-    names = [*keep, "n_tokens", "target_loss", "background_loss", "score"]
-    return out.toDF(*names)
+        for batch in sliced(batches, 1):
+            [row] = batch.to_pylist()
+            rows = _read(row["rows"])
+            words, before, lengths = _tokens(rows.column("_t"), known)
+            out = np.zeros((3, len(lengths)))
+            some = lengths > 0
+            if some.any():
+                a, b = _losses(words, before, row["counts"], bits, totals, n)
+                first = (np.cumsum(lengths) - lengths)[some]
+                out[:, some] = [np.add.reduceat(x, first) / lengths[some] for x in (a, b, a - b)]
+            rows = rows.drop_columns("_t")
+            for name, column in zip(("_n", "_a", "_b", "_s"), (lengths, *out)):
+                rows = rows.append_column(name, pa.array(column))
+            yield from rows.combine_chunks().to_batches()
+
+    types = [f"_k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
+    out = joined.mapInArrow(run, ", ".join([*types, "_n bigint, _a double, _b double, _s double"]))
+    return out.toDF(*keep, "n_tokens", "target_loss", "background_loss", "score")

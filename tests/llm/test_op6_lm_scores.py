@@ -63,3 +63,24 @@ def test_good_documents_score_lower(spark, sf_dir):
     scores = op6_lm_scores_by_quality(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
     mean = {r["quality"]: r["avg(score)"] for r in scores.groupBy("quality").avg("score").collect()}
     assert mean[1] < mean[0]
+
+
+def test_every_word_and_pair_counts(spark, monkeypatch):
+    """More words and pairs than any fixed table: rare ones are told apart, and small chunks agree."""
+    texts = [" ".join(f"w{i}x{k} w{i}y{k}" for k in range(900)) for i in range(20)] + TEXTS
+    target = spark.createDataFrame([(0,), (22,)], "i long")
+    df = docs(spark, texts)
+    rows = {r["doc_id"]: r for r in lm.score(df, lm.train(df, target)).collect()}
+    n, total = 1 + 20 * 1800 + 10, 20 * 1800 + 18
+    # each word of document 1 occurs once, and so does each pair; the start has 25 documents
+    alone = 0.5 / (1800 + 6 + 0.5 * n)
+    assert sum(r["n_tokens"] for r in rows.values()) == total
+    once = 1.5 / (total + 0.5 * n)
+    first, rest = 0.7 / 25 + 0.3 * once, 0.7 + 0.3 * once
+    assert rows[1]["background_loss"] == pytest.approx(-(math.log(first) + 1799 * math.log(rest)) / 1800, rel=1e-9)
+    assert rows[1]["target_loss"] == pytest.approx(-math.log(0.3 * alone), rel=1e-9)
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 50_000)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 100_000)
+    for other in (df, df.select("*")):  # the model's documents, and the same as other ones
+        for r in lm.score(other, lm.train(df, target)).collect():
+            assert tuple(r) == pytest.approx(tuple(rows[r["doc_id"]]), rel=1e-9)
