@@ -4,7 +4,8 @@
 2. Nodes are dealt to shards, a label to begin with. A shard above ``SHARD`` nodes is split
    around up to 16 of its own vectors, unlike each other; a node goes to the shards of its
    two nearest ones (the nearest is its own shard). A shard that holds only vectors like
-   each other can't be split so: it is compared block by block, exactly.
+   each other can't be split so: it is compared block by block, exactly, with itself and
+   with all vectors of other shards that can be in its range.
 3. In each shard nearest and random neighbours of a node are pruned robustly (an edge is
    dropped if a kept neighbour is nearer to its end), and reversed edges are added.
 4. The lists of a node from all its shards are united. Each shard is searched with the
@@ -18,6 +19,8 @@ large group of near copies is not expanded into pairs.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -294,9 +297,9 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _compare_blocks(least: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """Two blocks of a shard whose vectors are all alike, every pair, by matrix products."""
-        low, high = group["side"].to_numpy() == 0, group["side"].to_numpy() != 0
-        same = not high.any()
+        """Two blocks of vectors, or one (side -1) with itself, every pair, by matrix products."""
+        low, high = group["side"].to_numpy() <= 0, group["side"].to_numpy() > 0
+        same = (group["side"].to_numpy() < 0).any()
         a, b = group[low], group[low] if same else group[high]
         if not len(a) or not len(b):
             return _frame("count", [], [], [])
@@ -318,17 +321,64 @@ def _compare_blocks(least: float):
     return run
 
 
-def _alike(placed: DataFrame, whole: DataFrame, least: float, most: int) -> DataFrame:
-    """Counts and forests of the shards that could not be split: tiles of two blocks each."""
-    own = placed.where("own").join(whole, "shard")
-    sizes = own.groupBy("shard").agg(F.ceil(F.count("*") / (most // 2)).cast("int").alias("blocks"))
-    own = own.join(sizes, "shard").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+def _alike(home: DataFrame, whole: DataFrame, least: float, most: int) -> DataFrame:
+    """Counts and forests of all links of vectors in shards that could not be split.
+
+    ``home`` has every node once, in its own shard. Tiles of two blocks each compare a shard
+    with itself, and with the vectors of other shards that can be in range of any of its own:
+    their angle to one of its vectors is at most the widest inside plus that of the range.
+    Two such shards are compared once, so that counts add up and no pair comes out.
+    """
+    own = home.join(whole, "shard")
+    middle = own.groupBy("shard").agg(
+        F.first("label").alias("label"), F.min_by("vec", "id").alias("middle"), F.count("*").alias("n")
+    )
+    angle = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _cosine("vec", "middle"))))
+    width = own.join(middle.select("shard", "middle"), "shard").groupBy("shard").agg(F.max(angle).alias("width"))
+    middle = stored(middle.join(width, "shard").select(
+        F.col("shard").alias("of"), "label", "middle", F.ceil(F.col("n") / (most // 2)).cast("int").alias("blocks"),
+        (F.col("width") + math.acos(max(-1.0, min(1.0, least))) + 1e-6).alias("width"),
+    ), "whole-middles")
+    marked = home.join(whole.withColumn("whole", F.lit(True)), "shard", "left")
+    near = marked.join(middle, (marked["label"] == middle["label"]) & (F.size("vec") == F.size("middle")))
+    once = F.col("whole").isNull() | (F.col("shard") > F.col("of"))
+    near = stored(near.where((F.col("shard") != F.col("of")) & once & (angle <= F.col("width"))).select(
+        F.col("of").alias("shard"), "id", "vec", "times", "blocks"
+    ), "whole-near")
+    guests = near.groupBy("shard").agg(F.ceil(F.count("*") / (most // 2)).cast("int").alias("others"))
+    own = own.join(middle.select(F.col("of").alias("shard"), "blocks"), "shard")
+    own = own.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     x = F.col("block")
-    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: F.struct(
-        F.concat_ws("/", "shard", F.least(x, y), F.greatest(x, y)).alias("tile"), (x > y).cast("int").alias("side")
+    inner = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: F.struct(
+        F.concat_ws("/", "shard", F.least(x, y), F.greatest(x, y)).alias("tile"),
+        F.when(x == y, -1).otherwise((x > y).cast("int")).alias("side"),
+    ))
+    low = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda y: F.struct(
+        F.concat_ws("/", "shard", x, F.concat(F.lit("o"), y)).alias("tile"), F.lit(0).alias("side")
+    ))
+    other = F.pmod(F.xxhash64("id"), F.col("others")).cast("int")
+    high = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: F.struct(
+        F.concat_ws("/", "shard", y, F.concat(F.lit("o"), other)).alias("tile"), F.lit(1).alias("side")
     ))
-    rows = own.select("id", "vec", "times", F.explode(tiles).alias("t")).select("id", "vec", "times", "t.tile", "t.side")
-    return rows.groupBy("tile").applyInPandas(_compare_blocks(least), _FOUND)
+    rows = [own.select("id", "vec", "times", F.explode(inner).alias("t")),
+            own.join(guests, "shard").select("id", "vec", "times", F.explode(low).alias("t")),
+            near.join(guests, "shard").select("id", "vec", "times", F.explode(high).alias("t"))]
+    tiles = rows[0].union(rows[1]).union(rows[2]).select("id", "vec", "times", "t.tile", "t.side")
+    return tiles.groupBy("tile").applyInPandas(_compare_blocks(least), _FOUND)
+
+
+def _cosine(a: str, b: str):
+    """Cosine of two columns of vectors; each is scaled first, to neither overflow nor underflow."""
+
+    def scaled(c):
+        most = F.array_max(F.transform(c, F.abs))
+        return F.transform(c, lambda v: v / most)
+
+    def dot(p, q):
+        return F.aggregate(F.zip_with(p, q, lambda v, w: v * w), F.lit(0.0), lambda s, v: s + v)
+
+    p, q = scaled(F.col(a)), scaled(F.col(b))
+    return dot(p, q) / F.sqrt(dot(p, p) * dot(q, q))
 
 
 def near_duplicates(
@@ -367,7 +417,8 @@ def near_duplicates(
         guests.select("shard", "id", F.lit(False).alias("own"), "vec", "near", "times")
     )
     found = search_in.groupBy("shard").applyInPandas(_search_shard(least), _FOUND)
-    found = found.union(_alike(placed.join(times, "id"), whole, least, shard))
+    at_home = placed.where("own").select("id", "shard").join(nodes, "id")
+    found = found.union(_alike(at_home, whole, least, shard))
     found = stored(found, "vector-links")
 
     cross = found.where("kind = 'cross'")

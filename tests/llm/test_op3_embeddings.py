@@ -105,3 +105,11 @@ def test_graph_is_pruned_and_leads_to_every_node():
                 todo.append(v)
     assert len(reached) == 400
     assert np.mean([len(v) for v in lists]) < 2 * op3_embeddings.DEGREE
+
+
+def test_shards_that_cannot_be_split_link_with_others(spark):
+    """Vectors close together along an arc: each shard is all alike, and links cross the borders."""
+    angles = np.random.default_rng(7).uniform(0, 1.5, size=300)
+    rows = [(i, 0, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angles)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    assert got(op3_embeddings.near_duplicates(df, shard=50)) == brute(rows)
