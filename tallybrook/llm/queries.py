@@ -18,8 +18,9 @@ from tallybrook.llm import (
     op8_html,
     op9_toxicity,
     op10_licenses,
+    op13_alignment,
 )
-from tallybrook.llm.common import table
+from tallybrook.llm.common import stored, table
 from tallybrook.scratch import shared_folder
 
 QUERIES: dict = {}
@@ -133,3 +134,18 @@ FROM p"""
 def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page, without its host's template."""
     return op8_html.extract(table(spark, sf_dir, "pages"))
+
+
+def two_tokenizers() -> tuple[str, bytes]:
+    """Place of the byte-level tokenizer, and the sentencepiece model."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path("byte_bpe_50k.json"), Path(model).read_bytes()
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document, and how common the links are."""
+    found = op13_alignment.linked(table(spark, sf_dir, "documents"), *two_tokenizers())
+    return op13_alignment.scored(stored(found, "token-links"))
