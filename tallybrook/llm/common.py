@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,31 @@ def sliced(batches: Iterable, rows: int = 256) -> Iterator:
             yield batch.slice(start, rows)
 
 
+def map_texts(docs: DataFrame, columns: Callable[[list[str]], list[pa.Array]], schema: str, *,
+              keep: Sequence[str], text: str) -> DataFrame:
+    """The ``keep`` columns, under any names, and those that ``columns`` makes of the texts of a batch.
+
+    ``schema`` names the new columns, "name type, name type".
+    """
+    fields = [f.split(" ", 1) for f in schema.split(", ")]
+
+    def run(batches):
+        for batch in sliced(batches):
+            made = columns([as_text(x) for x in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], *made], [*batch.schema.names[1:], *[f"_r{i}" for i in range(len(made))]]
+            )
+
+    kept = [docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)]
+    source = docs.select(docs[f"`{text}`"].cast("binary").alias("_text"), *kept)
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[1:]]
+    made = source.mapInArrow(run, ", ".join([*kinds, *[f"_r{i} {kind}" for i, (_, kind) in enumerate(fields)]]))
+    return made.select(
+        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
+        *[F.col(f"_r{i}").alias(name) for i, (name, _) in enumerate(fields)],
+    )
+
+
 class _WordHashes(dict):
     """Hash of a word, computed once per worker; emptied when it grows past its bound."""
 

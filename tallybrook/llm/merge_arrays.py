@@ -140,37 +140,23 @@ class ByteMerges:
 
 
 class Memory(dict):
-    """What was computed for keys, in two generations: what is asked for again stays.
+    """What was computed for keys; emptied when full, after which common keys are soon back.
 
-    ``compute`` gives the values of a list of distinct keys. Bounded by the bytes of keys and
-    values: once the young generation holds half of ``most``, it becomes the old one.
+    ``compute`` gives the values of a list of distinct keys. At most ``most`` entries stay,
+    and those of a batch: keep single keys small.
     """
 
-    def __init__(self, compute: Callable[[list], list], most: int = 48 << 20, overhead: int = 150):
+    def __init__(self, compute: Callable[[list], list], most: int = 300_000):
         super().__init__()
-        self._compute, self._most, self._overhead = compute, most // 2, overhead
-        self._old: dict = {}
-        self._held = 0
+        self._compute, self._most = compute, most
 
     def get_all(self, keys: list) -> list:
         """The value of each key, in order."""
-        if self._held > self._most:
-            self._old = dict(self)
-            self.clear()
-            self._held = 0
         missing = set(keys).difference(self)
         if missing:
-            old = self._old
-            known = [k for k in missing if k in old]
-            fresh = [k for k in missing if k not in old]
-            for k in known:
-                self[k] = old[k]
-            for k, v in zip(fresh, self._compute(fresh)):
-                self[k] = v
-            self._held += sum(len(k) + len(self[k]) + self._overhead for k in missing)
+            if len(self) + len(missing) > self._most:
+                self.clear()
+                missing = set(keys)
+            fresh = list(missing)
+            self.update(zip(fresh, self._compute(fresh)))
         return list(map(self.__getitem__, keys))
-
-    def forget(self) -> None:
-        self.clear()
-        self._old = {}
-        self._held = 0

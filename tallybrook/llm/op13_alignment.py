@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from array import array
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import as_text, sliced, stored
+from tallybrook.llm.common import map_texts, stored
 from tallybrook.llm.merge_arrays import ByteMerges, Memory, byte_characters
 
 # A space before other white space or at the end: such a run of white space is one piece.
@@ -57,10 +58,12 @@ class ByteLevelTokens:
         for token, i in vocabulary.items():
             plain = all(c in byte_of for c in token)
             self.bytes[i] = bytes(map(byte_of.get, token)) if plain else token.encode()
+        self.lengths = _lengths(self.bytes)
         self._words = Memory(self._encode_words)
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        pieces = [_PIECES.findall(w) for w in words]
+        # a space and letters are one piece
+        pieces = [[w] if w[1:].isalpha() and w[0] == " " else _PIECES.findall(w) for w in words]
         distinct = list({p for ps in pieces for p in ps})
         data = [p.encode("utf-8", "replace") for p in distinct]
         short = [i for i, d in enumerate(data) if len(d) <= ByteMerges.LONGEST]
@@ -81,9 +84,6 @@ class ByteLevelTokens:
         ]
         return _joined(self._words, cut)
 
-    def forget(self) -> None:
-        self._words.forget()
-
 
 class SentencePieces:
     """Side B: a sentencepiece model, which puts the space before the text itself."""
@@ -97,9 +97,10 @@ class SentencePieces:
         for i, piece in enumerate(pieces):
             byte = re.fullmatch("<0x([0-9A-F]{2})>", piece) if self._model.is_byte(i) else None
             self.bytes[i] = bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
+        self.lengths = _lengths(self.bytes)
         # words can be encoded apart only if no piece spans two
         self._apart = not any(re.search("[^▁]▁", p) for p in pieces)
-        self._words = Memory(lambda ws: [np.asarray(x, "<i4").tobytes() for x in self._model.encode(ws, num_threads=1)])
+        self._words = Memory(lambda ws: [array("i", x).tobytes() for x in self._model.encode(ws, num_threads=1)])
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Packed ids of a space and each text."""
@@ -110,8 +111,9 @@ class SentencePieces:
         ]
         return _joined(self._words, cut)
 
-    def forget(self) -> None:
-        self._words.forget()
+
+def _lengths(tokens: np.ndarray) -> np.ndarray:
+    return np.array([len(t) for t in tokens], np.int64)
 
 
 def _joined(memory: Memory, cut: list[list[str]]) -> list[bytes]:
@@ -128,11 +130,20 @@ def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndar
 
     The ends are increasing byte offsets; the last of both are equal.
     """
-    if not len(end_a):
+    n = len(end_a)
+    if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64)
+    return _terminals(end_a, end_b, _token_of_byte(end_a), _token_of_byte(end_b))
+
+
+def _token_of_byte(ends: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+
+
+def _terminals(end_a, end_b, a_of_byte, b_of_byte) -> tuple[np.ndarray, np.ndarray]:
     n = len(end_a)
-    farthest_b = np.searchsorted(end_b, end_a)
-    farthest_a = np.searchsorted(end_a, end_b)
+    # the farthest-right overlapping token holds the last byte
+    farthest_b, farthest_a = b_of_byte[end_a - 1], a_of_byte[end_b - 1]
     points = np.concatenate([np.where(end_b[farthest_b] == end_a, np.arange(n), n + farthest_b), farthest_a])
     while True:
         doubled = points[points]
@@ -149,54 +160,64 @@ class _Batch:
         for side in (a, b):
             packed = side.encode(texts) if texts else []
             ids.append([np.frombuffer(p, "<i4") for p in packed])
-        for i, text in enumerate(texts):
-            whole = b" " + text.encode("utf-8", "replace")
-            if not text or any(b"".join(s.bytes[x[i]].tolist()) != whole for s, x in zip((a, b), ids)):
-                ids[0][i] = ids[1][i] = np.empty(0, np.int32)
+        wholes = [b" " + text.encode("utf-8", "replace") if text else b"" for text in texts]
+        sides_whole = [b"".join(s.bytes[np.concatenate(x)].tolist()) if x else b"" for s, x in zip((a, b), ids)]
+        if not all(texts) or any(b"".join(wholes) != w for w in sides_whole):
+            for i, whole in enumerate(wholes):
+                if not whole or any(b"".join(s.bytes[x[i]].tolist()) != whole for s, x in zip((a, b), ids)):
+                    ids[0][i] = ids[1][i] = np.empty(0, np.int32)
         self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in ids)
         self.a, self.b = (np.concatenate([np.empty(0, np.int32), *side]) for side in ids)
-        end_a, end_b = (
-            np.cumsum(_lengths(s.bytes)[x]) if len(x) else np.empty(0, np.int64)
-            for s, x in zip((a, b), (self.a, self.b))
-        )
-        self.group_a, self.group_b = terminals(end_a, end_b)
+        end_a, end_b = (np.cumsum(s.lengths[x]) for s, x in zip((a, b), (self.a, self.b)))
+        a_of_byte, b_of_byte = _token_of_byte(end_a), _token_of_byte(end_b)
+        self.group_a, self.group_b = _terminals(end_a, end_b, a_of_byte, b_of_byte)
         n = len(texts)
         self.doc_a, self.doc_b = (np.repeat(np.arange(n), c) for c in (self.n_a, self.n_b))
         last_of_group = self.group_a == np.arange(len(self.a))
         self.n_groups = np.bincount(self.doc_a[last_of_group], minlength=n)
         # token i of A overlaps the B tokens from that holding its first byte to that holding its last
-        start_a = np.concatenate([[0], end_a[:-1]]) if len(end_a) else end_a
-        first = np.searchsorted(end_b, start_a, "right")
-        linked = np.searchsorted(end_b, end_a) - first + 1 if len(end_a) else first
+        first = b_of_byte[end_a - a.lengths[self.a]]
+        linked = b_of_byte[end_a - 1] - first + 1
         self.link_a = np.repeat(np.arange(len(self.a)), linked)
         offset = np.arange(len(self.link_a)) - np.repeat(np.cumsum(linked) - linked, linked)
         self.link_b = np.repeat(first, linked) + offset
         self.n_links = np.bincount(self.doc_a[self.link_a], minlength=n)
+        self._width = len(b.bytes)
 
     def pairs(self) -> list[bytes]:
         """Per text its distinct pairs ``a << 32 | b``, increasing, then how often each is linked."""
-        pair = self.a[self.link_a].astype(np.int64) << 32 | self.b[self.link_b]
-        order = np.lexsort((pair, self.doc_a[self.link_a]))
-        cuts = np.cumsum(self.n_links)[:-1]
-        out = []
-        for mine in np.split(pair[order], cuts) if len(self.n_links) else []:
-            new = np.flatnonzero(np.diff(mine, prepend=-1))
-            often = np.diff(new, append=len(mine))
-            out.append(mine[new].astype("<i8").tobytes() + often.astype("<i4").tobytes())
-        return out
+        if not len(self.n_links):
+            return []
+        pair = self.a[self.link_a].astype(np.int64) * self._width + self.b[self.link_b]
+        most = int(pair.max(initial=0)) + 1
+        keys = np.sort(self.doc_a[self.link_a] * most + pair)
+        new = np.flatnonzero(np.diff(keys, prepend=-1))
+        often = np.diff(new, append=len(keys)).astype("<i4")
+        keys = keys[new]
+        doc, pair = keys // most, keys % most
+        packed = (pair // self._width << 32 | pair % self._width).astype("<i8").tobytes()
+        often = often.tobytes()
+        ends = np.cumsum(np.bincount(doc, minlength=len(self.n_links))).tolist()
+        return [packed[8 * i : 8 * j] + often[4 * i : 4 * j] for i, j in zip([0, *ends], ends)]
 
     def texts_of_groups(self, decimals: np.ndarray) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` per text."""
-        doc = np.concatenate([self.doc_a, self.doc_b])
-        group = np.concatenate([self.group_a, self.group_b])
-        side = np.repeat([0, 1], [len(self.a), len(self.b)])
-        order = np.argsort(group * 2 + side, kind="stable")
-        token, group, side, doc = np.concatenate([self.a, self.b])[order], group[order], side[order], doc[order]
-        mark = np.full(len(token), 3)  # what follows: 0 ',', 1 '|', 2 ';', 3 nothing
-        same_group, same_side = group[1:] == group[:-1], side[1:] == side[:-1]
-        mark[:-1] = np.where(same_group, np.where(same_side, 0, 1), np.where(doc[1:] == doc[:-1], 2, 3))
-        shown = decimals[mark, token].tolist()
-        ends = np.cumsum(self.n_a + self.n_b).tolist()
+        n_a, n_b = len(self.a), len(self.b)
+        of_a, of_b = (np.bincount(g, minlength=n_a) for g in (self.group_a, self.group_b))
+        through_a, through_b = np.cumsum(of_a), np.cumsum(of_b)
+        # within a group all of A stand before all of B
+        place_a = np.arange(n_a) + (through_b - of_b)[self.group_a]
+        place_b = np.arange(n_b) + through_a[self.group_b]
+        token, follows = np.empty(n_a + n_b, np.int64), np.zeros(n_a + n_b, np.int8)
+        token[place_a], token[place_b] = self.a, self.b
+        # what follows: 0 ',', 1 '|', 2 ';', 3 nothing
+        ends = np.flatnonzero(self.group_a == np.arange(n_a))
+        follows[through_a[ends] + (through_b - of_b)[ends] - 1] = 1
+        follows[through_a[ends] + through_b[ends] - 1] = 2
+        doc_ends = np.cumsum(self.n_a + self.n_b)
+        follows[doc_ends[doc_ends > 0] - 1] = 3
+        shown = decimals[follows, token].tolist()
+        ends = doc_ends.tolist()
         return [b"".join(shown[start:end]) for start, end in zip([0, *ends], ends)]
 
     def groups(self, doc_count: int) -> list[list[dict]]:
@@ -211,21 +232,17 @@ class _Batch:
         return out
 
 
-_LENGTHS: dict[int, np.ndarray] = {}
-
-
-def _lengths(tokens: np.ndarray) -> np.ndarray:
-    if id(tokens) not in _LENGTHS:
-        _LENGTHS[id(tokens)] = np.array([len(t) for t in tokens], np.int64)
-    return _LENGTHS[id(tokens)]
-
-
 @functools.lru_cache(maxsize=2)
 def sides(a_path: str, b_model: bytes) -> tuple[ByteLevelTokens, SentencePieces]:
     """Both tokenizers, made once in a worker; the byte-level file is where every worker has it."""
     return ByteLevelTokens(a_path), SentencePieces(b_model)
 
 
+def _in_workers(docs: DataFrame, a_path: str, b_model: bytes) -> Callable[[], tuple]:
+    shared = docs.sparkSession.sparkContext.broadcast(b_model)
+    return lambda: sides(a_path, shared.value)
+
+
 def _decimals(size: int) -> np.ndarray:
     numbers = [str(i).encode() for i in range(size)]
     table = np.empty((4, size), object)
@@ -234,41 +251,16 @@ def _decimals(size: int) -> np.ndarray:
     return table
 
 
-def _mapped(docs: DataFrame, text: str, keep: Sequence[str], schema: str, a_path: str, b_model: bytes,
-            columns: Callable[[list[str], tuple], list[pa.Array]]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(b_model)
-
-    def run(batches):
-        both = sides(a_path, shared.value)
-        for batch in sliced(batches):
-            texts = [as_text(x) for x in batch.column(0).to_pylist()]
-            made = columns(texts, both)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *made], [*batch.schema.names[1:], *[f"_r{i}" for i in range(len(made))]]
-            )
-        for side in both:
-            side.forget()
-
-    kept = [docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)]
-    source = docs.select(docs[f"`{text}`"].cast("binary").alias("_text"), *kept)
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[1:]]
-    out = [f.split(" ", 1) for f in schema.split(", ")]
-    made = source.mapInArrow(run, ", ".join([*fields, *[f"_r{i} {kind}" for i, (_, kind) in enumerate(out)]]))
-    return made.select(
-        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
-        *[F.col(f"_r{i}").alias(name) for i, (name, _) in enumerate(out)],
-    )
-
-
 def aligned(docs: DataFrame, a_path: str, b_model: bytes, *, keep=("doc_id",), text: str = "text") -> DataFrame:
     """The ``keep`` columns and ``groups``: per group the ids of A (``a``) and of B (``b``), in order."""
+    both = _in_workers(docs, a_path, b_model)
     kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
-    def columns(texts, both):
-        return [pa.array(_Batch(texts, *both).groups(len(texts)), kind)]
+    def columns(texts):
+        return [pa.array(_Batch(texts, *both()).groups(len(texts)), kind)]
 
     schema = "groups array<struct<a:array<int>,b:array<int>>>"
-    return _mapped(docs, text, keep, schema, a_path, b_model, columns)
+    return map_texts(docs, columns, schema, keep=keep, text=text)
 
 
 _LINKED = (
@@ -283,10 +275,12 @@ def linked(docs: DataFrame, a_path: str, b_model: bytes, *, keep=("doc_id",), te
 
     Store the result before it is used twice: chunks are numbered as the rows are met.
     """
+    sides_of = _in_workers(docs, a_path, b_model)
     tables: dict[int, np.ndarray] = {}
     state = {"task": None, "chunk": 0, "bytes": 0}
 
-    def columns(texts, both):
+    def columns(texts):
+        both = sides_of()
         if not tables:
             tables[0] = _decimals(max(len(side.bytes) for side in both))
         context = TaskContext.get()
@@ -305,7 +299,7 @@ def linked(docs: DataFrame, a_path: str, b_model: bytes, *, keep=("doc_id",), te
         return [*counts, pa.array(digests, pa.string()), pa.array(chunks, pa.int64()),
                 pa.array(batch.pairs(), pa.binary())]
 
-    return _mapped(docs, text, keep, _LINKED, a_path, b_model, columns)
+    return map_texts(docs, columns, _LINKED, keep=keep, text=text)
 
 
 def _unpacked(pairs: bytes) -> tuple[np.ndarray, np.ndarray]:

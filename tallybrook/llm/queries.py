@@ -18,6 +18,8 @@ from tallybrook.llm import (
     op8_html,
     op9_toxicity,
     op10_licenses,
+    op11_chunk_bpe,
+    op12_spelling,
     op13_alignment,
 )
 from tallybrook.llm.common import stored, table
@@ -149,3 +151,57 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers' tokens in every document, and how common the links are."""
     found = op13_alignment.linked(table(spark, sf_dir, "documents"), *two_tokenizers())
     return op13_alignment.scored(stored(found, "token-links"))
+
+
+@_query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents one letter from a far more frequent word, and where that leads."""
+    vocabulary = stored(op12_spelling.words(table(spark, sf_dir, "documents")), "vocabulary")
+    return op12_spelling.variants(vocabulary)
+
+
+# crc32 byte by byte from its table of 256; near words share all but one position, or one is
+# the other without a position
+SQL["op12_spelling_variants"] = """WITH RECURSIVE t AS (
+  SELECT [list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)] AS crc),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (
+  SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS tagged, count(*) AS n FROM runs
+  WHERE length(run) >= 6 GROUP BY ALL),
+marked AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, [CAST('0x' || substr(hex(tagged), CAST(2 * i + 1 AS INT), 2) AS BIGINT)
+      FOR i IN range(CAST(strlen(tagged) AS BIGINT))]),
+    lambda c, b: xor(t.crc[CAST((xor(c, b) & 255) + 1 AS INT)], c >> 8))) AS h FROM counted, t),
+spelled AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) + 2 AS INT))
+    ELSE run END AS word, n FROM marked),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS r FROM near),
+best AS (SELECT word, count(*) AS n_near, max(m) FILTER (r = 1) AS m, max(other) FILTER (r = 1) AS other FROM ranked GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form,
+    CASE WHEN m >= 5 * n THEN m END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL
+  UNION ALL SELECT f.word, w.root FROM walk w JOIN forms f ON f.form = w.word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN walk USING (word)"""
+
+
+@_query
+def op11_chunk_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode every document with the word-end vocabulary; counts and digests."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return op11_chunk_bpe.digests(table(spark, sf_dir, "documents"), path)
