@@ -10,9 +10,12 @@ orders of a client. Each input is read twice: for the totals, a few columns, and
 join. All strategies give the same rows, columns and errors:
 
 ``auto``     one declarative plan, run when the caller acts; adaptive execution decides
-             what to broadcast. All pairs of one id are joined in one task.
+             what to broadcast and cuts the orders, or the copies, of a hot id.
 ``clients``  orders are streamed past broadcast clients, if these are measured to fit;
 ``orders``   clients are streamed past broadcast orders, likewise. Else as ``auto``.
+``buckets``  one declarative plan that joins by the key alone, for clients that are kept in
+             buckets by it (``sources.buckets``): they do not move. All pairs of one id are
+             joined in one task.
 ``sliced``   both sides are shuffled, and an id with more than ``slice_rows`` pairs is cut
              into slices, however many such ids there are. The totals are written once to
              the shared scratch folder to find these ids.
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybrook.operators.prefilter import may_match
 from tallybrook.scratch import written
 
 # A side is broadcast by name only if it is measured to be at most this large.
@@ -34,7 +38,7 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 # Pairs of a client id that go to one task together.
 SLICE_ROWS = 1_000_000
 
-STRATEGIES = ("auto", "clients", "orders", "sliced")
+STRATEGIES = ("auto", "clients", "orders", "buckets", "sliced")
 
 
 def enrich_orders(
@@ -47,6 +51,7 @@ def enrich_orders(
     strategy: str = "auto",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     slice_rows: int = SLICE_ROWS,
+    bloom_bits: int | None = None,
 ) -> DataFrame:
     """Left join orders to clients and add each client's total.
 
@@ -55,17 +60,25 @@ def enrich_orders(
     the clients' spelling and type. Every client is kept; without orders it has one row
     with NULLs, total included. NULL amounts do not count; NULL keys match nothing; a
     client id that occurs k times has its orders k times, in the total too.
+
+    With ``bloom_bits`` orders of ids that no client has are dropped in their scan, before
+    any shuffle, by a Bloom filter of that size (``operators.prefilter``); worth it where many
+    orders have unknown ids. The result is the same.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
     shape = _Shape(clients, orders, key, amount, total)
+    if bloom_bits is not None:
+        shape.orders = may_match(shape.orders, clients, shape.key, bits=bloom_bits)
     if strategy == "clients" and _fits(clients, broadcast_limit):
         return _past_clients(shape)
     if strategy == "orders" and _fits(orders, broadcast_limit):
         return shape.output(shape.with_totals(shape.totals()).join(F.broadcast(shape.orders), shape.key, "left"))
     if strategy == "sliced":
         return _sliced(shape, slice_rows)
-    return shape.output(shape.with_totals(shape.totals()).join(shape.orders, shape.key, "left"))
+    if strategy == "buckets":
+        return shape.output(shape.with_totals(shape.totals()).join(shape.orders, shape.key, "left"))
+    return _matched(shape)
 
 
 class _Shape:
@@ -96,18 +109,21 @@ class _Shape:
         self.sum_type = orders.select(F.sum(_quoted(self.amount)).alias("s")).schema["s"].dataType
         self._order_fields = [f for f in orders.schema.fields if f.name != order_key]
 
-    def totals(self) -> DataFrame:
+    def totals(self, how: str = "inner") -> DataFrame:
         """Per client id: total, number of orders, copies of the client.
 
         The total sums each order once per copy. Summing the sum of a client once per
-        copy, not multiplying it, keeps all digits of DECIMAL amounts.
+        copy, not multiplying it, keeps all digits of DECIMAL amounts. With ``how='left'``
+        ids without orders are there as well, ``_orders`` NULL for them and 1 for others.
         """
         key = _quoted(self.key)
-        order_sums = self.orders.groupBy(key).agg(
-            F.sum(_quoted(self.amount)).alias("_sum"), F.count(F.lit(1)).alias("_orders")
-        )
+        orders, amount = self.orders.groupBy(key), F.sum(_quoted(self.amount)).alias("_sum")
+        if how == "left":
+            order_sums = orders.agg(amount).withColumn("_orders", F.lit(1))
+        else:
+            order_sums = orders.agg(amount, F.count(F.lit(1)).alias("_orders"))
         ids = self.clients.select(key).where(F.col(key).isNotNull())
-        return ids.join(order_sums, self.key).groupBy(key).agg(
+        return ids.join(order_sums, self.key, how).groupBy(key).agg(
             F.sum("_sum").cast(self.sum_type).alias("_total"),
             F.max("_orders").alias("_orders"),
             F.count(F.lit(1)).alias("_copies"),
@@ -157,6 +173,33 @@ def _fits(df: DataFrame, limit: int) -> bool:
     return size is not None and size <= limit
 
 
+def _matched(shape: _Shape) -> DataFrame:
+    """Inner join in which every client has a row to meet.
+
+    Spark can cut a hot key on either side of an inner join, but of a left join only on
+    the left. So each id without orders gets one empty order, and so does the NULL id.
+    Empty orders and totals come from one aggregation: no input is read a third time. The
+    null-safe condition hashes another key than the totals do, so that both sides of the
+    join come straight from a shuffle, as the cutting of hot keys asks for.
+    """
+    totals = shape.totals("left")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in shape.orders.schema.fields if f.name != shape.key]
+    # the total of these is NULL, too; asking for it makes both uses of the totals one aggregation
+    lone = totals.where(F.col("_orders").isNull() & F.col("_total").isNull()).select(_quoted(shape.key), *nulls)
+    key_type = lone.schema[shape.key].dataType
+    no_id = shape.clients.sparkSession.range(1).select(F.lit(None).cast(key_type).alias(shape.key), *nulls)
+    names = [_quoted(c) for c in shape.orders.columns]
+    met = shape.orders
+    for empty in (lone, no_id):
+        met = met.unionAll(empty.select(*names))
+    known = shape.with_totals(totals)
+    met = met.withColumnRenamed(shape.key, _MET)
+    return shape.output(known.join(met, known[_quoted(shape.key)].eqNullSafe(met[_MET])))
+
+
+_MET = "_met"
+
+
 def _past_clients(shape: _Shape) -> DataFrame:
     """Stream the orders past a broadcast of the clients, totals attached."""
     known = shape.with_totals(shape.totals())

@@ -13,7 +13,7 @@ from tallybrook.operators import enrich
 from tallybrook.operators.enrich import enrich_orders, measured_bytes
 from tests.oracle import normal
 
-STRATEGIES = ["auto", "clients", "orders", "sliced"]
+STRATEGIES = ["auto", "clients", "orders", "buckets", "sliced"]
 ORDERS = "orderId INT, clientId INT, amount DOUBLE, date STRING"
 DAY = "2024-03-01"
 

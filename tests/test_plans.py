@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallybrook import queries as q
 from tallybrook.operators import compare
@@ -48,7 +49,7 @@ def tables(spark, sf_dir):
 
 def shuffles_of(plan: str, column: str) -> int:
     """Shuffles that carry a scan of the column: the scan stands right below them."""
-    return len(re.findall(rf"- Exchange [^\n]*\n(?:[^\n]*(?:Project|Filter|ColumnarToRow)[^\n]*\n)*[^\n]*FileScan[^\n]*{column}", plan))
+    return len(re.findall(rf"- Exchange [^\n]*\n(?:[^\n]*(?:Union|Project|Filter|ColumnarToRow)[^\n]*\n)*[^\n]*FileScan[^\n]*{column}", plan))
 
 
 def test_auto_shuffles_each_row_once_and_aggregates_before(tables, no_auto_broadcast):
@@ -57,6 +58,7 @@ def test_auto_shuffles_each_row_once_and_aggregates_before(tables, no_auto_broad
     assert "partial_sum(amount)" in plan
     assert "Window" not in plan
     assert plan.count("FileScan") == 4  # each side once for the totals, once for the join
+    assert plan.count("ReusedExchange") == 2  # ids without orders come from the totals' shuffles
 
 
 def test_auto_leaves_the_broadcast_to_adaptive_execution(tables):
@@ -150,3 +152,35 @@ def test_both_directions_of_a_difference_share_one_aggregation(spark, sf_dir, mo
     plan = final_plan(diff(*q._ordering_and_visiting(spark, sf_dir)))
     assert len(re.findall(r"FileScan parquet \[o_custkey\]", plan)) == 1
     assert "ReusedExchange" in plan
+
+
+def test_auto_cuts_a_hot_id(spark, no_auto_broadcast):
+    """A third of the orders for one client: adaptive execution splits them over tasks."""
+    settings = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "300k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    clients = spark.range(4000).selectExpr("id AS clientId", "concat('c', id) AS name")
+    orders = spark.range(0, 300_000, numPartitions=40).selectExpr(
+        "id AS orderId", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 3999 END AS clientId", "id % 100 / 4 AS amount"
+    )
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        enriched = enrich_orders(clients, orders)
+        plan = final_plan(enriched)
+        used = [F.max(c) for c in enriched.columns]  # so that no column is pruned
+        per_task = enriched.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), *used)
+        counts = sorted(r["n"] for r in per_task.collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    # ids divisible by 3, and 3999, have no order of their own
+    assert sum(counts) == 300_000 + 1334
+    assert counts[-1] < 3 * counts[len(counts) // 2]
