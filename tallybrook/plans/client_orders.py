@@ -12,7 +12,8 @@ from tallybrook.operators.enrich import enrich_orders
 from tallybrook.schemas import CLIENTS, ORDERS, SCHEMAS
 from tallybrook.scratch import cleared, written
 from tallybrook.sinks.parquet import write_partitioned
-from tallybrook.sources.tables import Tables, client_order_tables
+from tallybrook.sources.partitions import latest_partition
+from tallybrook.sources.tables import Tables, bad_csv_rows, client_order_tables
 
 
 def enriched_latest_orders(
@@ -36,6 +37,7 @@ def run_client_orders(
     partition_by: str = "location",
     mode: str = "overwrite",
     columnar_copy: bool = False,
+    bad_rows_path: str | None = None,
     enrich_options: dict | None = None,
     write_options: dict | None = None,
 ) -> StructType:
@@ -45,7 +47,14 @@ def run_client_orders(
     guessed from folder names. ``columnar_copy`` parses the CSV files once into Parquet
     in the shared scratch folder; worth it for large inputs, which the enrichment reads
     twice, once a few columns only. What is written there is deleted when the job is done.
+    With ``bad_rows_path`` the rows of both inputs that hold a bad value are listed there as
+    well, below ``clients`` and ``orders``, in place of those of an earlier run.
     """
+    if bad_rows_path:
+        of_orders = StructType([f for f in orders_schema.fields if f.name != partition_column])
+        folders = latest_partition(spark, orders_root, partition_column)[1]
+        for name, path, schema in (("clients", clients_path, clients_schema), ("orders", folders, of_orders)):
+            bad_csv_rows(spark, path, schema).write.mode("overwrite").parquet(f"{bad_rows_path}/{name}")
     with cleared(spark):
         return _run(
             spark, clients_path, orders_root, output_path, clients_schema, orders_schema,

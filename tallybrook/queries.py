@@ -7,6 +7,7 @@ written to the shared scratch folder first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -18,6 +19,7 @@ from tallybrook import schemas
 from tallybrook.functions.dates import iso_date_text, millisecond_text
 from tallybrook.functions.log_fields import LOG_PATTERN
 from tallybrook.operators.compare import diff, diff_counts
+from tallybrook.operators.digests import digest_diff, digest_diff_counts
 from tallybrook.operators.enrich import enrich_orders
 from tallybrook.operators.logs import (
     earliest,
@@ -29,10 +31,19 @@ from tallybrook.operators.logs import (
     well_formed,
 )
 from tallybrook.plans.client_orders import enriched_latest_orders, run_client_orders
+from tallybrook.plans.log_batches import (
+    current_earliest,
+    current_level_counts,
+    read_route,
+    run_earliest_lines,
+    run_level_counts,
+    run_routed_log_stream,
+)
 from tallybrook.plans.log_stream import error_lines, run_log_stream
 from tallybrook.scratch import shared_folder
 from tallybrook.sinks.parquet import write_partitioned
-from tallybrook.sources.tables import Tables, client_order_tables, filter_latest
+from tallybrook.sources.buckets import write_bucketed
+from tallybrook.sources.tables import Tables, bad_csv_rows, client_order_tables, filter_latest
 from tallybrook.sources.text_lines import read_text_lines
 
 
@@ -192,6 +203,37 @@ def client_order_enrichment_lower_case(spark, sf_dir):
     return _rounded(enrich_orders(*sides))
 
 
+@_query(_enrichment_sql(_ORDERS_SQL))
+def client_order_enrichment_bucketed(spark, sf_dir):
+    """Clients kept in buckets by their id: only the orders move."""
+    made = []
+
+    def write(folder):
+        made.append(write_bucketed(clients(spark, sf_dir), f"clients_{uuid.uuid4().hex}", folder, "clientId", 32))
+
+    folder = _staged(spark, sf_dir, "buckets", write)
+    _BUCKETED.setdefault(folder, made[0] if made else None)
+    return _rounded(enrich_orders(_BUCKETED[folder], orders(spark, sf_dir), strategy="buckets"))
+
+
+_BUCKETED: dict[str, DataFrame] = {}
+
+
+@_query(
+    f"""WITH c AS ({_CLIENTS_SQL}), o AS ({_ORDERS_SQL} WHERE o_orderkey % 2 = 0
+  UNION ALL SELECT o_orderkey, o_custkey + 100000000, o_totalprice, strftime(o_orderdate, '%Y-%m-%d')
+  FROM orders WHERE o_orderkey % 2 = 1)
+SELECT clientId, name, location, orderId, amount, date,
+  ROUND(SUM(amount) OVER (PARTITION BY clientId), 2) AS totalAmountByClient
+FROM c LEFT JOIN o USING (clientId)"""
+)
+def client_order_enrichment_unknown_clients(spark, sf_dir):
+    """Half the orders are of unknown clients; a Bloom filter drops them before the shuffle."""
+    other = F.when(F.col("orderId") % 2 == 1, F.col("clientId") + 100_000_000).otherwise(F.col("clientId"))
+    half = orders(spark, sf_dir).withColumn("clientId", other)
+    return _rounded(enrich_orders(clients(spark, sf_dir), half, bloom_bits=1 << 20))
+
+
 @_query(
     f"""WITH c AS ({_CLIENTS_SQL}), o AS ({_ORDERS_SQL})
 SELECT count(*) AS n_rows, count(orderId) AS n_orders FROM c LEFT JOIN o USING (clientId)"""
@@ -210,6 +252,20 @@ def clients_csv_scan(spark, sf_dir):
     return _csv_tables(spark, _staged_csv(spark, sf_dir)).get("CLIENTS")
 
 
+def _staged_bad_csv(spark: SparkSession, sf_dir: str) -> str:
+    def write(folder):
+        bad_id, no_location = F.col("c_nationkey") < 10, F.col("c_acctbal") < 0
+        _table(spark, sf_dir, "customer").select(
+            F.when(bad_id, F.concat(F.lit("id-"), "c_custkey"))
+            .otherwise(F.col("c_custkey").cast("string"))
+            .alias("clientId"),
+            F.col("c_name").alias("name"),
+            F.when(~no_location, F.col("c_mktsegment")).alias("location"),
+        ).write.option("header", True).csv(f"{folder}/clients")
+
+    return _staged(spark, sf_dir, "csv-bad-values", write)
+
+
 @_query(
     """SELECT CASE WHEN c_nationkey < 10 THEN NULL ELSE c_custkey END AS clientId,
   c_name AS name, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS location
@@ -217,16 +273,18 @@ FROM customer"""
 )
 def clients_csv_bad_values(spark, sf_dir):
     """Ids that are not numbers and empty locations arrive as NULL, the rows stay."""
-    folder = shared_folder(spark, "csv-bad-values")
-    bad_id, no_location = F.col("c_nationkey") < 10, F.col("c_acctbal") < 0
-    _table(spark, sf_dir, "customer").select(
-        F.when(bad_id, F.concat(F.lit("id-"), "c_custkey"))
-        .otherwise(F.col("c_custkey").cast("string"))
-        .alias("clientId"),
-        F.col("c_name").alias("name"),
-        F.when(~no_location, F.col("c_mktsegment")).alias("location"),
-    ).write.option("header", True).csv(f"{folder}/clients")
-    return _csv_tables(spark, folder).get("clients")
+    return _csv_tables(spark, _staged_bad_csv(spark, sf_dir)).get("clients")
+
+
+@_query(
+    """SELECT CAST(NULL AS BIGINT) AS clientId, c_name AS name,
+  CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS location,
+  'id-' || c_custkey || ',' || c_name || ',' || CASE WHEN c_acctbal < 0 THEN '' ELSE c_mktsegment END AS bad_row
+FROM customer WHERE c_nationkey < 10"""
+)
+def clients_csv_bad_rows(spark, sf_dir):
+    """Rows with a value that is not of its type, with their text."""
+    return bad_csv_rows(spark, f"{_staged_bad_csv(spark, sf_dir)}/clients", CLIENTS)
 
 
 @_query(_NEWEST_YEAR_SQL)
@@ -471,6 +529,73 @@ def stream_processing_time(spark, sf_dir):
     return spark.read.schema(schemas.PARSED_LOG).parquet(f"{folder}/out")
 
 
+def _routed(spark, sf_dir, route) -> DataFrame:
+    """One pass over several files writes all routes; run once per session."""
+
+    def write(folder):
+        log_lines(spark, sf_dir).repartition(3).write.text(f"{folder}/logs")
+        run_routed_log_stream(
+            spark, f"{folder}/logs", f"{folder}/checkpoint", f"{folder}/out",
+            available_now=True, max_files_per_trigger=2,
+        ).awaitTermination()
+
+    return read_route(spark, f"{_staged(spark, sf_dir, 'routed', write)}/out", route)
+
+
+@_query(_WELL_FORMED_SQL)
+def stream_routed_well_formed(spark, sf_dir):
+    return _routed(spark, sf_dir, "well_formed")
+
+
+@_query(_ERRORS_SQL)
+def stream_routed_errors(spark, sf_dir):
+    return _routed(spark, sf_dir, "errors")
+
+
+@_query(f"SELECT value FROM ({_LINES_SQL}) WHERE NOT regexp_matches(value, '{LOG_PATTERN}')")
+def stream_routed_malformed(spark, sf_dir):
+    return _routed(spark, sf_dir, "malformed")
+
+
+def _counted_over_a_restart(spark, sf_dir, output_mode) -> DataFrame:
+    folder = shared_folder(spark, "counts")
+    for _ in range(2):
+        log_lines(spark, sf_dir).repartition(2).write.mode("append").text(f"{folder}/logs")
+        run_level_counts(
+            spark, f"{folder}/logs", f"{folder}/checkpoint", f"{folder}/out",
+            output_mode=output_mode, available_now=True, max_files_per_trigger=1,
+        ).awaitTermination()
+    return current_level_counts(spark, f"{folder}/out")
+
+
+_COUNTED_TWICE_SQL = f"""{_PARSED_SQL}
+SELECT level, 2 * count(*) AS lines FROM parsed WHERE level <> '' GROUP BY level"""
+
+
+@_query(_COUNTED_TWICE_SQL)
+def stream_level_counts_update(spark, sf_dir):
+    """Counts kept as state over a restart; each batch writes the levels that it changed."""
+    return _counted_over_a_restart(spark, sf_dir, "update")
+
+
+@_query(_COUNTED_TWICE_SQL)
+def stream_level_counts_complete(spark, sf_dir):
+    """The same, all levels written with each batch."""
+    return _counted_over_a_restart(spark, sf_dir, "complete")
+
+
+@_query(f"{_WELL_FORMED_SQL} ORDER BY log_timestamp, level, thread, logger, message LIMIT 7")
+def stream_earliest_lines(spark, sf_dir):
+    """The first lines over several batches, each merged with those kept so far."""
+    folder = shared_folder(spark, "first-lines")
+    log_lines(spark, sf_dir).repartition(3).write.text(f"{folder}/logs")
+    run_earliest_lines(
+        spark, f"{folder}/logs", f"{folder}/checkpoint", f"{folder}/out", n=7,
+        available_now=True, max_files_per_trigger=1,
+    ).awaitTermination()
+    return current_earliest(spark, f"{folder}/out", 7)
+
+
 # --- difference -------------------------------------------------------------
 
 
@@ -492,6 +617,23 @@ def dataset_difference(spark, sf_dir):
     return diff(*_ordering_and_visiting(spark, sf_dir))
 
 
+@_query(_DIFF_SQL)
+def dataset_difference_by_digests(spark, sf_dir):
+    """The same through bucket digests; here most buckets differ."""
+    return digest_diff(*_ordering_and_visiting(spark, sf_dir))
+
+
+@_query(
+    f"""SELECT clientId, name, location, 'left' AS side, CAST(1 AS BIGINT) AS copies FROM ({_CLIENTS_SQL}) WHERE clientId % 500 = 1
+UNION ALL SELECT clientId, upper(name) || '!', location, 'right', 1 FROM ({_CLIENTS_SQL}) WHERE clientId % 500 = 1"""
+)
+def changed_clients_by_digests(spark, sf_dir):
+    """Two tables of which few rows differ: only their buckets are compared as rows."""
+    old = clients(spark, sf_dir)
+    name = F.when(F.col("clientId") % 500 == 1, F.concat(F.upper("name"), F.lit("!"))).otherwise(F.col("name"))
+    return digest_diff_counts(old, old.withColumn("name", name))
+
+
 @_query(f"SELECT id, side, count(*) AS copies FROM ({_DIFF_SQL}) GROUP BY id, side")
 def dataset_difference_counts(spark, sf_dir):
     return diff_counts(*_ordering_and_visiting(spark, sf_dir))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallybrook.schemas import CLIENTS, ORDERS, projection_of
 from tallybrook.sources.partitions import latest_partition
@@ -23,6 +23,23 @@ def read_csv_table(
     return table.selectExpr(*(columns or schema.names))
 
 
+def bad_csv_rows(
+    spark: SparkSession, path: str | list[str], schema: StructType, *, text: str = "bad_row"
+) -> DataFrame:
+    """Rows of which a value does not fit its type, or that have too many or too few values.
+
+    The columns of ``schema`` are as ``read_csv_table`` gives them, the bad values NULL;
+    ``text`` is the row as it stands in the file. These rows stay in the table.
+    """
+    if text.casefold() in map(str.casefold, schema.names):
+        raise ValueError(f"the schema has a column {text!r}; choose another name")
+    reader = spark.read.schema(StructType([*schema.fields, StructField(text, StringType())]))
+    options = {"header": True, "delimiter": ",", "columnNameOfCorruptRecord": text}
+    # the condition asks for all columns: a bad value in one that is not parsed would not be seen
+    values = F.array(*[F.col(f"`{c}`").cast("string") for c in schema.names])
+    return reader.options(**options).csv(path).where(F.col(f"`{text}`").isNotNull() & (F.size(values) > 0))
+
+
 def read_latest_partition(
     spark: SparkSession,
     root: str,

@@ -8,9 +8,11 @@ import pytest
 
 from tallybrook import schemas
 from tallybrook.functions.dates import iso_date_text, millisecond_text
+from tallybrook.plans.client_orders import run_client_orders
 from tallybrook.sources.partitions import latest_partition_value, partition_folders
 from tallybrook.sources.tables import (
     Tables,
+    bad_csv_rows,
     client_order_tables,
     filter_latest,
     read_csv_table,
@@ -167,3 +169,50 @@ def test_date_texts_do_not_depend_on_the_time_zone(spark):
         ("2024-03-31 00:00:00.000", "2024-03-31"),
         (None, None),
     ]
+
+
+class TestBadRows:
+    SCHEMA = "clientId INT, name STRING, since DATE"
+
+    def write(self, folder, *lines):
+        folder.mkdir(exist_ok=True)
+        (folder / f"{len(list(folder.iterdir()))}.csv").write_text("\n".join(["clientId,name,since", *lines]) + "\n")
+        return str(folder)
+
+    def schema(self, spark):
+        return spark.createDataFrame([], self.SCHEMA).schema
+
+    def test_bad_rows_are_listed_with_their_text_and_stay(self, spark, tmp_path):
+        path = self.write(tmp_path / "c", "1,Ash,2020-01-31", "x2,Birch,2020-02-01", "3,,", '4,"a,b",soon', "5,Elm", "6,F,2020-01-01,more")
+        bad = bad_csv_rows(spark, path, self.schema(spark))
+        assert bad.columns == ["clientId", "name", "since", "bad_row"]
+        assert sorted(r["bad_row"] for r in bad.collect()) == ['4,"a,b",soon', "5,Elm", "6,F,2020-01-01,more", "x2,Birch,2020-02-01"]
+        rows = {r["name"]: tuple(r)[:3] for r in bad.collect()}
+        assert rows["Birch"] == (None, "Birch", datetime.date(2020, 2, 1))
+        assert rows["a,b"] == (4, "a,b", None)
+        table = read_csv_table(spark, path, self.schema(spark))
+        assert table.count() == 6
+        assert {tuple(r)[:3] for r in bad.collect()} <= {tuple(r) for r in table.collect()}
+
+    def test_a_bad_value_in_a_column_nobody_asks_for(self, spark, tmp_path):
+        path = self.write(tmp_path / "c", "1,Ash,never")
+        assert bad_csv_rows(spark, path, self.schema(spark)).select("name", "bad_row").collect() == [("Ash", "1,Ash,never")]
+        assert bad_csv_rows(spark, path, self.schema(spark)).count() == 1
+
+    def test_none_and_other_names(self, spark, tmp_path):
+        path = self.write(tmp_path / "c", "1,Ash,2020-01-31")
+        assert bad_csv_rows(spark, path, self.schema(spark), text="why").columns[-1] == "why"
+        assert bad_csv_rows(spark, path, self.schema(spark)).isEmpty()
+        with pytest.raises(ValueError, match="choose another name"):
+            bad_csv_rows(spark, path, self.schema(spark), text="NAME")
+
+    def test_the_batch_job_lists_them(self, spark, tmp_path):
+        clients = self.write(tmp_path / "c", "1,Ash,pier", "two,Birch,pier")
+        orders = tmp_path / "orders" / "date=2024-02-01"
+        orders.parent.mkdir()
+        self.write(orders, "9,1,2.5", "10,1,much")
+        for _ in range(2):
+            run_client_orders(spark, clients, str(orders.parent), str(tmp_path / "out"), bad_rows_path=str(tmp_path / "bad"))
+            got = {n: [r["bad_row"] for r in spark.read.parquet(f"{tmp_path}/bad/{n}").collect()] for n in ("clients", "orders")}
+            assert got == {"clients": ["two,Birch,pier"], "orders": ["10,1,much"]}
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 3
