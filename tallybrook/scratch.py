@@ -59,5 +59,10 @@ def cleared(spark: SparkSession) -> Iterator[None]:
     finally:
         _open_scopes.remove(made)
         for folder in made:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(spark, folder)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this library wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
