@@ -23,47 +23,58 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
-class MergeArrays:
-    """Merge ranks by pair of ids, in an open hash table of arrays."""
+class HashedNumbers:
+    """A map from whole numbers, 0 or more, to such numbers, in an open hash table of arrays."""
 
-    def __init__(self, merges: Iterable[tuple[int, int, int]], size: int):
-        """``merges`` are (left id, right id, joint id), lowest rank first; ids are below ``size``."""
-        left, right, joint = (np.asarray(x, np.int64) for x in zip(*merges, strict=True))
-        self._size = size
-        self._bits = max(4, int(len(left) * 4 - 1).bit_length())
+    def __init__(self, keys, values):
+        keys, values = np.asarray(keys, np.int64), np.asarray(values, np.int64)
+        self._bits = max(4, int(len(keys) * 4).bit_length())
+        self._mask = (1 << self._bits) - 1
         self._keys = np.full(1 << self._bits, _EMPTY)
-        self._ranks = np.full(1 << self._bits, NONE, np.int32)
-        self.joint = joint.astype(np.int32)
-        keys = left * size + right
-        rank = np.arange(len(keys), dtype=np.int32)
+        self._values = np.full(1 << self._bits, -1, np.int64)
         slots = self._slot(keys)
         while len(keys):  # each round, of the keys that want a free slot, one gets it
             free = self._keys[slots] == _EMPTY
             taken, first = np.unique(slots[free], return_index=True)
             at = np.flatnonzero(free)[first]
-            self._keys[taken], self._ranks[taken] = keys[at], rank[at]
+            self._keys[taken], self._values[taken] = keys[at], values[at]
             rest = np.ones(len(keys), bool)
             rest[at] = False
-            keys, rank = keys[rest], rank[rest]
-            slots = (slots[rest] + 1) & ((1 << self._bits) - 1)
+            keys, values = keys[rest], values[rest]
+            slots = slots[rest] + 1 & self._mask
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys.astype(np.uint64) * _SCATTER >> np.uint64(64 - self._bits)).astype(np.int64)
 
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair; NONE where it has no merge or an id is negative."""
-        keys = (left.astype(np.int64) * self._size + right).ravel()
-        slots, mask = self._slot(keys), (1 << self._bits) - 1
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key of a flat array, -1 where there is none."""
+        slots = self._slot(keys)
         there = self._keys[slots]
-        found = np.where(there == keys, self._ranks[slots], NONE)
+        found = np.where(there == keys, self._values[slots], -1)
         open_ = np.flatnonzero((there != keys) & (there != _EMPTY))
         while len(open_):
-            slots[open_] = slots[open_] + 1 & mask
+            slots[open_] = slots[open_] + 1 & self._mask
             there = self._keys[slots[open_]]
             hit = there == keys[open_]
-            found[open_[hit]] = self._ranks[slots[open_[hit]]]
+            found[open_[hit]] = self._values[slots[open_[hit]]]
             open_ = open_[~hit & (there != _EMPTY)]
-        return np.where((left < 0) | (right < 0), NONE, found.reshape(left.shape))
+        return found
+
+
+class MergeArrays:
+    """Merge ranks by pair of ids."""
+
+    def __init__(self, merges: Iterable[tuple[int, int, int]], size: int):
+        """``merges`` are (left id, right id, joint id), lowest rank first; ids are below ``size``."""
+        left, right, joint = (np.asarray(x, np.int64) for x in zip(*merges, strict=True))
+        self._size = size
+        self.joint = joint.astype(np.int32)
+        self._ranks = HashedNumbers(left * size + right, np.arange(len(left)))
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair; NONE where it has no merge or an id is negative."""
+        found = self._ranks.get((left.astype(np.int64) * self._size + right).ravel()).reshape(left.shape)
+        return np.where((left < 0) | (right < 0) | (found < 0), NONE, found).astype(np.int32)
 
     def merge(self, rows: np.ndarray) -> np.ndarray:
         """Merge each row of ids, padded by -1 at the end; the result is padded alike."""

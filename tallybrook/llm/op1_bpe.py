@@ -15,7 +15,7 @@ import base64
 import functools
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -24,12 +24,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import as_text, sliced
+from tallybrook.llm.common import map_texts
+from tallybrook.llm.merge_arrays import HashedNumbers, Memory
 
-# Entries per worker: encodings of pieces, and answers for pairs of tokens.
-CACHED_PIECES, CACHED_PAIRS = 200_000, 200_000
-# Longer pieces are encoded each time they occur.
-CACHED_BYTES = 64
+# Entries per worker: encodings of words, and answers for pairs of tokens.
+CACHED_WORDS, CACHED_PAIRS = 150_000, 200_000
+# Pieces whose tables are filled together; longer ones have a table of their own each.
+_TOGETHER, _LONGEST_TOGETHER = 8192, 64
 # Fixed value: the pattern under which a match holds a space only at its start or in a run
 # of white space. A text may then be cut before each space that stands between others.
 SPACE_LED_PATTERN = (
@@ -165,31 +166,186 @@ class PrefixTable:
         return out[::-1]
 
 
+class PrefixArrays:
+    """The tables of many short pieces, filled together, one byte position after the other.
+
+    The same recurrence as in ``PrefixTable``. Tokens are found by walking the trie of the
+    vocabulary from every position at once; which of those that end at a position is the valid one
+    is asked for all pieces at once.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        top = max(vocabulary.token) + 1
+        self.length = np.zeros(top, np.int32)
+        self._first, self._second = np.full(top, -1, np.int64), np.full(top, -1, np.int64)
+        joints = []
+        for rank, token in vocabulary.token.items():
+            self.length[rank] = len(token)
+            parts = vocabulary.parts(rank)
+            if parts is not None:
+                self._first[rank], self._second[rank] = parts
+            for cut in range(1, len(token)):
+                left, right = vocabulary.ranks.get(token[:cut]), vocabulary.ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    joints.append((left << 32 | right, rank))
+        # the token that two tokens side by side spell, if there is one
+        self._joint = HashedNumbers(*zip(*joints)) if joints else HashedNumbers([], [])
+        nodes: dict[bytes, int] = {b"": 0}
+        steps = []
+        for token in vocabulary.ranks:
+            for end in range(1, len(token) + 1):
+                if token[:end] not in nodes:
+                    nodes[token[:end]] = len(nodes)
+                    steps.append((nodes[token[: end - 1]] << 8 | token[end - 1], nodes[token[:end]]))
+        self._step = HashedNumbers(*zip(*steps))
+        self._token = np.full(len(nodes), -1, np.int64)
+        for token, rank in vocabulary.ranks.items():
+            self._token[nodes[token]] = rank
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece."""
+        out: list = [None] * len(pieces)
+        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        for start in range(0, len(order), _TOGETHER):
+            block = order[start : start + _TOGETHER]
+            for i, packed in zip(block, self._block([pieces[i] for i in block])):
+                out[i] = packed
+        return out
+
+    def fill(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The last token of each prefix, a row per piece, and the pieces' lengths."""
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        width = int(lengths.max(initial=0))
+        data = np.full((len(pieces), width + 1), -1, np.int64)
+        data[np.arange(width + 1) < lengths[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        last = np.full((len(pieces), width), -1, np.int64)
+        # candidates: every token that occurs, by its last byte
+        row, at = np.nonzero(data >= 0)
+        node = np.zeros(len(row), np.int64)
+        ends: list[list[tuple]] = [[] for _ in range(width)]
+        size = 0
+        while len(row):
+            node = self._step.get(node << 8 | data[row, at + size])
+            on = np.flatnonzero(node >= 0)
+            row, at, node, size = row[on], at[on], node[on], size + 1
+            token = self._token[node]
+            hit = np.flatnonzero(token >= 0)
+            by_end = np.argsort(at[hit], kind="stable")
+            hit = hit[by_end]
+            cuts = np.searchsorted(at[hit], np.arange(width + 1))
+            for i in range(width - size + 1):
+                if cuts[i] < cuts[i + 1]:
+                    part = hit[cuts[i] : cuts[i + 1]]
+                    ends[i + size - 1].append((row[part], token[part], size))
+            more = data[row, at + size] >= 0
+            row, at, node = row[more], at[more], node[more]
+        for end, found in enumerate(ends):
+            if not found:
+                continue
+            rows = np.concatenate([r for r, _, _ in found])
+            tokens = np.concatenate([t for _, t, _ in found])
+            before = end - np.concatenate([np.full(len(r), n) for r, _, n in found])
+            left = np.where(before >= 0, last[rows, before], -1)
+            # the remaining prefix may be all of the piece, or have no encoding
+            valid = before < 0
+            ask = np.flatnonzero((before >= 0) & (left >= 0))
+            valid[ask] = self._stay_apart(left[ask], tokens[ask])
+            last[rows[valid], end] = tokens[valid]
+        return last, lengths
+
+    def _stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``Vocabulary.may_follow`` for pairs of tokens."""
+        apart = np.ones(len(left), bool)
+        open_ = np.arange(len(left))
+        bound = np.full(len(left), 1 << 40)  # twice the rank undone last, and 1 if it stood right
+        while len(open_):
+            joint = self._joint.get(left << 32 | right)
+            met = (joint >= 0) & (2 * joint < bound)
+            apart[open_[met]] = False
+            whole_left, whole_right = self._first[left] < 0, self._first[right] < 0
+            go = np.flatnonzero(~met & ~(whole_left & whole_right))
+            open_, left, right = open_[go], left[go], right[go]
+            undo_left = whole_right[go] | (~whole_left[go] & (left > right))
+            bound = np.where(undo_left, 2 * left, 2 * right + 1)
+            left, right = np.where(undo_left, self._second[left], left), np.where(undo_left, right, self._first[right])
+        return apart
+
+    def _block(self, pieces: list[bytes]) -> list[bytes]:
+        last, at = self.fill(pieces)
+        rows = np.flatnonzero(at > 0)
+        backwards = []
+        while len(rows):
+            token = last[rows, at[rows] - 1]
+            if (token < 0).any():
+                raise ValueError("the vocabulary can't encode these bytes")
+            column = np.full(len(pieces), -1, np.int64)
+            column[rows] = token
+            backwards.append(column)
+            at[rows] -= self.length[token]
+            rows = rows[at[rows] > 0]
+        if not backwards:
+            return [b""] * len(pieces)
+        ids = np.stack(backwards[::-1], 1)
+        there = ids >= 0
+        packed = ids[there].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(there.sum(1))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Encoder:
-    """Encodes texts, each match of the pattern separately, with a bounded cache of pieces."""
+    """Encodes texts, each match of the pattern separately, and remembers words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._pieces = _Pieces(vocabulary)
-        self._words = _Words(vocabulary.pattern, self._pieces)
+        self._arrays = PrefixArrays(vocabulary)
+        self._words = Memory(self._encode_words, most=CACHED_WORDS)
         self._table = np.full(max(vocabulary.token) + 1, None, object)
         for rank, token in vocabulary.token.items():
             self._table[rank] = token
         self._by_words = vocabulary.pattern.pattern == SPACE_LED_PATTERN
 
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces, each on its own."""
+        distinct = list(dict.fromkeys(pieces))
+        known = dict(zip(distinct, [p.encode("utf-8", "replace") for p in distinct]))
+        ids: dict[str, bytes] = {}
+        together = []
+        for piece, data in known.items():
+            whole = self.vocabulary.ranks.get(data)
+            if whole is not None:
+                ids[piece] = whole.to_bytes(4, "little")
+            elif len(data) <= _LONGEST_TOGETHER:
+                together.append(piece)
+            else:
+                ids[piece] = np.asarray(PrefixTable(self.vocabulary, data).tokens(), "<u4").tobytes()
+        ids.update(zip(together, self._arrays.encode([known[p] for p in together])))
+        return [ids[p] for p in pieces]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """What stands between two spaces, with the space before it; may hold several pieces."""
+        find = self.vocabulary.pattern.findall
+        cut = [[w] if self._by_words and w[0] == " " and w[1:].isalpha() else find(w) for w in words]
+        ids = iter(self.pieces([p for pieces in cut for p in pieces]))
+        return [next(ids) if len(pieces) == 1 else b"".join([next(ids) for _ in pieces]) for pieces in cut]
+
+    def packed_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        cut = []
+        for text in texts:
+            if self._by_words and not _ODD_SPACE.search(text):
+                first, *more = text.split(" ")
+                cut.append([first, *[" " + x for x in more]] if first else [" " + x for x in more])
+            else:
+                cut.append(self.vocabulary.pattern.findall(text))
+        found = self._words.get_all([w for words in cut for w in words])
+        out, at = [], 0
+        for words in cut:
+            out.append(b"".join(found[at : at + len(words)]))
+            at += len(words)
+        return out
+
     def packed(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if self._by_words and not _ODD_SPACE.search(text):
-            first, *more = text.split(" ")
-            word = self._words.__getitem__
-            return word(first) + b"".join([word(" " + x) for x in more])
-        piece = self._pieces.__getitem__
-        return b"".join(map(piece, self.vocabulary.pattern.findall(text)))
-
-    def forget(self) -> None:
-        """Empty the caches of pieces."""
-        self._pieces.clear()
-        self._words.clear()
+        return self.packed_all([text])[0]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
@@ -202,37 +358,6 @@ class Encoder:
         return b"".join(self._table[np.frombuffer(packed, "<u4")].tolist())
 
 
-class _Words(dict):
-    """What stands between two spaces, with the space before it; may hold several pieces."""
-
-    def __init__(self, pattern, pieces: _Pieces):
-        self.pattern, self.pieces = pattern, pieces
-
-    def __missing__(self, word: str) -> bytes:
-        packed = b"".join(map(self.pieces.__getitem__, self.pattern.findall(word)))
-        if len(word) <= CACHED_BYTES:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[word] = packed
-        return packed
-
-
-class _Pieces(dict):
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> bytes:
-        data = piece.encode("utf-8", "replace")
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
-        packed = np.asarray(ids, "<u4").tobytes()
-        if len(data) <= CACHED_BYTES:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-
 class EditedText:
     """A text whose encoding follows appends and edits.
 
@@ -274,8 +399,7 @@ class EditedText:
         return len(fresh)
 
     def encode(self) -> list[int]:
-        piece = self.encoder._pieces.__getitem__
-        return np.frombuffer(b"".join(map(piece, self.pieces)), "<u4").tolist()
+        return np.frombuffer(b"".join(self.encoder.pieces(self.pieces)), "<u4").tolist()
 
 
 @functools.lru_cache(maxsize=2)
@@ -283,55 +407,31 @@ def _encoder(ranks: bytes, pattern: str) -> Encoder:
     return Encoder(Vocabulary(ranks, pattern))
 
 
-def _digest(text: str, encoder: Encoder) -> tuple:
-    packed = encoder.packed(text)
-    decoded = encoder.decode_packed(packed)
-    return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()
-
-
-def _map_texts(docs: DataFrame, text: str, keep: list, schema: str, ranks: bytes, pattern: str,
-               row: Callable, types: list) -> DataFrame:
+def _mapped(docs: DataFrame, text: str, keep: Sequence[str], schema: str, ranks: bytes, pattern: str,
+            columns: Callable[[list[bytes], Encoder], list[pa.Array]]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batches):
+    def of_texts(texts: list[str]) -> list[pa.Array]:
         encoder = _encoder(shared.value, pattern)
-        for batch in sliced(batches):
-            results = [row(as_text(x), encoder) for x in batch.column(0).to_pylist()]
-            columns = list(zip(*results)) if results else [[] for _ in types]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *[_column(c, t) for c, t in zip(columns, types)]],
-                [*batch.schema.names[1:], *[f"_r{i}" for i in range(len(types))]],
-            )
-        encoder.forget()  # the worker lives on, and others need its memory
+        return columns(encoder.packed_all(texts), encoder)
 
-    kept = [docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)]
-    source = docs.select(docs[f"`{text}`"].cast("binary").alias("_text"), *kept)
-    key_types = [f"_k{i} {source.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    names = [f.split()[0] for f in schema.split(", ")]
-    out_types = [f"_r{i} {f.split()[1]}" for i, f in enumerate(schema.split(", "))]
-    out = source.mapInArrow(run, ", ".join([*key_types, *out_types]))
-    return out.select(
-        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
-        *[F.col(f"_r{i}").alias(n) for i, n in enumerate(names)],
-    )
+    return map_texts(docs, of_texts, schema, keep=keep, text=text)
 
 
 def encode(docs: DataFrame, ranks: bytes, pattern: str, *, keep=("doc_id",), text: str = "text") -> DataFrame:
     """The ``keep`` columns and ``ids``, the token ids of each whole text; null is empty."""
-    return _map_texts(docs, text, list(keep), "ids array<int>", ranks, pattern,
-                      lambda t, e: (e.packed(t),), [pa.list_(pa.int32())])
+    return _mapped(docs, text, keep, "ids array<int>", ranks, pattern, lambda packed, _: [_lists(packed)])
 
 
-def _column(values: list, kind: pa.DataType) -> pa.Array:
-    """Ids come packed and go into one buffer; all else is converted value by value."""
-    if not pa.types.is_list(kind):
-        return pa.array(values, kind)
-    ends = np.cumsum([0, *(len(v) // 4 for v in values)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(values), "<i4")))
+def _lists(packed: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(v) // 4 for v in packed)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
 
 
-def decode(encoded: DataFrame, ranks: bytes, pattern: str, *, ids: str = "ids") -> DataFrame:
-    """All columns and ``decoded``, the bytes of ``ids`` (null: empty); unknown ids raise."""
+def decode(encoded: DataFrame, ranks: bytes, pattern: str, *, ids: str = "ids", output: str = "decoded") -> DataFrame:
+    """All columns and the bytes of ``ids`` (null: empty) as ``output``, a new name; unknown ids raise."""
+    if output.casefold() in map(str.casefold, encoded.columns):
+        raise ValueError(f"there is a column {output!r}; choose another name")
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("binary")
@@ -339,7 +439,7 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str, *, ids: str = "ids")
         encoder = _encoder(shared.value, pattern)
         return column.map(lambda x: b"" if x is None else encoder.decode(x))
 
-    return encoded.withColumn("decoded", decoded(F.col(f"`{ids}`")))
+    return encoded.withColumn(output, decoded(F.col(f"`{ids}`")))
 
 
 def digests(docs: DataFrame, ranks: bytes, pattern: str, *, keep=("doc_id",), text: str = "text") -> DataFrame:
@@ -349,6 +449,14 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str, *, keep=("doc_id",), te
     little-endian unsigned 32-bit integers) and decoded_sha256. A null text is empty and
     has no tokens. Repeated rows stay; other columns are not looked at.
     """
-    return _map_texts(docs, text, list(keep),
-                      "n_tokens bigint, ids_sha256 string, decoded_sha256 string",
-                      ranks, pattern, _digest, [pa.int64(), pa.string(), pa.string()])
+
+    def columns(packed, encoder):
+        decoded = [encoder.decode_packed(p) for p in packed]
+        return [
+            pa.array([len(p) // 4 for p in packed], pa.int64()),
+            pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+            pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
+        ]
+
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _mapped(docs, text, keep, schema, ranks, pattern, columns)

@@ -66,6 +66,39 @@ def test_prefix_table_is_that_of_the_whole_string(data, more, cut):
     assert b"".join(ENCODER.vocabulary.token[t] for t in table.tokens(cut)) == data[:cut]
 
 
+@given(st.lists(st.one_of(st.binary(max_size=20), PIECES.map(str.encode)), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_tables_filled_together_are_those_filled_alone(pieces):
+    arrays = ENCODER._arrays
+    last, lengths = arrays.fill(pieces)
+    alone = [op1_bpe.PrefixTable(ENCODER.vocabulary, p) for p in pieces]
+    assert [row[:n].tolist() for row, n in zip(last, lengths)] == [t.last for t in alone]
+    packed = arrays.encode(pieces)
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [t.tokens() for t in alone]
+
+
+def test_neighbours_asked_together_are_those_asked_alone():
+    dealer = np.random.default_rng(3)
+    tokens = np.array(list(ENCODER.vocabulary.token))
+    left, right = (dealer.choice(tokens, 20_000) for _ in range(2))
+    # mostly apart at random; halves of tokens are the others
+    whole = [t for t in ENCODER.vocabulary.token if ENCODER.vocabulary.parts(t)]
+    halves = np.array([ENCODER.vocabulary.parts(t) for t in whole])
+    left, right = np.concatenate([left, halves[:, 0]]), np.concatenate([right, halves[:, 1]])
+    got = ENCODER._arrays._stay_apart(left, right)
+    assert got.tolist() == [ENCODER.vocabulary._stay_apart(a, b) for a, b in zip(left.tolist(), right.tolist())]
+    assert not got[20_000:].any() and got[:20_000].any()
+
+
+def test_memory_gives_way_and_comes_back():
+    encoder = op1_bpe.Encoder(ENCODER.vocabulary)
+    encoder._words._most = 5
+    texts = ["some few words", "other words than some", "some few words"] * 3
+    packed = encoder.packed_all(texts) + [encoder.packed(t) for t in texts]
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [ORACLE.encode_ordinary(t) for t in texts * 2]
+    assert len(encoder._words) <= 8
+
+
 def test_every_document(spark, sf_dir):
     got = {r["doc_id"]: tuple(r)[1:] for r in op1_bpe_round_trip(spark, sf_dir).collect()}
     assert got == {r["doc_id"]: expected(r["text"]) for r in table(spark, sf_dir, "documents").collect()}
