@@ -2,10 +2,17 @@
 
 A page is a sequence of tokens: its tags, told apart by their path, and its pieces of
 text. Tokens that occur equally often in every page of a host, that is, whose vectors of
-occurrences are equal, form an equivalence class. Classes that most pages have are valid
-and nest by their paths: a class lies in the slot of another whose path its own extend.
-They make up the template. What is left between its tags are slots, and the main text is
-that of the slots of the article, not those of menus, adverts, comments and the like.
+occurrences are equal, form an equivalence class. Classes that most pages have are kept
+apart. The tags of the widest class that occurs once a page are the frame, in the order of
+the host's reference page; a page that has them in another order, or not once, does not
+follow the template. Other classes nest in the slots between them, by their paths.
+
+Text tokens in a class are the template's own and go. The rest fills the slots. Going down
+from the outermost element of the frame, the article is the element that holds all but a
+twentieth of the filled-in text: the way down ends where the next element would lose a
+heading or prose, or at an ``article`` element. What tag names and telling class names
+mark as menus, adverts, comments and the like never counts. Pages of hosts with fewer than
+three pages, and those that do not follow their template, are judged by tag names alone.
 
 A vector is never built: equal sums of hashes of (page, count) stand for equal vectors, so
 that a host of any size is summed task by task before it is shuffled.
@@ -13,6 +20,7 @@ that a host of any size is summed task by task before it is shuffled.
 
 from __future__ import annotations
 
+import functools
 import html as html_module
 import re
 import zlib
@@ -30,6 +38,8 @@ from tallybrook.llm.common import as_text, sliced, stored
 # A class is valid if this share of the host's pages, and so many, have its tokens.
 LEAST_SHARE, LEAST_PAGES = 0.5, 3
 _FLUSH = 200_000
+# Share of the filled-in text that may be lost on the way to the article's element.
+_LOST = 0.05
 
 # Elements by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,13 +59,19 @@ CLOSED_BY_PEERS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-# Words of class, id and role that mark what is not the article.
+# Words of class, id and role that mark what is not the article, and those that may stand with them.
 LEFT_OUT_WORDS = frozenset(
     "nav navbar navigation menu menubar header masthead footer contentinfo sidebar complementary aside notice "
     "cookie cookies consent gdpr banner ad ads advert adverts advertisement advertising sponsor sponsored promo "
     "comment comments disqus respond replies reply share sharing social related breadcrumb breadcrumbs "
     "newsletter subscribe signup popup modal overlay login search widget toolbar pagination pager".split()
 )
+_WITH_THEM = frozenset(
+    "area bar block body bottom box btn button buttons col column container content cover fixed form global group "
+    "holder icon icons inline inner item items js left link links list main message outer page panel policy "
+    "post posts primary right section secondary site slot small space sticky text title top unit user users wrap "
+    "wrapper zone the 1 2 3 4".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
@@ -97,8 +113,15 @@ def _marks(tag: str, attributes: str) -> tuple[str, bool]:
     if tag in ("html", "body", "article", "main"):
         return first, False
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    words = _SPLIT.split(" ".join((found.get("class", ""), found.get("id", ""), found.get("role", ""))).lower())
-    return first, hidden or not LEFT_OUT_WORDS.isdisjoint(words)
+    names = " ".join((found.get("class", ""), found.get("id", ""), found.get("role", ""))).lower().split()
+    return first, hidden or any(map(_left_out_name, names))
+
+
+@functools.lru_cache(maxsize=4096)
+def _left_out_name(name: str) -> bool:
+    """Whether a name is made of words that leave out: user-comments is, share-of-market is not."""
+    words = [w for w in _SPLIT.split(name) if w]
+    return any(w in LEFT_OUT_WORDS for w in words) and all(w in LEFT_OUT_WORDS or w in _WITH_THEM for w in words)
 
 
 def blocks(page: str) -> Iterator[Block | str]:
@@ -197,6 +220,7 @@ def _hash(kind: str, *parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x00".join((kind, *parts))) - (1 << 63)
 
 
+@functools.lru_cache(maxsize=100_000)
 def _path_token(path: str) -> int:
     return _hash("tag", path)
 
@@ -210,56 +234,207 @@ def tokens(page: str) -> Counter:
     return Counter(_path_token(t) if isinstance(t, str) else _text_token(t) for t in blocks(page))
 
 
-def main_text(page: str, template: frozenset[int]) -> str:
+class Template(NamedTuple):
+    """What a host's pages share: text tokens, the frame's tags in order, and the article's element."""
+
+    texts: frozenset[int] = frozenset()
+    frame: tuple[int, ...] = ()
+    article: str = ""
+
+    def followed_by(self, stream: list) -> bool:
+        """Whether a page has the frame's tags once each, in the template's order."""
+        wanted = set(self.frame)
+        here = [t for t in map(_path_token, (x for x in stream if isinstance(x, str))) if t in wanted]
+        return here == list(self.frame)
+
+
+NO_TEMPLATE = Template()
+
+
+def main_text(page: str, template: Template = NO_TEMPLATE) -> str:
     """Text of the article's slots: what the template does not hold, outside of left-out parts.
 
-    Without an article (or main) element the whole body counts as one. Prose inside an
-    article stays even if the template has it too: pages may share a paragraph.
+    Within the template's article, or the page if it follows none, ``article`` and ``main``
+    elements are taken for the whole. Prose inside such an element stays even if the template
+    has it too: pages may share a paragraph.
     """
-    own = [t for t in blocks(page) if not isinstance(t, str) and not t.left_out]
-    for region in ("article", "main", ""):
-        inside = [b for b in own if not region or b.region == region]
-        if inside:
-            break
-    else:
-        return ""
+    stream = list(blocks(page))
+    own = [t for t in stream if not isinstance(t, str) and not t.left_out]
+    followed = bool(template.frame) and template.followed_by(stream)
+    if followed:
+        within = [b for b in own if b.path == template.article or b.path.startswith(f"{template.article}/")]
+        own = within or own
+    articles, marked = ([b for b in own if b.region in kinds] for kinds in (("article",), REGIONS))
+    # an article within a main element is all of it only if it holds the greater part
+    inside = articles if articles and 2 * _size(articles) >= _size(marked) else marked or own
+    region = bool(marked)
     kept = [b.text for b in inside
-            if (region and b.tag in PROSE) or not template or _text_token(b) not in template]
+            if (region and b.tag in PROSE) or not followed or _text_token(b) not in template.texts]
     return " ".join(kept)
 
 
+def _size(of: list[Block]) -> int:
+    return sum(len(b.text) for b in of)
+
+
+def _token_rows(page: str) -> dict[int, list]:
+    """Per token: times it occurs, path of a tag, chars of text, prose and titles that it is or holds, token of a text's path."""
+    rows: dict[int, list] = {}
+    for t in blocks(page):
+        if isinstance(t, str):
+            rows.setdefault(_path_token(t), [0, t, 0, 0, 0, 0])[0] += 1
+            continue
+        row = rows.setdefault(_text_token(t), [0, None, 0, 0, 0, _path_token(t.path)])
+        row[0] += 1
+        if t.left_out:
+            continue
+        size = len(t.text)
+        prose, title = size * (t.tag in PROSE and t.tag != "li"), size * (t.tag == "h1")
+        at, holders = t.path, [row]
+        while at:
+            if (holder := rows.get(_path_token(at))) is not None:
+                holders.append(holder)
+            at = at[: at.rindex("/")]
+        for holder in holders:
+            holder[2] += size
+            holder[3] += prose
+            holder[4] += title
+    return rows
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the tokens of the host's valid classes, from (host, html)."""
+    """(host, texts, frame, article) of every host with enough pages, from (host, html)."""
 
     def count(batches):
-        sums: dict[tuple[str, int], list[int]] = {}
+        sums: dict[tuple[str, int], list] = {}
         for batch in sliced(batches):
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = xxhash.xxh3_64_intdigest(html)
-                for token, n in tokens(as_text(html)).items():
-                    own = sums.setdefault((host, token), [0, 0])
+                for token, (n, path, chars, prose, title, at) in _token_rows(as_text(html)).items():
+                    own = sums.setdefault((host, token), [0, 0, 0, path, 0, 0, 0, at])
                     own[0] += 1
                     own[1] += xxhash.xxh3_64_intdigest(n.to_bytes(8, "little"), page) >> 24
+                    own[2] += n
+                    own[4] += chars
+                    own[5] += prose
+                    own[6] += title
                 if len(sums) >= _FLUSH:
                     yield _summed(sums)
                     sums = {}
         yield _summed(sums)
 
+    def first_pages(batches):
+        """Of each host the page of least hash in this task, as the order of its tags."""
+        least: dict[str, tuple[int, str]] = {}
+        for batch in sliced(batches):
+            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                mark = xxhash.xxh3_64_intdigest(html) >> 1
+                if host not in least or mark < least[host][0]:
+                    least[host] = (mark, html)
+        for host, (mark, html) in least.items():
+            tags = [_path_token(t) for t in blocks(as_text(html)) if isinstance(t, str)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([host]), pa.array([mark]), pa.array([tags], pa.list_(pa.int64()))], ["host", "mark", "tags"]
+            )
+
     pages = pages.select("host", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("html"))
-    counted = pages.mapInArrow(count, "host string, token bigint, pages bigint, vector bigint")
-    counted = counted.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("vector").alias("vector"))
+    counted = pages.mapInArrow(count, _COUNTED).groupBy("host", "token")
+    summed = [F.sum(c).alias(c) for c in ("pages", "vector", "times", "chars", "prose", "title")]
+    counted = counted.agg(*summed, F.first("path", ignorenulls=True).alias("path"), F.max("at").alias("at"))
     # the tokens of a host that most of its pages have are at most twice those of a page
     sizes = pages.groupBy("host").agg(F.count("*").alias("of"))
     valid = counted.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(F.col("pages") >= LEAST_SHARE * F.col("of"))
-    classes = valid.groupBy("host", "pages", "vector").agg(F.collect_set("token").alias("tokens"))
-    return classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    row = F.struct("token", "pages", "vector", "times", "chars", "prose", "title", "path", "at")
+    found = valid.groupBy("host").agg(F.collect_list(row).alias("rows"))
+    orders = pages.mapInArrow(first_pages, "host string, mark bigint, tags array<bigint>")
+    orders = orders.groupBy("host").agg(F.min_by("tags", "mark").alias("tags"))
+
+    def deduced(batches):
+        for batch in batches:
+            hosts, rows, tags = (batch.column(n).to_pylist() for n in ("host", "rows", "tags"))
+            made = [deduce(r, t or []) for r, t in zip(rows, tags)]
+            numbers = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array([sorted(m.texts) for m in made], numbers),
+                 pa.array([list(m.frame) for m in made], numbers), pa.array([m.article for m in made], pa.string())],
+                ["host", "texts", "frame", "article"],
+            )
+
+    return found.join(orders, "host", "left").mapInArrow(
+        deduced, "host string, texts array<bigint>, frame array<bigint>, article string"
+    )
+
+
+def classes(rows: list[dict]) -> dict[tuple[int, int], list[dict]]:
+    """Tokens by vector of occurrences: equal page counts and equal sums."""
+    found: dict[tuple[int, int], list[dict]] = {}
+    for row in rows:
+        found.setdefault((row["pages"], row["vector"]), []).append(row)
+    return found
+
+
+def deduce(rows: list[dict], order: list[int]) -> Template:
+    """The template of a host from its common tokens and its reference page's tags in order."""
+    texts = [r for r in rows if r["path"] is None]
+    once = {
+        key: own for key, own in classes(rows).items()
+        if all(r["times"] == r["pages"] for r in own) and any(r["path"] is not None for r in own)
+    }
+    if not once:
+        return NO_TEMPLATE
+    widest = max(once, key=lambda key: (key[0], sum(r["path"] is not None for r in once[key]), key[1]))
+    tags = {r["token"]: r for r in once[widest] if r["path"] is not None}
+    seen = Counter(order)
+    if any(seen[t] != 1 for t in tags):  # the reference page is not one of these
+        return NO_TEMPLATE
+    # filled-in text of the frame's elements: without the template's own
+    own_text = {r["path"]: [r["chars"], r["prose"], r["title"]] for r in tags.values() if not r["path"].startswith("//")}
+    paths = {r["token"]: r["path"] for r in rows if r["path"] is not None}
+    for row in texts:
+        at = paths.get(row["at"], "")
+        while at:
+            if at in own_text:
+                own_text[at] = [x - row[c] for x, c in zip(own_text[at], ("chars", "prose", "title"))]
+            at = at[: at.rindex("/")]
+    frame = tuple(t for t in order if t in tags)
+    return Template(frozenset(r["token"] for r in texts), frame, _article(own_text))
+
+
+def _article(own_text: dict[str, list[int]]) -> str:
+    """Down from the outermost element, while the next one holds most text, nearly all prose, and every title."""
+
+    def outermost(paths):
+        return [p for p in paths if not any(p.startswith(f"{q}/") for q in paths if q != p)]
+
+    at, below = "", list(own_text)
+    while below:
+        down = max(outermost(below), key=lambda p: (own_text[p][0], p))
+        tag = down.rsplit("/", 1)[1].split(".")[0]
+        if at:
+            (text, prose, title), (text_in, prose_in, title_in) = own_text[at], own_text[down]
+            lost = 2 * text_in < text or prose - prose_in > _LOST * prose or title_in < title
+            if text <= 0 or lost or tag in PROSE:
+                break
+        at = down
+        if tag == "article":
+            break
+        below = [p for p in own_text if p.startswith(f"{at}/")]
+    return at
+
+
+_COUNTED = (
+    "host string, token bigint, pages bigint, vector bigint, times bigint, path string, "
+    "chars bigint, prose bigint, title bigint, at bigint"
+)
 
 
 def _summed(sums: dict) -> pa.RecordBatch:
+    columns = list(zip(*sums.values())) if sums else [[] for _ in range(8)]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 4]
     return pa.RecordBatch.from_arrays(
         [pa.array([h for h, _ in sums], pa.string()), pa.array([t for _, t in sums], pa.int64()),
-         pa.array([n for n, _ in sums.values()], pa.int64()), pa.array([v for _, v in sums.values()], pa.int64())],
-        ["host", "token", "pages", "vector"],
+         *[pa.array(c, k) for c, k in zip(columns, kinds)]],
+        ["host", "token", "pages", "vector", "times", "path", "chars", "prose", "title", "at"],
     )
 
 
@@ -292,10 +467,9 @@ def extract(
 
     def text_of(batches):
         for batch in sliced(batches):
-            texts = [
-                main_text(as_text(zlib.decompress(x)), frozenset(t or ()))
-                for x, t in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist())
-            ]
+            parts = (batch.column(n).to_pylist() for n in ("texts", "frame", "article"))
+            found = [Template(frozenset(t or ()), tuple(f or ()), a or "") for t, f, a in zip(*parts)]
+            texts = [main_text(as_text(zlib.decompress(x)), t) for x, t in zip(batch.column("html").to_pylist(), found)]
             names = [n for n in batch.schema.names if n.startswith("_k")]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

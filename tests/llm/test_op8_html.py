@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import html
+import random
 import re
+from collections import defaultdict
 
 import pytest
+import xxhash
 
 from tallybrook.llm import op8_html
 from tallybrook.llm.queries import op8_html_main_text
@@ -45,7 +48,7 @@ def test_every_page(spark, sf_dir):
     ],
 )
 def test_single_pages(page, text):
-    assert op8_html.main_text(page, frozenset()) == text
+    assert op8_html.main_text(page) == text
 
 
 def test_a_host_template_goes_and_shared_prose_stays(spark):
@@ -64,13 +67,92 @@ def test_a_host_template_goes_and_shared_prose_stays(spark):
     assert op8_html.extract(df.limit(0)).collect() == []
 
 
-def test_tokens_of_a_class_occur_alike(spark):
-    rows = [("h", f"<div><p>{i}</p></div>" + "<p>x</p>" * (i % 2)) for i in range(8)]
-    [row] = op8_html.templates(spark.createDataFrame(rows, "host string, html string")).collect()
-    common = {op8_html._path_token(t) for t in ("/div", "/div/p", "//div", "//div/p")}
-    assert common <= set(row["template"])
+def template_of(spark, pages):
+    rows = op8_html.templates(spark.createDataFrame([("h", p) for p in pages], "host string, html string")).collect()
+    return {r["host"]: op8_html.Template(frozenset(r["texts"]), tuple(r["frame"]), r["article"]) for r in rows}["h"]
+
+
+def test_classes_are_those_of_brute_force_vectors():
+    """Equal sums stand for equal vectors of counts, page by page."""
+    dealer = random.Random(4)
+    pages = [
+        "<div>" + "<p>x</p>" * dealer.randrange(3) + "<ul>" + "<li>y</li><li>y</li>" * dealer.randrange(3)
+        + f"</ul><i>{i}</i></div>" + "<hr>" * dealer.randrange(2) for i in range(30)
+    ]
+    counts = [op8_html.tokens(p) for p in pages]
+    every = sorted(set().union(*counts))
+    by_vector = defaultdict(set)
+    for token in every:
+        by_vector[tuple(c[token] for c in counts)].add(token)
+    rows = []
+    for token in every:
+        pages_with = [(xxhash.xxh3_64_intdigest(p.encode()), c[token]) for p, c in zip(pages, counts) if c[token]]
+        vector = sum(xxhash.xxh3_64_intdigest(n.to_bytes(8, "little"), page) >> 24 for page, n in pages_with)
+        rows.append({"token": token, "pages": len(pages_with), "vector": vector})
+    got = [{r["token"] for r in own} for own in op8_html.classes(rows).values()]
+    assert sorted(map(sorted, got)) == sorted(map(sorted, by_vector.values()))
+    assert any(len(c) > 3 for c in got)
+
+
+def test_frame_has_what_occurs_once_in_order(spark):
+    pages = [f"<div><p>{i}</p><section><b>t</b></section></div>" + "<p>x</p>" * (i % 2) for i in range(8)]
+    template = template_of(spark, pages)
+    order = ("/div", "/div/p", "//div/p", "/div/section", "//div/section", "//div")
+    assert template.frame == tuple(map(op8_html._path_token, order))
+    assert template.followed_by(list(op8_html.blocks(pages[1])))
+    for other in ("<div><section></section><p></p></div>", "<div><p>a</p></div>", pages[0] + "<div></div>"):
+        assert not template.followed_by(list(op8_html.blocks(other)))
+
+
+def plain_page(i, host):
+    """An article in plain elements among parts that tag names tell nothing about."""
+    dealer = random.Random(f"{host} {i}")
+    words = lambda n: " ".join(dealer.choice(["ash", "elm", "oak", "fir", "yew"]) + str(dealer.randrange(99)) for _ in range(n))
+    paragraphs = [words(25) for _ in range(dealer.randrange(2, 5))]
+    links = "".join(f"<span>{words(2)}</span><br>" for _ in range(dealer.randrange(2, 6)))
+    body = "".join(f"<div>{p}</div>" for p in paragraphs)
+    page = (
+        f"<html><body><div class=a{host}>House of {host}</div><div class=b><div>Start</div><div>Shop</div>{links}</div>"
+        f"<div class=c><h1>Title {i}</h1><div class=d>{body}</div></div><div class=e>All rights kept {host}</div></body></html>"
+    )
+    return page, " ".join([f"Title {i}", *paragraphs])
+
+
+def test_articles_without_telling_names(spark):
+    rows, want = [], {}
+    for host in range(12):
+        for i in range(6):
+            page, text = plain_page(i, host)
+            want[len(rows)] = text
+            rows.append((len(rows), f"http://h{host}.example/{i}", page))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in op8_html.extract(df).collect()}
+    assert got == want
+    # it is the template that tells: without one the frame stays
+    assert all("House of" in op8_html.main_text(page) for _, _, page in rows)
+
+
+def test_a_page_that_does_not_follow_its_template(spark):
+    pages = [plain_page(i, 1)[0] for i in range(6)]
+    template = template_of(spark, pages)
+    assert op8_html.main_text(pages[2], template) == plain_page(2, 1)[1]
+    swapped = "<html><body><div class=c><h1>T</h1><div class=d>x</div></div><div class=a1>House of 1</div></body></html>"
+    assert op8_html.main_text(swapped, template) == "T x House of 1"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<main><p>The long main text of it.</p><article><h3>Related</h3></article></main>", "The long main text of it. Related"),
+        ("<main><p>lead</p><article><h1>The long article</h1></article></main>", "The long article"),
+        ('<article><p>a</p><div class="share-of-market"><p>b</p></div></article>', "a b"),
+        ('<article><p>a</p><div class="share-buttons"><p>b</p></div><div id=user-comments>c</div></article>', "a"),
+    ],
+)
+def test_what_tag_names_may_decide(page, text):
+    assert op8_html.main_text(page) == text
 
 
 def test_long_pages():
     page = "<article>" + "<div>" * 2000 + "<p>word</p>" * 5000
-    assert op8_html.main_text(page, frozenset()).count("word") == 5000
+    assert op8_html.main_text(page).count("word") == 5000
