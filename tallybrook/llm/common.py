@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
@@ -12,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.scratch import shared_folder
+from tallybrook.scratch import written
 
 U64 = np.uint64
 
@@ -24,10 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: lineage is cut, nothing is recomputed."""
-    folder = shared_folder(df.sparkSession, f"{purpose}-{uuid.uuid4().hex[:6]}")
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """Write to the shared folder and read back: lineage is cut, nothing is recomputed.
+
+    Inside ``scratch.cleared`` the folder is deleted at its end.
+    """
+    return written(df, purpose)
 
 
 def as_text(value) -> str:

@@ -59,30 +59,33 @@ class ByteLevelTokens:
             plain = all(c in byte_of for c in token)
             self.bytes[i] = bytes(map(byte_of.get, token)) if plain else token.encode()
         self.lengths = _lengths(self.bytes)
-        self._words = Memory(self._encode_words)
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        # a space and letters are one piece
-        pieces = [[w] if w[1:].isalpha() and w[0] == " " else _PIECES.findall(w) for w in words]
-        distinct = list({p for ps in pieces for p in ps})
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of a space and each word, which has no space; the words are distinct."""
+        plain, found = [], {}
+        for word in words:
+            if word.isalpha() and len(word) < 40:  # one piece
+                plain.append(word)
+            else:
+                found[word] = _PIECES.findall(" " + word)
+        distinct = list({p for pieces in found.values() for p in pieces})
         data = [p.encode("utf-8", "replace") for p in distinct]
         short = [i for i, d in enumerate(data) if len(d) <= ByteMerges.LONGEST]
-        known = dict(zip((distinct[i] for i in short), self._merges.encode([data[i] for i in short])))
+        ids = self._merges.encode([*(b" " + w.encode() for w in plain), *[data[i] for i in short]])
+        known = dict(zip((distinct[i] for i in short), ids[len(plain) :]))
         for i, d in enumerate(data):
             if len(d) > ByteMerges.LONGEST:
                 known[distinct[i]] = self._library(distinct[i])
-        return [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in pieces]
+        whole = dict(zip(plain, ids))
+        whole.update((w, b"".join([known[p] for p in pieces])) for w, pieces in found.items())
+        return list(map(whole.__getitem__, words))
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self._whole.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Packed ids of a space and each text."""
-        cut = [
-            [" " + w for w in t.split(" ")] if not _ODD_SPACE.search(" " + t) else _PIECES.findall(" " + t)
-            for t in texts
-        ]
-        return _joined(self._words, cut)
+    def encode_whole(self, text: str) -> bytes:
+        """Packed ids of a space and any text."""
+        return self._library(" " + text)
 
 
 class SentencePieces:
@@ -99,32 +102,48 @@ class SentencePieces:
             self.bytes[i] = bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
         self.lengths = _lengths(self.bytes)
         # words can be encoded apart only if no piece spans two
-        self._apart = not any(re.search("[^▁]▁", p) for p in pieces)
-        self._words = Memory(lambda ws: [array("i", x).tobytes() for x in self._model.encode(ws, num_threads=1)])
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Packed ids of a space and each text."""
-        # a word stands between single spaces; U+2581 is a space to the model
-        cut = [
-            t.split(" ") if self._apart and not _ODD_SPACE.search(" " + t) and "▁" not in t else [t]
-            for t in texts
-        ]
-        return _joined(self._words, cut)
+        self.apart = not any(re.search("[^▁]▁", p) for p in pieces)
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of a space and each word."""
+        return [array("i", x).tobytes() for x in self._model.encode(words, num_threads=1)]
+
+    def encode_whole(self, text: str) -> bytes:
+        return self.encode_words([text])[0]
+
+
+class Sides:
+    """Both tokenizers, and what they made of words that they met."""
+
+    def __init__(self, a: ByteLevelTokens, b: SentencePieces):
+        self.a, self.b = a, b
+        self._words = Memory(lambda words: list(zip(a.encode_words(words), b.encode_words(words))))
+
+    def encode(self, texts: Sequence[str]) -> tuple[list[bytes], list[bytes]]:
+        """Packed ids of a space and each text, by both."""
+        cut: list = []
+        for text in texts:
+            # words can be encoded apart where they stand between single spaces; U+2581 is a space to B
+            apart = self.b.apart and "▁" not in text and not _ODD_SPACE.search(" " + text)
+            cut.append(text.split(" ") if apart else None)
+        found = self._words.get_all([w for words in cut if words for w in words])
+        of_a, of_b, at = [], [], 0
+        for text, words in zip(texts, cut):
+            if words is None:
+                of_a.append(self.a.encode_whole(text))
+                of_b.append(self.b.encode_whole(text))
+                continue
+            mine = found[at : at + len(words)]
+            of_a.append(b"".join([x for x, _ in mine]))
+            of_b.append(b"".join([y for _, y in mine]))
+            at += len(words)
+        return of_a, of_b
 
 
 def _lengths(tokens: np.ndarray) -> np.ndarray:
     return np.array([len(t) for t in tokens], np.int64)
 
 
-def _joined(memory: Memory, cut: list[list[str]]) -> list[bytes]:
-    found = memory.get_all([w for words in cut for w in words])
-    out, at = [], 0
-    for words in cut:
-        out.append(b"".join(found[at : at + len(words)]))
-        at += len(words)
-    return out
-
-
 def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each A token, then each B token, the A token that ends its component.
 
@@ -155,11 +174,9 @@ def _terminals(end_a, end_b, a_of_byte, b_of_byte) -> tuple[np.ndarray, np.ndarr
 class _Batch:
     """The tokens of a batch of texts, one after the other, and their components and links."""
 
-    def __init__(self, texts: list[str], a, b):
-        ids = []
-        for side in (a, b):
-            packed = side.encode(texts) if texts else []
-            ids.append([np.frombuffer(p, "<i4") for p in packed])
+    def __init__(self, texts: list[str], both: Sides):
+        a, b = both.a, both.b
+        ids = [[np.frombuffer(p, "<i4") for p in packed] for packed in both.encode(texts)]
         wholes = [b" " + text.encode("utf-8", "replace") if text else b"" for text in texts]
         sides_whole = [b"".join(s.bytes[np.concatenate(x)].tolist()) if x else b"" for s, x in zip((a, b), ids)]
         if not all(texts) or any(b"".join(wholes) != w for w in sides_whole):
@@ -233,12 +250,12 @@ class _Batch:
 
 
 @functools.lru_cache(maxsize=2)
-def sides(a_path: str, b_model: bytes) -> tuple[ByteLevelTokens, SentencePieces]:
+def sides(a_path: str, b_model: bytes) -> Sides:
     """Both tokenizers, made once in a worker; the byte-level file is where every worker has it."""
-    return ByteLevelTokens(a_path), SentencePieces(b_model)
+    return Sides(ByteLevelTokens(a_path), SentencePieces(b_model))
 
 
-def _in_workers(docs: DataFrame, a_path: str, b_model: bytes) -> Callable[[], tuple]:
+def _in_workers(docs: DataFrame, a_path: str, b_model: bytes) -> Callable[[], Sides]:
     shared = docs.sparkSession.sparkContext.broadcast(b_model)
     return lambda: sides(a_path, shared.value)
 
@@ -257,7 +274,7 @@ def aligned(docs: DataFrame, a_path: str, b_model: bytes, *, keep=("doc_id",), t
     kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
     def columns(texts):
-        return [pa.array(_Batch(texts, *both()).groups(len(texts)), kind)]
+        return [pa.array(_Batch(texts, both()).groups(len(texts)), kind)]
 
     schema = "groups array<struct<a:array<int>,b:array<int>>>"
     return map_texts(docs, columns, schema, keep=keep, text=text)
@@ -282,7 +299,7 @@ def linked(docs: DataFrame, a_path: str, b_model: bytes, *, keep=("doc_id",), te
     def columns(texts):
         both = sides_of()
         if not tables:
-            tables[0] = _decimals(max(len(side.bytes) for side in both))
+            tables[0] = _decimals(max(len(both.a.bytes), len(both.b.bytes)))
         context = TaskContext.get()
         if state["task"] != context.taskAttemptId():
             state.update(task=context.taskAttemptId(), chunk=context.partitionId() << 32, bytes=0)
@@ -292,7 +309,7 @@ def linked(docs: DataFrame, a_path: str, b_model: bytes, *, keep=("doc_id",), te
                 state.update(chunk=state["chunk"] + 1, bytes=0)
             state["bytes"] += len(t) + 200
             chunks.append(state["chunk"])
-        batch = _Batch(texts, *both)
+        batch = _Batch(texts, both)
         shown = batch.texts_of_groups(tables[0])
         digests = [hashlib.sha256(s).hexdigest() if s else "" for s in shown]
         counts = [pa.array(x, pa.int64()) for x in (batch.n_a, batch.n_b, batch.n_groups, batch.n_links)]

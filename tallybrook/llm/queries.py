@@ -205,3 +205,65 @@ def op11_chunk_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("word_bpe_49k.json")
     return op11_chunk_bpe.digests(table(spark, sf_dir, "documents"), path)
+
+
+# Words of a text: runs of anything but ASCII white space, A-Z in lower case.
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"""
+
+# all runs of five words, or of as many as the shortest items have, against those of the items
+SQL["op7_benchmark_leaks"] = f"""WITH item AS (
+  SELECT row_number() OVER () AS r, item_id, {_WORDS} AS w FROM benchmark),
+held AS (
+  SELECT DISTINCT r, item_id, least(len(w), 5) AS size, array_to_string(w[k : k + least(len(w), 5) - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM item WHERE len(w) > 0)),
+need AS (SELECT r, count(*) AS n FROM held GROUP BY r),
+doc AS (SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS w FROM documents),
+runs AS (
+  SELECT DISTINCT d, doc_id, size, array_to_string(w[k : k + size - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k
+    FROM doc, (SELECT DISTINCT size FROM held) WHERE len(w) >= size))
+SELECT doc_id, item_id, count(*) / any_value(n) AS containment
+FROM runs JOIN held USING (size, run) JOIN need USING (r)
+GROUP BY d, doc_id, r, item_id HAVING count(*) >= 0.8 * any_value(n) - 1e-12"""
+
+
+def _reachable(links: str) -> str:
+    """Smallest id reachable from each id of ``links`` (a, b), both ways in it."""
+    return f"""reach AS (
+  SELECT a AS id, b AS other FROM {links}
+  UNION SELECT r.id, l.b FROM reach r JOIN {links} l ON r.other = l.a)"""
+
+
+# pairs of sets that share a shingle, their intersection counted
+SQL["op4_ngram_jaccard"] = f"""WITH RECURSIVE doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+held AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + least(len(w), 4) - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM held x JOIN held y USING (run)
+  WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM shared JOIN size s ON a = s.doc_id JOIN size t ON b = t.doc_id
+  WHERE 100 * shared.n >= 85 * (s.n + t.n - shared.n)),
+{_reachable("link")}
+SELECT doc_id, coalesce(size.n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM documents LEFT JOIN size USING (doc_id)
+LEFT JOIN (SELECT id, min(other) AS low FROM reach GROUP BY id) ON id = doc_id"""
+
+# every pair of one label; vectors of other lengths never link
+SQL["op3_embedding_duplicates"] = f"""WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+    AND len(x.e) = len(y.e)
+  WHERE list_dot_product(x.e, y.e) / sqrt(list_dot_product(x.e, x.e) * list_dot_product(y.e, y.e)) >= 0.98),
+{_reachable("link")}
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id <= coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) ON a = vec_id
+LEFT JOIN (SELECT id, min(other) AS low FROM reach GROUP BY id) ON id = vec_id"""

@@ -4,7 +4,6 @@ import hashlib
 from collections import Counter
 
 import numpy as np
-import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,10 +121,10 @@ def test_groups(spark):
 @given(st.text(st.sampled_from("ab' slr\n\tév日😀12.,-_ABetin▁"), max_size=40))
 @settings(max_examples=200, deadline=None)
 def test_tokens_are_those_of_the_libraries(text):
-    a, b = op13.sides(PATH, MODEL)
-    assert np.frombuffer(a.encode([text])[0], "<i4").tolist() == A.encode(" " + text, add_special_tokens=False).ids
+    (a,), (b,) = op13.sides(PATH, MODEL).encode([text])
+    assert np.frombuffer(a, "<i4").tolist() == A.encode(" " + text, add_special_tokens=False).ids
     if text:
-        assert np.frombuffer(b.encode([text])[0], "<i4").tolist() == B.encode(text)
+        assert np.frombuffer(b, "<i4").tolist() == B.encode(text)
 
 
 @given(st.lists(st.integers(1, 5), min_size=1, max_size=60), st.lists(st.integers(1, 5), min_size=1, max_size=60))
@@ -147,7 +146,3 @@ def test_chains_longer_than_a_batch_of_rounds():
     b = np.cumsum([*[2] * 5000, 1])
     for side in op13.terminals(a, b):
         assert (side == len(a) - 1).all()
-
-
-if __name__ == "__main__":
-    pytest.main([__file__])
