@@ -4,7 +4,9 @@ The features are densities of a lexicon learned from the labelled rows (whole wo
 word beginnings), nearness of its words to the second person, and rates of capitals,
 punctuation and obfuscated spellings. Labels are learned only from rows whose
 crc32(doc_id as text) mod 5 is not 0; of those, remainder 1 is kept for the calibration.
-At most ``TRAINING_ROWS`` labelled rows are used, those of least hashed id.
+At most ``TRAINING_ROWS`` labelled rows are used, those of least hashed id, and of the words
+and the beginnings that mark toxic ones among these the ``LEXICON_SIZE`` strongest each;
+both are parameters of ``train``.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ def features(text: str | None, weights: _Weights) -> list[float]:
     plain = (w.translate(LOOKALIKES).replace("*", "").lower() for w in spelled)
     obfuscated = sum(weights[w] > 0 for w in plain)
     upper = sum(map(str.isupper, text))
-    shouted = sum(w.isupper() and len(w) > 2 for w in text.split()) if upper > n else 0
+    shouted = sum(len(w) > 2 for w in filter(str.isupper, text.split())) if upper else 0
     marks = len(_PUNCTUATION.findall(text))
     return [
         len(hits) / n, math.log1p(len(hits)), sum(of_word) / n, max(of_word),
@@ -182,7 +184,8 @@ def featured(docs: DataFrame, lexicon: Lexicon, text: str, keep: list[str]) -> D
     return source.mapInArrow(run, ", ".join([*types, "_features array<double>"]))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, most: int = TRAINING_ROWS, seed: int = 7) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, most: int = TRAINING_ROWS, lexicon_size: int = LEXICON_SIZE,
+          seed: int = 7) -> Model:
     """Fit lexicon, trees and calibration on the labelled documents (see the module)."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
@@ -192,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, *, most: int = TRAINING_ROWS, seed
     known = docs.select(docs["doc_id"].alias("_id"), docs["text"].cast("string").alias("_text"))
     # bounded: at most ``most`` rows of three small numbers
     known = known.join(F.broadcast(chosen.withColumnRenamed("doc_id", "_id")), "_id")
-    lexicon = learn_lexicon(known.where("fold <> 1"))
+    lexicon = learn_lexicon(known.where("fold <> 1"), lexicon_size)
     rows = stored(
         featured(known, lexicon, "_text", ["toxic", "fold"])
         .select(F.col("_k0").alias("toxic"), F.col("_k1").alias("fold"), "_features"), "toxicity-rows"

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
 
 import pytest
@@ -64,3 +66,42 @@ def test_features():
     assert named["second_person_per_word"] == pytest.approx(2 / 6)
     assert named["obfuscated_hits"] == pytest.approx(1 / 6)
     assert len(tox.features(None, weights)) == len(tox.FEATURES) == len(tox.features("!", weights))
+
+
+def test_capital_words_count_in_every_text():
+    weights = tox._Weights(tox.Lexicon({}, {}))
+    at = tox.FEATURES.index("capital_words")
+    for shouted in (1, 59, 61, 300):
+        text = "HELLO " * shouted + "plain " * (300 - shouted)
+        assert tox.features(text, weights)[at] == shouted / 300
+
+
+def by_hand(text, lexicon):
+    """The features one by one, word by word."""
+    words = [w for w in re.findall(r"[^\W_]+", text.lower())]
+    weight = lambda w: max(lexicon.words.get(w, 0.0), *(lexicon.beginnings.get(w[:n], 0.0) for n in tox.BEGINNINGS if len(w) >= n), 0.0)
+    n, chars = len(words), len(text)
+    marks = [c for c in text if not re.match(r"[\w\s]", c)]
+    if not n:
+        return [0.0] * 9 + [len(marks) / max(1, chars)] + [0.0] * 6
+    hits = [i for i, w in enumerate(words) if weight(w) > 0]
+    second = [i for i, w in enumerate(words) if w in tox.SECOND_PERSON]
+    near = [i for i in hits if any(abs(i - s) <= tox.NEAR for s in second)]
+    spelled = re.findall(r"[^\W\d_]+[\d@$!*]+[^\W_]+", text)
+    plain = [w.translate(tox.LOOKALIKES).replace("*", "").lower() for w in spelled]
+    return [
+        len(hits) / n, math.log1p(len(hits)), sum(map(weight, words)) / n, max(map(weight, words)),
+        math.log1p(len({words[i] for i in hits})), len(near) / max(1, len(hits)), len(second) / n,
+        sum(c.isupper() for c in text) / chars, sum(w.isupper() and len(w) > 2 for w in text.split()) / n,
+        len(marks) / chars, sum(c in "!?" for c in text) / n, len(re.findall(r"([^\w\s])\1+", text)) / n,
+        len(spelled) / n, len(re.findall(r"(\w)\1\1", text)) / n, sum(weight(w) > 0 for w in plain) / n, math.log1p(n),
+    ]
+
+
+def test_features_by_hand(spark, sf_dir):
+    lexicon = tox.Lexicon({"oaf": 2.0, "dolt": 1.5, "the": 0.5}, {"dumb": 3.0, "stupi": 1.0, "intion"[:5]: 0.7})
+    texts = [r["text"] for r in table(spark, sf_dir, "documents").select("text").collect() if r["text"]]
+    texts += ["YOU stupid!! d0lt and 0@f, dumbest of ALL", "?!?!", "_", "you " * 9 + "oaf", "A1B2 sooo D*LT"]
+    weights = tox._Weights(lexicon)
+    for text in texts:
+        assert tox.features(text, weights) == pytest.approx(by_hand(text, lexicon))
