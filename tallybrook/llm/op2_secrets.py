@@ -2,8 +2,12 @@
 
 The models tell random strings from ordinary identifiers: each is a table of transition
 probabilities between characters, trained from labelled samples, and a candidate string
-is a secret if its mean log-likelihood ratio per transition is high enough. Scoring looks
+is a secret if its log-likelihood ratio a transition is high enough. Scoring looks
 the ratios up in a constant array, so a row is worked on by itself, without a shuffle.
+
+Candidates are runs of the alphabet, and the pieces that ``/ = - _`` cut them into. A run is
+a secret as a whole if it and each of its pieces look random; else those of its pieces
+are that do, so that a key within a path is found without the path.
 """
 
 from __future__ import annotations
@@ -24,9 +28,11 @@ BASE_KINDS = (
 )
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 MARKOV = "markov"
-# A candidate is a run of at least this many characters of the alphabet, digits and letters both.
-LEAST_LENGTH = 20
-# Mean log-likelihood ratio (nats per transition) from which a candidate is a secret.
+# A candidate has at least this many characters: fewer have too few transitions to tell.
+LEAST_LENGTH = 14
+# Shorter pieces of a run are not asked whether they look random.
+_TELLING = 3
+# Log-likelihood ratio (nats a transition) from which a candidate is a secret.
 LEAST_RATIO = 0.5
 PLACEHOLDER = "[SECRET]"
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -114,43 +120,58 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
 
 
 def log_ratio(value: Column, model: Model) -> Column:
-    """Mean log-likelihood ratio per transition of a string over the alphabet."""
+    """Log-likelihood ratio of a string over the alphabet, a transition.
+
+    A transition that repeats counts once, so that one rare pair, repeated, looks no more
+    random than it does once.
+    """
     size = len(ALPHABET)
-    table = F.split(F.lit(",".join(f"{x:.3f}" for x in model.ratios)), ",").cast("array<double>")
+    table = F.split(F.lit(",".join(map(repr, model.ratios))), ",").cast("array<double>")
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    follows = F.slice(codes, 2, F.greatest(F.size(codes) - 1, F.lit(0)))
+    pairs = F.zip_with(codes, follows, lambda a, b: F.when((a >= 0) & (b >= 0), a * size + b))
     total = F.aggregate(
-        codes,
-        F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum")),
-        lambda acc, c: F.struct(c.alias("last"), F.when(
-            (c >= 0) & (acc["last"] >= 0), acc["sum"] + F.get(table, acc["last"] * size + c)
-        ).otherwise(acc["sum"]).alias("sum")),
-        lambda acc: acc["sum"],
-    )
+        F.array_distinct(pairs), F.lit(0.0), lambda acc, p: acc + F.coalesce(F.get(table, p), F.lit(0.0))
+    )
     return total / F.greatest(F.length(value) - 1, F.lit(1))
 
 
-def find(docs: DataFrame, model: Model, *, keep=("doc_id",), text: str = "text") -> DataFrame:
+def find(docs: DataFrame, model: Model, *, keep=("doc_id",), text: str = "text",
+         least_length: int = LEAST_LENGTH) -> DataFrame:
     """The ``keep`` columns, ``base`` and ``spans``: arrays of struct(kind, start, end).
 
     ``base`` holds the spans of the fixed patterns, by start, then kind in their order.
-    ``spans`` adds those that the models find outside of them, kind ``markov``. Offsets
-    are code points, end exclusive. A null text is empty and has none; repeated rows stay.
+    ``spans`` adds those that the models find outside of them, kind ``markov``, of at least
+    ``least_length`` characters. Offsets are code points, end exclusive. A null text is
+    empty and has none; repeated rows stay.
     """
     kept = [docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)]
     rows = docs.select(*kept, F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")).alias("_t"))
     base = F.concat(*[_spans(F.col("_t"), *kind) for kind in BASE_KINDS])
-    run = f"[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}"
+    run, piece = f"[A-Za-z0-9+/_=-]{{{least_length},}}", f"[A-Za-z0-9+]{{{least_length},}}"
     rows = rows.withColumns({
-        "_b": F.array_sort(base, _in_order), "_c": _spans(F.col("_t"), MARKOV, run, 0, LEAST_LENGTH),
+        "_b": F.array_sort(base, _in_order), "_c": _spans(F.col("_t"), MARKOV, run, 0, least_length),
     })
+    value = lambda span: F.substr("_t", span["start"] + 1, span["end"] - span["start"])
+    overlaps = lambda spans, span: F.exists(
+        spans, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])
+    )
 
-    def random(span):
-        value = F.substr("_t", span["start"] + 1, span["end"] - span["start"])
-        mixed = F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))
-        apart = ~F.exists("_b", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return F.when(mixed & apart, log_ratio(value, model) >= LEAST_RATIO).otherwise(False)
-
-    rows = rows.withColumn("_m", F.filter("_c", random))
+    def random_run(span):
+        whole = value(span)
+        pieces = F.regexp_extract_all(whole, F.lit(f"[A-Za-z0-9+]{{{_TELLING},}}"), F.lit(0))
+        cut = F.rlike(whole, F.lit("[/_=-]")) & ~overlaps("_b", span)
+        each = F.forall(pieces, lambda p: log_ratio(p, model) > 0)
+        return F.when(cut, (log_ratio(whole, model) >= LEAST_RATIO) & each).otherwise(False)
+
+    def random_piece(span):
+        alone = ~overlaps("_b", span) & ~overlaps("_w", span)
+        return F.when(alone, log_ratio(value(span), model) >= LEAST_RATIO).otherwise(False)
+
+    rows = rows.withColumn("_w", F.filter("_c", random_run))
+    # no run, no piece
+    pieces = F.when(F.size("_c") > 0, _spans(F.col("_t"), MARKOV, piece, 0, least_length)).otherwise(F.array().cast(SPANS))
+    rows = rows.withColumn("_p", pieces).withColumn("_m", F.concat("_w", F.filter("_p", random_piece)))
     return rows.select(
         *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
         F.col("_b").alias("base"),

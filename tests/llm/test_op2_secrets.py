@@ -73,6 +73,51 @@ def test_models_tell_random_strings_from_identifiers(spark, model):
     assert row["base"] == []
 
 
+def ratio(value, model):
+    """Log-likelihood ratio a transition, each distinct one once."""
+    at = op2_secrets.ALPHABET.index
+    steps = dict.fromkeys(zip(value, value[1:]))
+    known = [model.ratios[at(a) * len(op2_secrets.ALPHABET) + at(b)] for a, b in steps]
+    return sum(known) / max(1, len(value) - 1)
+
+
+def markov_spans(text, model, least=op2_secrets.LEAST_LENGTH):
+    """The method's spans by hand: whole runs that look random in every piece, else such pieces."""
+    base = [tuple(map(int, s.split(":")[1:])) for s in base_spans(text)]
+    apart = lambda a, b, spans: all(e <= a or b <= s for s, e in spans)
+    runs = [m for m in re.finditer(f"[A-Za-z0-9+/_=-]{{{least},}}", text or "") if re.search("[/_=-]", m[0])]
+    whole = [
+        m.span() for m in runs
+        if apart(*m.span(), base) and ratio(m[0], model) >= op2_secrets.LEAST_RATIO
+        and all(ratio(p, model) > 0 for p in re.findall("[A-Za-z0-9+]{3,}", m[0]))
+    ]
+    pieces = [
+        m.span() for m in re.finditer(f"[A-Za-z0-9+]{{{least},}}", text or "")
+        if apart(*m.span(), base + whole) and ratio(m[0], model) >= op2_secrets.LEAST_RATIO
+    ]
+    return sorted(whole + pieces)
+
+
+def test_method_spans_by_hand(spark, sf_dir, model):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    texts = [r["text"] for r in rows] + TEXTS + [
+        "/srv/data/zX81kQp0Wm4Tn7Rb2Lv9Yc/notes/of/the/day.txt", "a-b_c=" * 9, "zX81kQp0Wm4Tn7Rb2Lv9Yc=token=abcdefgh1",
+    ]
+    got = op2_secrets.find(docs(spark, texts), model, keep=("doc_id",)).collect()
+    for row in got:
+        found = [(s["start"], s["end"]) for s in row["spans"] if s["kind"] == "markov"]
+        assert found == markov_spans(texts[row["doc_id"]], model)
+
+
+def test_keys_of_letters_short_keys_and_keys_in_paths(spark, model):
+    keys = ["qXzKvBwJpLmRtYcNfHdGsQxZkW", "x7Kq2ZpW9vB4tRm", "zX81kQp0Wm4Tn7Rb2Lv9Yc"]
+    text = f"{keys[0]} and {keys[1]}, in /home/people/projects/library/{keys[2]}/documents/readings"
+    [row] = op2_secrets.find(docs(spark, [text]), model, keep=("text",)).collect()
+    assert [text[s["start"] : s["end"]] for s in row["spans"]] == keys
+    [row] = op2_secrets.find(docs(spark, [text]), model, least_length=20).collect()
+    assert len(row["spans"]) == 2
+
+
 def test_odd_documents(spark, model):
     rows = op2_secrets.find(odd_docs(spark), model).collect()
     assert len(rows) == odd_docs(spark).count()
