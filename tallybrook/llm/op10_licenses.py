@@ -32,7 +32,10 @@ BASE_PHRASES = (
     ("general public license", "gpl"),
 )
 # A text is looked at only if it holds one of these (every rule's pattern holds one).
-GATES = ("licen", "spdx", "public domain", "rights reserved", "copyleft", "gpl")
+GATES = (
+    "licen", "spdx", "public domain", "rights reserved", "copyleft", "gpl",
+    "permi", "redistribut", "warrant", "copyright", "software", "publicdomain", "mpl", "this stuff",
+)
 
 # Per label a keyword, the names of the license, and its versions if any.
 # In names "l" stands for license or licence. Words are split at dots and hyphens.
@@ -112,6 +115,81 @@ OTHERS = (
     Rule("dual", "licen", "dual licen[cs]ed? under", 1, 0.3),
 )
 
+# Sentences by which the body or the notice of a license is known where its name
+# does not stand. (label, keyword, pattern, score), as words of a text without punctuation.
+BODIES = (
+    ("mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", 1.0),
+    ("mit", "sublicense", "without (?:limitation|restriction)(?: including without limitation)? the rights to use copy modify merge publish distribute sublicense and or sell copies", 0.95),
+    ("mit", "permission notice", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 0.95),
+    ("x11", "advertising", "except as contained in this notice the names? of (?:[^ ]+ ){1,12}shall not be used in advertising or otherwise to promote the sale use or other dealings in this software", 0.95),
+    ("json", "good not evil", "the software shall be used for good not evil", 1.0),
+    ("boost", "organization obtaining", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", 1.0),
+    ("isc", "with or without fee", "permission to use copy modify (?:and )?(?:or )?distribute this software for any purpose with or without fee is hereby granted", 0.95),
+    ("isc", "disclaims all warranties", "the software is provided as is and the author disclaims all warranties with regard to this software", 0.9),
+    ("curl", "with or without fee", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", 0.95),
+    ("hpnd", "its documentation", "permission to use copy modify and distribute this software and its documentation for any purpose", 0.9),
+    ("postgresql", "written agreement", "without fee and without a written agreement is hereby granted provided that the above copyright notice and this paragraph", 0.95),
+    ("bsd", "binary forms", "redistribution and use in source and binary forms with or without modification are permitted", 0.9),
+    ("bsd", "retain the above copyright", "redistributions of source code must retain the above copyright notice", 0.85),
+    ("bsd-2", "binary form", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", 0.85),
+    ("bsd-3", "endorse or promote", "neither the names? of (?:[^ ]+ ){1,12}n?or the names of (?:its|their) contributors may be used to endorse or promote products derived from this software", 0.95),
+    ("bsd-4", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 0.95),
+    ("bsd", "express or implied warranties", "this software is provided by the (?:copyright holders?|authors?|regents)(?: and contributors)? as is and any express or implied warranties", 0.8),
+    ("apache", "except in compliance", "you may not use this file except in compliance with the license", 0.95),
+    ("apache", "as is basis", "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind", 0.95),
+    ("apache", "contributor license agreements", "licensed to the apache software foundation asf under one or more contributor license agreements", 1.0),
+    ("apache", "royalty free", "grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|except as stated in this section patent) license", 0.9),
+    ("apache", "apache software foundation", "this product includes software developed (?:by|at) the apache software foundation", 0.8),
+    ("gpl", "redistribute it", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", 1.0),
+    ("lgpl", "redistribute it", "you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license as published by the free software foundation", 1.0),
+    ("agpl", "redistribute it", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation", 1.0),
+    ("gpl", "hope that it will be useful", "this program is distributed in the hope that it will be useful but without any warranty", 0.8),
+    ("lgpl", "hope that it will be useful", "this library is distributed in the hope that it will be useful but without any warranty", 0.8),
+    ("gpl", "received a copy", "you should have received a copy of the gnu general public license along with", 0.95),
+    ("lgpl", "received a copy", "you should have received a copy of the gnu (?:lesser|library) general public license along with", 0.95),
+    ("agpl", "received a copy", "you should have received a copy of the gnu affero general public license along with", 0.95),
+    ("gpl", "at your option", "either version [123](?: 0)? of the license or at your option any later version", 0.7),
+    ("gpl", "verbatim copies", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", 0.7),
+    ("gpl", "work that you distribute", "you must cause any work that you distribute or publish that in whole or in part contains or is derived from the program or any part thereof to be licensed as a whole", 0.85),
+    ("gfdl", "free documentation", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 1.0),
+    ("gfdl", "invariant sections", "with no invariant sections no front cover texts and no back cover texts a copy of the license", 0.9),
+    ("mpl", "source code form", "this source code form is subject to the terms of the mozilla public license", 1.0),
+    ("mpl", "mpl was not distributed", "if a copy of the mpl was not distributed with this file you can obtain one at", 0.95),
+    ("mpl", "secondary licenses", "this source code form is incompatible with secondary licenses", 0.9),
+    ("zlib", "without any express", "this software is provided as is without any express or implied warranty", 0.9),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", 1.0),
+    ("zlib", "plainly marked", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", 0.95),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 1.0),
+    ("unlicense", "anyone is free", "anyone is free to copy modify publish use compile sell or distribute this software", 0.95),
+    ("cc0", "neighboring rights", "waive[sd]? all (?:of (?:his|her|their|its) )?copyright and related or neighboring rights", 0.9),
+    ("cc0", "publicdomain", "creativecommons org publicdomain zero 1 0", 0.95),
+    ("cc-by", "creativecommons", "creativecommons org licenses by [1-4] [05]", 0.95),
+    ("cc-by-sa", "creativecommons", "creativecommons org licenses by sa [1-4] [05]", 0.95),
+    ("cc-by-nc", "creativecommons", "creativecommons org licenses by nc [1-4] [05]", 0.95),
+    ("cc-by-nd", "creativecommons", "creativecommons org licenses by nd [1-4] [05]", 0.95),
+    ("cc-by-nc-sa", "creativecommons", "creativecommons org licenses by nc sa [1-4] [05]", 0.95),
+    ("cc-by-nc-nd", "creativecommons", "creativecommons org licenses by nc nd [1-4] [05]", 0.95),
+    ("cc", "creative commons", "(?:this|the) work is licensed under (?:a|the) creative commons", 0.7),
+    ("wtfpl", "do what the", "do what the [^ ]+ you want to public licen[cs]e", 0.9),
+    ("beerware", "whatever you want", "as long as you retain this notice you can do whatever you want with this stuff", 1.0),
+    ("artistic", "artistic control", "the copyright holder maintains some semblance of artistic control over the development of the package", 1.0),
+    ("ofl", "reserved font name", "no modified version of the font software may use the reserved font name", 0.95),
+    ("ofl", "font software", "permission is hereby granted free of charge to any person obtaining a copy of the font software", 1.0),
+    ("epl", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license", 1.0),
+    ("openssl", "openssl project", "this product includes software developed by the openssl project", 0.95),
+    ("openssl", "eric young", "this product includes cryptographic software written by eric young", 0.95),
+    ("python", "psf hereby", "psf hereby grants licensee a nonexclusive royalty free world wide license", 0.95),
+    ("ncsa", "deal with the software", "to deal with the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies", 0.95),
+    ("ms-pl", "each contributor grants", "each contributor grants you a non exclusive worldwide royalty free copyright license to reproduce its contribution", 0.9),
+    ("sspl", "third parties as a service", "if you make the functionality of the program or a modified version available to third parties as a service you must make the service source code available via network download to everyone at no charge under the terms of this license", 0.95),
+    ("busl", "licensed work", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work", 1.0),
+    ("disclaimer", "without warranty", "the software is provided as is without warranty of any kind express or implied", 0.5),
+    ("disclaimer", "merchantability", "(?:implied )?warrant(?:y|ies) of merchantability(?: and)?(?: or)? fitness for a particular purpose", 0.4),
+    ("disclaimer", "in no event", "in no event shall the (?:authors? or )?copyright (?:holders?|owners?)(?: or contributors)? be liable for any", 0.4),
+    ("proprietary", "confidential", "this software (?:is|contains) (?:the )?(?:confidential and proprietary|proprietary and confidential)", 0.8),
+    ("proprietary", "without the prior", "no part of this (?:software|program|publication) may be (?:[^ ]+ ){1,20}?without the prior written permission", 0.8),
+)
+
 _GRANTS = (
     "(?:is |are )?(?:dual )?licen[cs]ed under (?:the )?(?:terms of (?:the )?)?",
     "(?:is |are )?(?:released|distributed|available|published|provided) under (?:the )?(?:terms of (?:the )?)?",
@@ -121,7 +199,7 @@ _GRANTS = (
 
 @functools.cache
 def default_rules() -> tuple[Rule, ...]:
-    """For each license: its name alone, with a version, and in the usual grants."""
+    """For each license: its name alone, with a version, and in the usual grants; and all others as they stand."""
     rules = []
     for label, (keyword, names, versions) in FAMILIES.items():
         label = label.split("-short")[0].split("-library")[0]
@@ -135,7 +213,8 @@ def default_rules() -> tuple[Rule, ...]:
         identifier = label.replace("-", " ")
         gated.append(Rule(label, "spdx", f"spdx licen[cs]e identifier {identifier}(?: [0-9]+)*", 5, 1.0))
         rules += gated
-    return (*rules, *OTHERS)
+    bodies = [Rule(label, keyword, pattern, 6, score) for label, keyword, pattern, score in BODIES]
+    return (*rules, *OTHERS, *bodies)
 
 
 _RULE_TYPE = "array<struct<rank:int,label:string,keyword:string,pattern:string,score:double>>"

@@ -75,6 +75,70 @@ def test_rules_hold_their_keyword_and_a_gate():
         assert any(gate in sample for gate in lic.GATES), rule
 
 
+def detections(text, rules):
+    """All matches of all rules, then suppression, by hand."""
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
+    norm = f" {' '.join(words)} "
+    order = sorted(range(len(rules)), key=lambda i: (-rules[i].priority, i))
+    found = []
+    for rank, i in enumerate(order):
+        for m in re.finditer(f"(?<= )(?:{rules[i].pattern})(?= )", norm):
+            start = norm[: m.start()].count(" ") - 1
+            found.append((start, start + m[0].count(" ") + 1, rank, rules[i].label, rules[i].score))
+    kept, reach = [], -1
+    for d in sorted(found, key=lambda d: (d[0], -d[1], d[2])):
+        if d[1] > reach:
+            kept.append(d)
+            reach = d[1]
+    return kept
+
+
+# Bodies and notices without the license's name, or with more than it.
+NOTICES = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+     "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", "mit"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that", "bsd"),
+    ("Neither the name of the Example Works Ltd. nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software without specific prior written permission.", "bsd-3"),
+    ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED', "disclaimer"),
+    ("you may not use this file except in compliance with the License.", "apache"),
+    ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+     "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.", "disclaimer,gpl"),
+    ("You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+     "the Free Software Foundation; either version 2.1", "gpl,lgpl"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", "zlib"),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license", "boost"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl"),
+    ("see http://creativecommons.org/licenses/by-nc-sa/4.0/ for all", "cc-by-nc-sa"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+]
+
+
+def test_bodies_without_a_name(spark):
+    rows = {r["doc_id"]: r for r in lic.detect(docs(spark, [t for t, _ in NOTICES])).collect()}
+    for i, (text, labels) in enumerate(NOTICES):
+        assert rows[i]["labels"] == labels, text
+        assert rows[i]["score"] > 0
+
+
+def test_detections_and_suppression_by_hand(spark, sf_dir):
+    texts = [r["text"] for r in table(spark, sf_dir, "documents").select("text").collect()]
+    texts = [t for t in texts if t and re.search("licen|copyright|permission", t, re.I)][:150]
+    texts += [t for t, _, _ in TEXTS] + [t for t, _ in NOTICES] + [" ".join(t for t, _ in NOTICES)]
+    rules = lic.default_rules()
+    got = {r["doc_id"]: r for r in lic.detect(docs(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        want = detections(text, rules)
+        assert [tuple(d) for d in got[i]["detections"]] == want
+        base = set(filter(None, brute(text)[4].split(",")))
+        assert got[i]["labels"] == ",".join(sorted({d[3] for d in want} | base))
+
+
 def test_odd_documents(spark):
     rows = lic.detect(odd_docs(spark)).collect()
     assert len(rows) == odd_docs(spark).count()
