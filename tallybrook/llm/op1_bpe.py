@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import ahocorasick
@@ -25,19 +24,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.llm.common import map_texts
-from tallybrook.llm.merge_arrays import HashedNumbers, Memory
+from tallybrook.llm.merge_arrays import HashedNumbers
 
-# Entries per worker: encodings of words, and answers for pairs of tokens.
-CACHED_WORDS, CACHED_PAIRS = 150_000, 200_000
+# Entries per worker: encodings of pieces, and answers for pairs of tokens.
+CACHED_WORDS, CACHED_PAIRS = 600_000, 200_000
 # Pieces whose tables are filled together; longer ones have a table of their own each.
 _TOGETHER, _LONGEST_TOGETHER = 8192, 64
-# Fixed value: the pattern under which a match holds a space only at its start or in a run
-# of white space. A text may then be cut before each space that stands between others.
+# Bytes of text that are cut at once, and of the longest piece that is remembered.
+_CUT_TOGETHER, _LONGEST_REMEMBERED = 4_000_000, 128
+# Fixed value: the pattern whose matches are found by looking at neighbouring characters.
 SPACE_LED_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-# A space before other white space or at the end: such a run of white space is one match.
-_ODD_SPACE = re.compile(r" (?:\s|\Z)")
+_SPACE, _WHITE, _LETTER, _NUMBER, _OTHER, _APOSTROPHE = range(6)
 
 
 class Vocabulary:
@@ -50,6 +49,7 @@ class Vocabulary:
         if missing:
             raise ValueError(f"no token for single byte(s) {missing[:5]}")
         self.token = {rank: token for token, rank in self.ranks.items()}
+        self.packed = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
         self._automaton = ahocorasick.Automaton()
@@ -292,58 +292,168 @@ class PrefixArrays:
         return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
+@functools.cache
+def _kinds() -> np.ndarray:
+    """What each code point is to ``SPACE_LED_PATTERN``."""
+    kinds = np.full(0x110000, _OTHER, np.uint8)
+    every = "".join(map(chr, range(len(kinds))))
+    for kind, pattern in ((_WHITE, r"\s+"), (_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+")):
+        for match in regex.finditer(pattern, every):
+            kinds[match.start() : match.end()] = kind
+    kinds[ord(" ")], kinds[ord("'")] = _SPACE, _APOSTROPHE
+    return kinds
+
+
+def _always_cut() -> np.ndarray:
+    """Whether a match ends between two characters of these kinds, whatever stands around them.
+
+    A match holds one kind of character, but for a space before it and letters behind an apostrophe;
+    an apostrophe is like other signs to those ahead of it. Where a run of white space is cut
+    depends on what follows, see ``cut``.
+    """
+    cuts = np.zeros((8, 8), bool)
+    words = [_LETTER, _NUMBER, _OTHER, _APOSTROPHE]
+    cuts[np.ix_(words, [_SPACE, _WHITE])] = cuts[_WHITE, words] = True
+    cuts[_LETTER, [_NUMBER, _OTHER, _APOSTROPHE]] = cuts[_NUMBER, [_LETTER, _OTHER, _APOSTROPHE]] = True
+    cuts[_OTHER, [_LETTER, _NUMBER]] = True
+    return cuts.ravel()
+
+
+_ALWAYS_CUT = _always_cut()
+
+
+def cut(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """All matches of ``SPACE_LED_PATTERN`` in UTF-8, and how many there are up to the end of each text.
+
+    Only a match of an apostrophe and the letters behind it are left together.
+    """
+    joined = "".join(texts)
+    data = joined.encode("utf-8", "replace")
+    plain = len(data) == len(joined)
+    code = np.frombuffer(data if plain else joined.encode("utf-32-le", "replace"), "u1" if plain else "<u4")
+    kind = _kinds()[code]
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    first = np.zeros(len(kind) + 1, bool)  # of a text
+    first[ends] = first[0] = True
+    start = first[:-1].copy()
+    start[1:] |= _ALWAYS_CUT[kind[:-1] << 3 | kind[1:]]
+    # the last of several white characters before others is not in the match of those ahead of it
+    white = kind <= _WHITE
+    start[1:-1] |= white[:-2] & white[1:-1] & ~white[2:] & ~first[2:-1]
+    at = np.flatnonzero(start)
+    count = np.searchsorted(at, ends)
+    offsets = np.append(at, len(data))
+    if not plain and len(at):
+        width = np.ones(len(code), np.uint8)  # bytes of each character
+        for more in (0x80, 0x800, 0x10000):
+            width += code >= more
+        offsets[1:] = np.cumsum(np.add.reduceat(width, at, dtype=np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), count
+
+
+def _joined(values: pa.Array, count: np.ndarray) -> list[bytes]:
+    """The values up to each count, but for those of the count before, one behind the other."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, 8 * values.offset)
+    data = memoryview(values.buffers()[2] or b"")
+    ends = offsets[count].tolist()
+    return [bytes(data[a:b]) for a, b in zip([int(offsets[0]), *ends], ends)]
+
+
+class Recent:
+    """What was computed for keys; what was not used for a while is forgotten first.
+
+    At most ``most`` entries stay, and those of a batch: as soon as the younger half is full,
+    the older one is dropped. Keys longer than ``longest`` are not kept.
+    """
+
+    def __init__(self, compute: Callable[[list], list], most: int, longest: int):
+        self._compute, self._most, self._longest = compute, most, longest
+        self._young: dict = {}
+        self._old: dict = {}
+
+    def __len__(self) -> int:
+        return len(self._young) + len(self._old)
+
+    def get_all(self, keys: list) -> list:
+        """The value of each of the distinct keys, in order."""
+        found = list(map(self._young.get, keys))
+        absent = [i for i, value in enumerate(found) if value is None]
+        missing = []
+        for i in absent:
+            value = found[i] = self._old.get(keys[i])
+            if value is None:
+                missing.append(i)
+        for i, value in zip(missing, self._compute([keys[i] for i in missing])):
+            found[i] = value
+        self._young.update((keys[i], found[i]) for i in absent if len(keys[i]) <= self._longest)
+        if len(self._young) > self._most // 2:
+            self._young, self._old = {}, self._young
+        return found
+
+
 class Encoder:
-    """Encodes texts, each match of the pattern separately, and remembers words."""
+    """Encodes texts, each match of the pattern separately, and remembers pieces."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self._arrays = PrefixArrays(vocabulary)
-        self._words = Memory(self._encode_words, most=CACHED_WORDS)
-        self._table = np.full(max(vocabulary.token) + 1, None, object)
-        for rank, token in vocabulary.token.items():
-            self._table[rank] = token
-        self._by_words = vocabulary.pattern.pattern == SPACE_LED_PATTERN
+        table = [vocabulary.token.get(i) for i in range(max(vocabulary.token) + 1)]
+        self._table = pa.array(table, pa.large_binary())
+        self._cuts = vocabulary.pattern.pattern == SPACE_LED_PATTERN
+        compute = self._encode_words if self._cuts else self._encode
+        self._words = Recent(compute, CACHED_WORDS, _LONGEST_REMEMBERED)
 
     def pieces(self, pieces: list[str]) -> list[bytes]:
         """Packed ids of pieces, each on its own."""
-        distinct = list(dict.fromkeys(pieces))
-        known = dict(zip(distinct, [p.encode("utf-8", "replace") for p in distinct]))
-        ids: dict[str, bytes] = {}
-        together = []
-        for piece, data in known.items():
-            whole = self.vocabulary.ranks.get(data)
-            if whole is not None:
-                ids[piece] = whole.to_bytes(4, "little")
-            elif len(data) <= _LONGEST_TOGETHER:
-                together.append(piece)
-            else:
-                ids[piece] = np.asarray(PrefixTable(self.vocabulary, data).tokens(), "<u4").tobytes()
-        ids.update(zip(together, self._arrays.encode([known[p] for p in together])))
-        return [ids[p] for p in pieces]
+        data = [p.encode("utf-8", "replace") for p in pieces]
+        distinct = list(dict.fromkeys(data))
+        ids = dict(zip(distinct, self._encode(distinct)))
+        return [ids[d] for d in data]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """What stands between two spaces, with the space before it; may hold several pieces."""
-        find = self.vocabulary.pattern.findall
-        cut = [[w] if self._by_words and w[0] == " " and w[1:].isalpha() else find(w) for w in words]
-        ids = iter(self.pieces([p for pieces in cut for p in pieces]))
-        return [next(ids) if len(pieces) == 1 else b"".join([next(ids) for _ in pieces]) for pieces in cut]
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        whole = list(map(self.vocabulary.packed.get, pieces))
+        together = []
+        for i, ids in enumerate(whole):
+            if ids is None:
+                if len(pieces[i]) <= _LONGEST_TOGETHER:
+                    together.append(i)
+                else:
+                    whole[i] = np.asarray(PrefixTable(self.vocabulary, pieces[i]).tokens(), "<u4").tobytes()
+        for i, ids in zip(together, self._arrays.encode([pieces[i] for i in together])):
+            whole[i] = ids
+        return whole
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Pieces of ``cut``: a match each, but for letters behind an apostrophe."""
+        out = self._encode([b"" if b"'" in w else w for w in words])
+        several = [i for i, w in enumerate(words) if b"'" in w]
+        split = [self.vocabulary.pattern.findall(words[i].decode()) for i in several]
+        ids = iter(self.pieces([p for pieces in split for p in pieces]))
+        for i, pieces in zip(several, split):
+            out[i] = b"".join([next(ids) for _ in pieces])
+        return out
 
     def packed_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = []
-        for text in texts:
-            if self._by_words and not _ODD_SPACE.search(text):
-                first, *more = text.split(" ")
-                cut.append([first, *[" " + x for x in more]] if first else [" " + x for x in more])
-            else:
-                cut.append(self.vocabulary.pattern.findall(text))
-        found = self._words.get_all([w for words in cut for w in words])
-        out, at = [], 0
-        for words in cut:
-            out.append(b"".join(found[at : at + len(words)]))
-            at += len(words)
+        if not self._cuts:
+            split = [[p.encode("utf-8", "replace") for p in self.vocabulary.pattern.findall(t)] for t in texts]
+            distinct = list(dict.fromkeys(p for pieces in split for p in pieces))
+            ids = dict(zip(distinct, self._words.get_all(distinct)))
+            return [b"".join([ids[p] for p in pieces]) for pieces in split]
+        out, start, size = [], 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= _CUT_TOGETHER or end == len(texts):
+                out += self._packed_together(texts[start:end])
+                start, size = end, 0
         return out
 
+    def _packed_together(self, texts: list[str]) -> list[bytes]:
+        pieces, count = cut(texts)
+        coded = pieces.dictionary_encode()
+        ids = pa.array(self._words.get_all(coded.dictionary.to_pylist()), pa.large_binary())
+        return _joined(ids.take(coded.indices), count)
+
     def packed(self, text: str) -> bytes:
         return self.packed_all([text])[0]
 
@@ -354,8 +464,19 @@ class Encoder:
         """The bytes of the ids; an id without a token raises KeyError."""
         return b"".join(map(self.vocabulary.token.__getitem__, ids))
 
+    def decode_packed_all(self, packed: list[bytes]) -> list[bytes]:
+        """The bytes of each of the packed encodings; an id without a token raises KeyError."""
+        count = np.cumsum([len(p) // 4 for p in packed], dtype=np.int64)
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        if len(ids) and ids.max() >= len(self._table):
+            raise KeyError(int(ids.max()))
+        tokens = self._table.take(pa.array(ids))
+        if tokens.null_count:
+            raise KeyError(int(ids[np.flatnonzero(tokens.is_null())[0]]))
+        return _joined(tokens, count)
+
     def decode_packed(self, packed: bytes) -> bytes:
-        return b"".join(self._table[np.frombuffer(packed, "<u4")].tolist())
+        return self.decode_packed_all([packed])[0]
 
 
 class EditedText:
@@ -451,7 +572,7 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str, *, keep=("doc_id",), te
     """
 
     def columns(packed, encoder):
-        decoded = [encoder.decode_packed(p) for p in packed]
+        decoded = encoder.decode_packed_all(packed)
         return [
             pa.array([len(p) // 4 for p in packed], pa.int64()),
             pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),

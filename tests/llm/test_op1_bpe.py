@@ -99,6 +99,76 @@ def test_memory_gives_way_and_comes_back():
     assert len(encoder._words) <= 8
 
 
+SPLIT = ["", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "'", "''", "'s",
+         "'ll", "'S", "a", "re", "é", "日", "\u0301", "1", "٣", "½", ".", "—", "😀", "\x00", "\ud800", "?"]
+
+
+def assert_cut_as_matches(texts):
+    pieces, count = op1_bpe.cut(texts)
+    pieces, start = [p.decode() for p in pieces.to_pylist()], 0
+    for text, end in zip(texts, count.tolist(), strict=True):
+        own, start = pieces[start:end], end
+        assert "".join(own) == text.encode("utf-8", "replace").decode()
+        matches = [ENCODER.vocabulary.pattern.findall(p) for p in own]
+        assert [m.encode("utf-8", "replace").decode() for m in ENCODER.vocabulary.pattern.findall(text)] == sum(matches, [])
+        assert all(len(m) == 1 for m, p in zip(matches, own) if "'" not in p)
+    assert start == len(pieces)
+
+
+@given(st.lists(st.lists(st.sampled_from(SPLIT), max_size=12).map("".join), max_size=6))
+@settings(max_examples=1000, deadline=None)
+def test_texts_are_cut_at_the_matches_of_the_pattern(texts):
+    assert_cut_as_matches(texts)
+    packed = ENCODER.packed_all(texts)
+    whole = [t.encode("utf-8", "replace").decode() for t in texts]
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [ORACLE.encode_ordinary(t) for t in whole]
+    assert ENCODER.decode_packed_all(packed) == [t.encode() for t in whole]
+
+
+def test_all_neighbours_are_cut_at_the_matches_of_the_pattern():
+    assert_cut_as_matches([a + b + c + d for a in SPLIT for b in SPLIT for c in SPLIT[:16] for d in ("", "a", " ")])
+
+
+def test_every_code_point_is_cut_at_the_matches_of_the_pattern():
+    assert_cut_as_matches([f"a{chr(c)}1{chr(c)}.{chr(c)} {chr(c)}'{chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000])
+
+
+def test_pieces_are_encoded_once_while_they_are_used():
+    encoder = op1_bpe.Encoder(ENCODER.vocabulary)
+    encoder._words._most = 400
+    asked, compute = [], encoder._words._compute
+    encoder._words._compute = lambda pieces: (asked.extend(pieces), compute(pieces))[1]
+    for batch in range(40):
+        rare = " ".join(f"{chr(97 + batch % 26)}{chr(97 + i)}{'xyz'[batch // 26]}q" for i in range(26))
+        text = f"frequent words, frequent; words. (frequent)\n{rare}"
+        assert np.frombuffer(encoder.packed(text), "<u4").tolist() == ORACLE.encode_ordinary(text)
+    asked = [p.decode() if isinstance(p, bytes) else p for p in asked]
+    assert [asked.count(p) for p in ("frequent", " frequent", " words")] == [1, 1, 1]
+    assert not [p for p in asked if "frequent" in p and p.strip() != "frequent"]
+    assert len(encoder._words) <= 400 + 40
+
+
+def test_long_pieces_are_not_remembered():
+    encoder = op1_bpe.Encoder(ENCODER.vocabulary)
+    text = "x" * 5000 + " y"
+    assert np.frombuffer(encoder.packed(text), "<u4").tolist() == ORACLE.encode_ordinary(text)
+    assert len(encoder._words) == 1
+
+
+def test_other_patterns_are_matched_text_by_text():
+    encoder = op1_bpe.Encoder(op1_bpe.Vocabulary(RANKS, r"\p{L}{1,3}|[^\p{L}]"))
+    other = tiktoken.Encoding("other", pat_str=r"\p{L}{1,3}|[^\p{L}]", special_tokens={}, mergeable_ranks=ENCODER.vocabulary.ranks)
+    texts = ["", "some words, don't", "  a\n\nb", "日本語のテキスト"]
+    assert [np.frombuffer(p, "<u4").tolist() for p in encoder.packed_all(texts)] == [other.encode_ordinary(t) for t in texts]
+
+
+def test_empty_batches_and_unknown_ids():
+    for texts in ([], [""], ["", ""]):
+        assert ENCODER.packed_all(texts) == ENCODER.decode_packed_all([b""] * len(texts)) == [b""] * len(texts)
+    with pytest.raises(KeyError):
+        ENCODER.decode_packed((10**6).to_bytes(4, "little"))
+
+
 def test_every_document(spark, sf_dir):
     got = {r["doc_id"]: tuple(r)[1:] for r in op1_bpe_round_trip(spark, sf_dir).collect()}
     assert got == {r["doc_id"]: expected(r["text"]) for r in table(spark, sf_dir, "documents").collect()}
